@@ -57,9 +57,9 @@ def term_pairs(postings: DataFrame, block_docs: int = BLOCK_DOCS,
     block_docs have nb = 1 and are not copied at all.
     """
     nb = F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(block_docs))).cast("int")
-    blk = F.pmod(F.xxhash64("doc_id"), nb).cast("int")
     cols = ["term", "doc_id", "w", *extra]
-    base = postings.select(*cols, nb.alias("_nb")).withColumn("_blk", blk)
+    base = postings.select(*cols, nb.alias("_nb")).withColumn(
+        "_blk", F.pmod(F.xxhash64("doc_id"), F.col("_nb")).cast("int"))
 
     left = base.select(
         "term",

@@ -126,3 +126,112 @@ SELECT * FROM jp"""
 
 SQL["jpii_ranked_v3"] = f"""WITH {jpii_ctes()}
 {ranked_sql('jp', 0.1, 3)}"""
+
+for _p in ("both", "universal", "single"):
+    SQL[f"index_postings_{_p}"] = f"""WITH {doc_index_ctes(_p)}
+SELECT term, doc_id, w, df FROM kept"""
+
+SQL["index_lines"] = f"""WITH {doc_index_ctes()}
+SELECT term, term || chr(9) || string_agg(doc_id::VARCHAR || '@' || w::VARCHAR, chr(9) ORDER BY w DESC, doc_id) AS line
+FROM kept GROUP BY term"""
+
+SQL["index_stats"] = f"""WITH {doc_index_ctes()}
+SELECT count(DISTINCT term) AS terms, count(*) AS postings,
+       CASE WHEN count(DISTINCT term) > 0 THEN count(*)::DOUBLE / count(DISTINCT term) ELSE 0.0 END AS avg_docs_per_term
+FROM kept"""
+
+SQL["term_df"] = f"""WITH {doc_index_ctes()}
+SELECT term, df FROM df"""
+
+_NP = "np AS (SELECT count(DISTINCT doc_id) AS np FROM kept)"
+
+SQL["term_idf"] = f"""WITH {doc_index_ctes()}, {_NP}
+SELECT DISTINCT term, df, {r(idf_expr('df', 'np.np'), 6)} AS idf FROM kept, np"""
+
+SQL["idf_band_terms"] = f"""WITH {doc_index_ctes()}, {_NP}
+SELECT DISTINCT term, df FROM kept, np WHERE {idf_expr('df', 'np.np')} BETWEEN 0.3 AND 0.9"""
+
+SQL["jpii_ranked_v1"] = f"""WITH {jpii_ctes()}
+{ranked_sql('jp', 0.5, 1)}"""
+
+_QSTATS = f"""{_NP},
+qs AS (SELECT DISTINCT qt.id AS query_id, qt.term, k.df, {idf_expr('k.df', 'np.np')} AS idf
+       FROM qt JOIN (SELECT DISTINCT term, df FROM kept) k USING (term), np)"""
+
+SQL["query_term_stats"] = f"""WITH {jpii_ctes()}, {_QSTATS}
+SELECT query_id, term, df, {r('idf', 6)} AS idf, idf BETWEEN 0.3 AND 0.95 AS kept FROM qs"""
+
+SQL["jpii_idf_scores"] = f"""WITH {jpii_ctes()}, {_QSTATS},
+qk AS (SELECT * FROM qs WHERE idf BETWEEN 0.3 AND 0.95),
+qw2 AS (SELECT query_id, count(*) AS wq2 FROM qk GROUP BY query_id),
+m2 AS (SELECT qk.query_id, kept.doc_id, kept.w, count(*) AS match_count
+       FROM qk JOIN kept USING (term) WHERE qk.df <= 10000 GROUP BY 1, 2, 3)
+SELECT m2.query_id, m2.doc_id, m2.match_count, qw2.wq2 AS w_query, m2.w AS w_doc,
+       {jaccard_sql('m2.match_count', 'qw2.wq2', 'm2.w')} AS similarity
+FROM m2 JOIN qw2 USING (query_id)"""
+
+SQL["max_df_jpii"] = f"""WITH {jpii_ctes()},
+m3 AS (SELECT qt.id AS query_id, kept.doc_id, kept.w, count(*) AS match_count
+       FROM qt JOIN kept USING (term) WHERE kept.df <= 100 GROUP BY 1, 2, 3)
+SELECT m3.query_id, m3.doc_id, m3.match_count, qw.wq AS w_query, m3.w AS w_doc,
+       {jaccard_sql('m3.match_count', 'qw.wq', 'm3.w')} AS similarity
+FROM m3 JOIN qw USING (query_id)"""
+
+SQL["jpii_ranked_labels"] = f"""WITH {jpii_ctes()}, rk AS ({ranked_sql('jp', 0.1, 3)})
+SELECT rk.*, l.quality, l.toxic FROM rk LEFT JOIN labels l USING (doc_id)"""
+
+
+def pair_ctes(lo: float | None = 0.05, hi: float | None = 0.95, extra: str = "") -> str:
+    """CTEs up to ``pr(doc_a, doc_b, w_a, w_b, match_count, sum_min, sum_max)``."""
+    band = "TRUE" if lo is None else f"{idf_expr('df', 'np.np')} BETWEEN {lo} AND {hi}"
+    return f"""{doc_index_ctes()}, {_NP}{extra},
+kb AS (SELECT kept.* FROM kept, np WHERE {band}),
+pr AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, a.w AS w_a, b.w AS w_b, count(*) AS match_count,
+              sum(least(a.w, b.w))::BIGINT AS sum_min, sum(greatest(a.w, b.w))::BIGINT AS sum_max
+       FROM kb a JOIN kb b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY 1, 2, 3, 4),
+pj AS (SELECT doc_a, doc_b, match_count, w_a, w_b, {jaccard_sql('match_count', 'w_a', 'w_b')} AS similarity FROM pr)"""
+
+
+SQL["pairwise_jaccard"] = f"""WITH {pair_ctes()}
+SELECT * FROM pj"""
+
+SQL["pairwise_weighted"] = f"""WITH {pair_ctes()}
+SELECT doc_a, doc_b, w_a, w_b, match_count, sum_min, sum_max,
+       CASE WHEN sum_max > 0 THEN sum_min::DOUBLE / sum_max::DOUBLE ELSE 0.0 END AS similarity FROM pr"""
+
+SQL["weighted_tf_jaccard"] = f"""WITH {doc_index_ctes()}, {_NP},
+{tokens_cte('tk', 'documents', 'doc_id')},
+tf AS (SELECT id AS doc_id, term, count(*) AS tf FROM tk GROUP BY 1, 2),
+kb AS (SELECT kept.*, tf.tf FROM kept JOIN tf USING (doc_id, term), np
+       WHERE {idf_expr('kept.df', 'np.np')} BETWEEN 0.05 AND 0.95),
+pr AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, a.w AS w_a, b.w AS w_b, count(*) AS match_count,
+              sum(least(a.tf, b.tf))::BIGINT AS sum_min, sum(greatest(a.tf, b.tf))::BIGINT AS sum_max
+       FROM kb a JOIN kb b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY 1, 2, 3, 4)
+SELECT doc_a, doc_b, w_a, w_b, match_count, sum_min, sum_max,
+       CASE WHEN sum_max > 0 THEN sum_min::DOUBLE / sum_max::DOUBLE ELSE 0.0 END AS similarity FROM pr"""
+
+SQL["pairwise_top10"] = f"""WITH {pair_ctes()}
+SELECT * FROM (SELECT row_number() OVER (ORDER BY similarity DESC, doc_a, doc_b) AS rank,
+                      doc_a, doc_b, similarity, match_count FROM pj) z WHERE rank <= 10"""
+
+SQL["pairwise_ranked"] = f"""WITH {pair_ctes()}
+SELECT * FROM (
+  SELECT row_number() OVER (ORDER BY {r('similarity', 2)} DESC, {r('f1', 3)} DESC, overlap DESC,
+                            match_count DESC, doc_a, doc_b) AS rank,
+         doc_a, doc_b, similarity AS jaccard, f1, overlap, match_count
+  FROM (SELECT *, {overlap_sql('match_count', 'w_a', 'w_b')} AS overlap,
+               {f1_sql('match_count', 'w_a', 'w_b')} AS f1
+        FROM pj WHERE match_count::DOUBLE >= w_a::DOUBLE * 0.1) c) z WHERE rank <= 5"""
+
+SQL["pairwise_threshold"] = f"""WITH {pair_ctes(None)}
+SELECT * FROM pj WHERE similarity >= 0.5"""
+
+SQL["near_duplicates"] = f"""WITH {pair_ctes(None)}
+SELECT * FROM pj WHERE similarity >= 0.8"""
+
+SQL["recommend_per_doc"] = f"""WITH {pair_ctes()},
+both_sides AS (SELECT doc_a AS doc_id, doc_b AS other, similarity, match_count FROM pj
+               UNION ALL SELECT doc_b, doc_a, similarity, match_count FROM pj)
+SELECT doc_id, rank, other, similarity, match_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, match_count DESC, other) AS rank
+  FROM both_sides) z WHERE rank <= 5"""

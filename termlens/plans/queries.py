@@ -55,3 +55,166 @@ def jpii_scores(spark: SparkSession, sf: str) -> DataFrame:
 def jpii_ranked_v3(spark: SparkSession, sf: str) -> DataFrame:
     """Top-5 documents per benchmark query."""
     return P.jpii_search(documents(spark, sf), benchmark_queries(spark, sf), version=3)
+
+
+# --- index variants, statistics, IDF ----------------------------------------
+
+def _pruned(spark: SparkSession, sf: str, policy: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return I.prune(I.postings(docs), I.corpus_size(docs), policy)
+
+
+@register("index_postings_both")
+def index_postings_both(spark: SparkSession, sf: str) -> DataFrame:
+    """A3/F1: postings of terms with 1 < df < N."""
+    return _pruned(spark, sf, "both").select("term", "doc_id", "w", "df")
+
+
+@register("index_postings_universal")
+def index_postings_universal(spark: SparkSession, sf: str) -> DataFrame:
+    """postings of terms with df < N (singletons kept)."""
+    return _pruned(spark, sf, "universal").select("term", "doc_id", "w", "df")
+
+
+@register("index_postings_single")
+def index_postings_single(spark: SparkSession, sf: str) -> DataFrame:
+    """postings of terms with df > 1 (universal terms kept)."""
+    return _pruned(spark, sf, "single").select("term", "doc_id", "w", "df")
+
+
+@register("index_lines")
+def index_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """One text line per term, ``term<TAB>doc@W...`` with W desc, then id."""
+    from termlens.sources.formats import index_text_lines
+    return index_text_lines(I.nested_index(_pruned(spark, sf, "both")))
+
+
+@register("index_stats")
+def index_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """A10: terms, postings and average documents per term of the pruned index."""
+    return I.index_stats(_pruned(spark, sf, "both"))
+
+
+@register("term_df")
+def term_df(spark: SparkSession, sf: str) -> DataFrame:
+    """A4: document frequency of every term (unpruned)."""
+    return I.term_df(I.postings(documents(spark, sf)))
+
+
+@register("term_idf")
+def term_idf(spark: SparkSession, sf: str) -> DataFrame:
+    """Normalised IDF per indexed term, N' = documents in the index.
+
+    IDF is emitted rounded to 6 decimals (last-bit log differences between
+    math libraries must not decide a comparison).
+    """
+    from termlens.functions.measures import round_half_up
+    p = I.with_idf(_pruned(spark, sf, "both"))
+    return p.select("term", "df", round_half_up("idf", 6).alias("idf")).distinct()
+
+
+@register("idf_band_terms")
+def idf_band_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """indexed terms whose IDF lies in [0.3, 0.9] (a band that removes terms here)."""
+    p = I.idf_band(I.with_idf(_pruned(spark, sf, "both")), 0.3, 0.9)
+    return p.select("term", "df").distinct()
+
+
+# --- more JPII ----------------------------------------------------------------
+
+@register("jpii_ranked_v1")
+def jpii_ranked_v1(spark: SparkSession, sf: str) -> DataFrame:
+    """Older ranking: m >= q/2, keys round(jaccard,4), overlap, m; top 5."""
+    return P.jpii_search(documents(spark, sf), benchmark_queries(spark, sf), version=1)
+
+
+@register("jpii_idf_scores")
+def jpii_idf_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """P3 core/M3: JPII with query terms reduced to the IDF band [0.3, 0.95], max_df 10000."""
+    docs = documents(spark, sf)
+    return S.jpii_idf(I.postings(docs), I.corpus_size(docs),
+                      S.query_terms(benchmark_queries(spark, sf)), lo=0.3, hi=0.95, max_df=10000)
+
+
+@register("max_df_jpii")
+def max_df_jpii(spark: SparkSession, sf: str) -> DataFrame:
+    """JPII skipping terms present in more than 100 documents."""
+    docs = documents(spark, sf)
+    return S.jpii(I.postings(docs), I.corpus_size(docs),
+                  S.query_terms(benchmark_queries(spark, sf)), max_df=100)
+
+
+@register("query_term_stats")
+def query_term_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Df, IDF (6 decimals) and band flag [0.3, 0.95] of each query term in the index."""
+    from termlens.functions.measures import round_half_up
+    docs = documents(spark, sf)
+    st = S.query_term_stats(I.postings(docs), I.corpus_size(docs),
+                            S.query_terms(benchmark_queries(spark, sf)), 0.3, 0.95)
+    return st.select("query_id", "term", "df", round_half_up("idf", 6).alias("idf"), "kept")
+
+
+@register("jpii_ranked_labels")
+def jpii_ranked_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranked top-5 with the document's labels joined on (left outer lookup)."""
+    ranked = P.jpii_search(documents(spark, sf), benchmark_queries(spark, sf))
+    labels = table(spark, sf, "labels").select("doc_id", "quality", "toxic")
+    return ranked.join(labels, "doc_id", "left")
+
+
+# --- pairwise -------------------------------------------------------------------
+
+@register("pairwise_jaccard")
+def pairwise_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    """P2 core/J2/A8/M2: all pairs sharing a kept term, IDF band [0.05, 0.95]."""
+    docs = documents(spark, sf)
+    return S.pairwise(I.postings(docs), I.corpus_size(docs))
+
+
+@register("pairwise_weighted")
+def pairwise_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    """P4 core/A9/M4: sum(min W)/sum(max W) over shared kept terms, band [0.05, 0.95]."""
+    docs = documents(spark, sf)
+    return S.pairwise_weighted(I.postings(docs), I.corpus_size(docs))
+
+
+@register("weighted_tf_jaccard")
+def weighted_tf_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    """M4 with term-frequency weights: sum(min tf)/sum(max tf) over shared kept terms."""
+    docs = documents(spark, sf)
+    return S.pairwise_weighted(I.postings_tf(docs), I.corpus_size(docs), weight="tf")
+
+
+@register("pairwise_top10")
+def pairwise_top10(spark: SparkSession, sf: str) -> DataFrame:
+    """The 10 most similar pairs (similarity desc, then pair ids)."""
+    docs = documents(spark, sf)
+    pairs = S.pairwise(I.postings(docs), I.corpus_size(docs))
+    return R.top_by_similarity(pairs, 10).select("rank", "doc_a", "doc_b", "similarity", "match_count")
+
+
+@register("pairwise_ranked")
+def pairwise_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs ranked like the e-book ranking (q = w_a), top 5."""
+    return P.pairwise_search(documents(spark, sf))
+
+
+@register("pairwise_threshold")
+def pairwise_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    """F10 + prefix filter: all pairs with pruned Jaccard >= 0.5 (df pruning only)."""
+    docs = documents(spark, sf)
+    return S.pairwise_threshold(I.postings(docs), I.corpus_size(docs), 0.5)
+
+
+@register("near_duplicates")
+def near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate pairs, pruned Jaccard >= 0.8."""
+    return P.near_duplicates(documents(spark, sf), 0.8)
+
+
+@register("recommend_per_doc")
+def recommend_per_doc(spark: SparkSession, sf: str) -> DataFrame:
+    """For every document its 5 most similar partners among all pairs."""
+    docs = documents(spark, sf)
+    pairs = S.pairwise(I.postings(docs), I.corpus_size(docs))
+    return P.recommend_per_doc(pairs, 5).select("doc_id", "rank", "other", "similarity", "match_count")
