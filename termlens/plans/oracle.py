@@ -181,10 +181,14 @@ SQL["jpii_ranked_labels"] = f"""WITH {jpii_ctes()}, rk AS ({ranked_sql('jp', 0.1
 SELECT rk.*, l.quality, l.toxic FROM rk LEFT JOIN labels l USING (doc_id)"""
 
 
-def pair_ctes(lo: float | None = 0.05, hi: float | None = 0.95, extra: str = "") -> str:
-    """CTEs up to ``pr(doc_a, doc_b, w_a, w_b, match_count, sum_min, sum_max)``."""
+def pair_ctes(lo: float | None = 0.05, hi: float | None = 0.95, extra: str = "",
+              with_index: bool = True) -> str:
+    """CTEs up to ``pj(doc_a, doc_b, match_count, w_a, w_b, similarity)``
+    (and ``pr`` with sum_min / sum_max); ``with_index=False`` when the
+    index CTEs are already defined."""
     band = "TRUE" if lo is None else f"{idf_expr('df', 'np.np')} BETWEEN {lo} AND {hi}"
-    return f"""{doc_index_ctes()}, {_NP}{extra},
+    head = f"{doc_index_ctes()}, " if with_index else ""
+    return f"""{head}{_NP}{extra},
 kb AS (SELECT kept.* FROM kept, np WHERE {band}),
 pr AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, a.w AS w_a, b.w AS w_b, count(*) AS match_count,
               sum(least(a.w, b.w))::BIGINT AS sum_min, sum(greatest(a.w, b.w))::BIGINT AS sum_max
@@ -235,3 +239,101 @@ both_sides AS (SELECT doc_a AS doc_id, doc_b AS other, similarity, match_count F
 SELECT doc_id, rank, other, similarity, match_count FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, match_count DESC, other) AS rank
   FROM both_sides) z WHERE rank <= 5"""
+
+SQL["index_text_roundtrip"] = f"""WITH {doc_index_ctes()}
+SELECT term, doc_id, w FROM kept"""
+
+SQL["index_merge_duplicates"] = f"""WITH {doc_index_ctes()}
+SELECT term, doc_id, w, df FROM kept"""
+
+SQL["similarity_tsv_roundtrip"] = f"""WITH {jpii_ctes()}
+SELECT * FROM jp"""
+
+SQL["pairwise_tsv_lines"] = f"""WITH {pair_ctes(None)}
+SELECT CASE WHEN doc_a::VARCHAR <= doc_b::VARCHAR THEN doc_a::VARCHAR || '-' || doc_b::VARCHAR
+            ELSE doc_b::VARCHAR || '-' || doc_a::VARCHAR END AS pair,
+       match_count, w_a, w_b, similarity FROM pj WHERE similarity >= 0.5"""
+
+SQL["cells_unpivot"] = f"""WITH {doc_index_ctes()}
+SELECT term AS row_key, 'docs:' || doc_id::VARCHAR AS "column", w::VARCHAR AS value FROM kept"""
+
+_ESC = "replace(replace(replace(text, chr(9), ' '), chr(10), ' '), chr(13), ' ')"
+
+_HASH = f"""hq AS (SELECT item_id AS query_id, substr(md5(text), 1, 8) AS query_hash, {_ESC} AS query_text FROM benchmark),
+hr AS (SELECT hq.query_hash || ':' || jp.doc_id::VARCHAR AS row_key, hq.query_hash, jp.doc_id,
+              {r('jp.similarity', 6)} AS jaccard, jp.match_count AS shared_terms, hq.query_text
+       FROM jp JOIN hq USING (query_id))"""
+
+SQL["query_hash_scores"] = f"""WITH {jpii_ctes()}, {_HASH}
+SELECT * FROM hr"""
+
+SQL["query_hash_topk"] = f"""WITH {jpii_ctes()}, {_HASH}
+SELECT query_hash, rank, doc_id, jaccard, shared_terms FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_hash ORDER BY jaccard DESC, row_key) AS rank
+  FROM hr WHERE jaccard >= 0.1) z WHERE rank <= 10"""
+
+SQL["escaped_query_text"] = f"""SELECT conv_id, turn, {_ESC} AS text FROM conversations"""
+
+SQL["cells_parse"] = f"""WITH {jpii_ctes()}, {_HASH}
+SELECT term AS row_key, 'docs' AS family, doc_id::VARCHAR AS qualifier, w::VARCHAR AS value FROM kept
+UNION ALL SELECT row_key, 'score', 'jaccard', printf('%.6f', jaccard) FROM hr
+UNION ALL SELECT row_key, 'score', 'shared_terms', shared_terms::VARCHAR FROM hr"""
+
+SQL["cells_import_totals"] = f"""WITH {jpii_ctes()}, {_HASH}
+SELECT (SELECT count(*) FROM kept) + 2 * (SELECT count(*) FROM hr) AS cells,
+       (SELECT count(*) FROM conversations) AS invalid,
+       (SELECT count(*) FROM (SELECT term FROM kept UNION SELECT row_key FROM hr)) AS row_keys,
+       (SELECT count(DISTINCT term) FROM kept) + 2 * (SELECT count(*) FROM hr)
+         + (SELECT count(*) FROM conversations) AS lines"""
+
+_STORE = f"""{jpii_ctes()}, {pair_ctes(None, with_index=False)},
+st AS (SELECT 'jpii' AS mode, query_id AS doc_a, doc_id AS doc_b, match_count, w_query AS w_a, w_doc AS w_b, similarity FROM jp
+       UNION ALL SELECT 'pairwise', doc_a, doc_b, match_count, w_a, w_b, similarity FROM pj WHERE similarity >= 0.5)"""
+
+SQL["store_write_read"] = f"""WITH {_STORE}
+SELECT * FROM st"""
+
+SQL["store_backup"] = SQL["store_write_read"]
+
+SQL["store_counts"] = f"""WITH {_STORE}
+SELECT mode, count(*) AS pairs, least(count(*), 1000)::BIGINT AS capped FROM st GROUP BY mode"""
+
+SQL["store_delete"] = f"""WITH {_STORE},
+tox AS (SELECT doc_id FROM labels WHERE toxic = 1)
+SELECT * FROM st WHERE mode = 'jpii'
+   OR (doc_a NOT IN (SELECT doc_id FROM tox) AND doc_b NOT IN (SELECT doc_id FROM tox))"""
+
+SQL["store_ranked_export"] = f"""WITH {_STORE},
+sc AS (SELECT *, {overlap_sql('match_count', 'w_a', 'w_b')} AS overlap, {f1_sql('match_count', 'w_a', 'w_b')} AS f1
+       FROM st WHERE mode = 'pairwise' AND w_a > 0 AND w_b > 0)
+SELECT rank, doc_a, doc_b, similarity, f1, overlap, match_count, w_a, w_b,
+       CASE WHEN similarity >= 0.7 THEN 'high' WHEN similarity >= 0.4 THEN 'medium' ELSE 'low' END AS band
+FROM (SELECT *, row_number() OVER (ORDER BY {r('similarity', 2)} DESC, {r('f1', 3)} DESC, overlap DESC,
+                                   match_count DESC, doc_a, doc_b) AS rank FROM sc) z WHERE rank <= 5"""
+
+SQL["stored_query_topk"] = f"""WITH {_STORE}
+SELECT * FROM (SELECT row_number() OVER (ORDER BY similarity DESC, doc_a, doc_b) AS rank,
+                      doc_a, doc_b, similarity, match_count FROM st
+               WHERE mode = 'pairwise' AND similarity >= 0.6) z WHERE rank <= 10"""
+
+SQL["upsert_latest"] = """SELECT user_id, event_type, ts, event_id, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
+  FROM events) z WHERE rn = 1"""
+
+SQL["keep_versions"] = """SELECT user_id, event_type, ts, event_id, value, version FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) AS version
+  FROM events) z WHERE version <= 5"""
+
+SQL["term_lookup"] = f"""WITH {doc_index_ctes()},
+top AS (SELECT term FROM kept GROUP BY term ORDER BY count(*) DESC, term LIMIT 1)
+SELECT term, doc_id, w FROM kept WHERE term IN (SELECT term FROM top)"""
+
+SQL["term_multiget"] = f"""WITH {jpii_ctes()}
+SELECT term, doc_id, w FROM kept WHERE term IN (SELECT term FROM qt)"""
+
+SQL["term_prefix_scan"] = f"""WITH {doc_index_ctes()},
+first AS (SELECT DISTINCT term FROM kept WHERE starts_with(term, 'a') ORDER BY term LIMIT 50)
+SELECT term, doc_id, w FROM kept WHERE term IN (SELECT term FROM first)"""
+
+SQL["term_doc_map"] = f"""WITH {doc_index_ctes()}
+SELECT term, doc_id, w FROM kept"""

@@ -218,3 +218,279 @@ def recommend_per_doc(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     pairs = S.pairwise(I.postings(docs), I.corpus_size(docs))
     return P.recommend_per_doc(pairs, 5).select("doc_id", "rank", "other", "similarity", "match_count")
+
+
+# --- text formats ----------------------------------------------------------------
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    from termlens.session import scratch_root
+    return scratch_root(spark, name)
+
+
+@register("index_text_roundtrip")
+def index_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Write index lines as text files, read the folder back, parse."""
+    from termlens.sources import formats as FM
+    path = _scratch(spark, "index-text")
+    lines = FM.index_text_lines(I.nested_index(_pruned(spark, sf, "both")))
+    lines.orderBy("term").select(F.col("line").alias("value")).write.text(path)
+    back = FM.merge_index_rows(FM.parse_index_lines(spark.read.text(path)))
+    return back.select("term", F.col("doc_id").cast("bigint").alias("doc_id"), "w")
+
+
+@register("index_merge_duplicates")
+def index_merge_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Posting lists cut into 50-document chunks and repeated twice,
+    parsed and merged back to one row per (term, doc); df recounted."""
+    from termlens.sources import formats as FM
+    lines = FM.index_text_lines(I.nested_index(_pruned(spark, sf, "both"), chunk_docs=50))
+    twice = lines.select(F.col("line").alias("value")).unionAll(lines.select(F.col("line").alias("value")))
+    merged = FM.merge_index_rows(FM.parse_index_lines(twice))
+    df = merged.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return merged.join(df, "term").select("term", F.col("doc_id").cast("bigint").alias("doc_id"), "w", "df")
+
+
+@register("similarity_tsv_roundtrip")
+def similarity_tsv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """JPII rows -> TSV files (pair by weight) -> strict reader -> rows."""
+    from termlens.sources import formats as FM
+    path = _scratch(spark, "jpii-tsv")
+    FM.jpii_tsv_lines(jpii_scores(spark, sf)).write.text(path)
+    back = FM.parse_jpii_tsv(spark.read.text(path))
+    return back.select(F.col("query_id").cast("bigint").alias("query_id"),
+                       F.col("doc_id").cast("bigint").alias("doc_id"),
+                       "match_count", "w_query", "w_doc", "similarity")
+
+
+@register("pairwise_tsv_lines")
+def pairwise_tsv_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairwise TSV fields with the lexicographic pair label (t >= 0.5 pairs)."""
+    from termlens.sources import formats as FM
+    pairs = pairwise_threshold(spark, sf)
+    return pairs.select(FM.pair_label_lexicographic("doc_a", "doc_b").alias("pair"),
+                        "match_count", "w_a", "w_b", "similarity")
+
+
+@register("cells_unpivot")
+def cells_unpivot(spark: SparkSession, sf: str) -> DataFrame:
+    """The pruned index as (row_key, family:qualifier, value) cells."""
+    from termlens.sources import formats as FM
+    return FM.index_cells(_pruned(spark, sf, "both"))
+
+
+def _cell_input(spark: SparkSession, sf: str) -> DataFrame:
+    from termlens.sources import formats as FM
+    idx = FM.index_text_lines(I.nested_index(_pruned(spark, sf, "both"))).select(F.col("line").alias("value"))
+    cells = FM.cell_lines(FM.score_cells(_hash_rows(spark, sf).select(
+        "row_key", F.format_string("%.6f", "jaccard").alias("jaccard_txt"),
+        F.col("shared_terms").cast("string").alias("shared_txt"))))
+    foreign = table(spark, sf, "conversations").select(T.escape_tabs_newlines("text").alias("value"))
+    return idx.unionByName(cells).unionByName(foreign)
+
+
+@register("cells_parse")
+def cells_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """Index lines, score cell lines and foreign text lines parsed to cells."""
+    from termlens.sources import formats as FM
+    c = FM.parse_cell_lines(_cell_input(spark, sf))
+    return c.where("valid").select("row_key", "family", "qualifier", "value")
+
+
+@register("cells_import_totals")
+def cells_import_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Import totals: lines read, cells produced, invalid lines, row keys."""
+    from termlens.sources import formats as FM
+    lines = _cell_input(spark, sf)
+    c = FM.parse_cell_lines(lines)
+    return c.agg(
+        F.sum(F.when(F.col("valid"), 1).otherwise(0)).cast("bigint").alias("cells"),
+        F.sum(F.when(F.col("valid"), 0).otherwise(1)).cast("bigint").alias("invalid"),
+        F.countDistinct(F.when(F.col("valid"), F.col("row_key"))).alias("row_keys"),
+    ).crossJoin(lines.agg(F.count(F.lit(1)).alias("lines")))
+
+
+# --- query-hash scores (older keyed-store form) -------------------------------------
+
+def _hash_rows(spark: SparkSession, sf: str) -> DataFrame:
+    from termlens.functions.measures import round_half_up
+    q = benchmark_queries(spark, sf)
+    s = jpii_scores(spark, sf)
+    qh = q.select("query_id", T.query_hash("text").alias("query_hash"),
+                  T.escape_tabs_newlines("text").alias("query_text"))
+    return s.join(qh, "query_id").select(
+        F.concat("query_hash", F.lit(":"), F.col("doc_id").cast("string")).alias("row_key"),
+        "query_hash", "doc_id", round_half_up("similarity", 6).alias("jaccard"),
+        F.col("match_count").alias("shared_terms"), "query_text")
+
+
+@register("query_hash_scores")
+def query_hash_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Per query hash and document: Jaccard (6 decimals), shared terms, query text."""
+    return _hash_rows(spark, sf)
+
+
+@register("query_hash_topk")
+def query_hash_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """K9: per query hash, the 10 best documents with Jaccard >= 0.1 (ties: row-key order)."""
+    rows = _hash_rows(spark, sf).where(F.col("jaccard") >= 0.1)
+    return R.top_k(rows, [F.desc("jaccard")], 10, group="query_hash", tie=("row_key",)).select(
+        "query_hash", "rank", "doc_id", "jaccard", "shared_terms")
+
+
+@register("escaped_query_text")
+def escaped_query_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversation texts with tab/newline/CR replaced by spaces."""
+    c = table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", T.escape_tabs_newlines("text").alias("text"))
+
+
+# --- result store ---------------------------------------------------------------------
+
+def _filled_store(spark: SparkSession, sf: str):
+    from termlens.operators.store import TableStore
+    st = TableStore(spark)
+    jp = jpii_scores(spark, sf).select(F.col("query_id").alias("doc_a"), F.col("doc_id").alias("doc_b"),
+                                       "match_count", F.col("w_query").alias("w_a"),
+                                       F.col("w_doc").alias("w_b"), "similarity")
+    st.write_similarity(jp, "jpii")
+    st.write_similarity(pairwise_threshold(spark, sf), "pairwise")
+    return st
+
+
+_STORE_COLS = ["mode", "doc_a", "doc_b", "match_count", "w_a", "w_b", "similarity"]
+
+
+@register("store_write_read")
+def store_write_read(spark: SparkSession, sf: str) -> DataFrame:
+    """JPII rows and t >= 0.5 pairs upserted into the store, read back."""
+    return _filled_store(spark, sf).read("similarity").select(*_STORE_COLS)
+
+
+@register("store_counts")
+def store_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Per mode, distinct stored pairs and the count capped at 1000."""
+    s = _filled_store(spark, sf).read("similarity")
+    return s.groupBy("mode").agg(F.count(F.lit(1)).alias("pairs")).withColumn(
+        "capped", F.least(F.col("pairs"), F.lit(1000)).cast("bigint"))
+
+
+@register("store_delete")
+def store_delete(spark: SparkSession, sf: str) -> DataFrame:
+    """Delete stored pairs that touch a document labelled toxic (either side)."""
+    st = _filled_store(spark, sf)
+    cur = st.read("similarity").where(F.col("mode") == "pairwise")
+    toxic = table(spark, sf, "labels").where("toxic = 1").select("doc_id")
+    doomed = cur.join(toxic.withColumnRenamed("doc_id", "doc_a"), "doc_a", "left_semi").unionByName(
+        cur.join(toxic.withColumnRenamed("doc_id", "doc_b"), "doc_b", "left_semi"))
+    st.delete("similarity", doomed, ["mode", "doc_a", "doc_b"])
+    return st.read("similarity").select(*_STORE_COLS)
+
+
+@register("store_backup")
+def store_backup(spark: SparkSession, sf: str) -> DataFrame:
+    """Back up, truncate, restore; the restored table is returned."""
+    st = _filled_store(spark, sf)
+    dest = _scratch(spark, "backup")
+    st.backup("similarity", dest)
+    st.truncate("similarity")
+    assert st.read("similarity").count() == 0
+    st.restore("similarity", dest)
+    return st.read("similarity").select(*_STORE_COLS)
+
+
+@register("store_ranked_export")
+def store_ranked_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Rank stored pairs (top 5), export CSV, read it back."""
+    from termlens.operators.store import export_ranked
+    st = _filled_store(spark, sf)
+    ranked = st.ranked("pairwise", 5).select("rank", "doc_a", "doc_b", "similarity", "f1", "overlap",
+                                             "match_count", "w_a", "w_b", "band")
+    path = _scratch(spark, "export")
+    export_ranked(ranked, path)
+    schema = ("rank bigint, doc_a bigint, doc_b bigint, similarity double, f1 double, overlap double, "
+              "match_count bigint, w_a bigint, w_b bigint, band string")
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+@register("stored_query_topk")
+def stored_query_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored pairwise rows with similarity >= 0.6, best 10."""
+    st = _filled_store(spark, sf)
+    return st.query_similarity("pairwise", threshold=0.6, limit=10).select(
+        "rank", "doc_a", "doc_b", "similarity", "match_count")
+
+
+# --- keyed upserts on events --------------------------------------------------------
+
+def _events_two_batches(spark: SparkSession, sf: str):
+    ev = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id", "value", "props")
+    mid = ev.select(F.expr("timestamp_micros(CAST((unix_micros(CAST(min(ts) AS TIMESTAMP))"
+                           " + unix_micros(CAST(max(ts) AS TIMESTAMP))) / 2 AS BIGINT))")
+                    .alias("m")).scalar()
+    early = F.coalesce(F.col("ts").cast("timestamp") < mid, F.lit(False))
+    return ev.where(early), ev.where(~early)
+
+
+@register("upsert_latest")
+def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Events arrive in two time batches; keep the latest row per
+    (user_id, event_type) by (ts, event_id)."""
+    from termlens.operators.store import TableStore
+    st = TableStore(spark)
+    first, second = _events_two_batches(spark, sf)
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    st.upsert("events_latest", first, keys, order)
+    st.upsert("events_latest", second, keys, order)
+    return st.read("events_latest")
+
+
+@register("keep_versions")
+def keep_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """The 5 newest rows per (user_id, event_type), version 1 = newest."""
+    from termlens.operators.store import keep_versions as kv
+    ev = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id", "value")
+    return kv(ev, ["user_id", "event_type"], ["ts", "event_id"], 5)
+
+
+# --- index lookups on the stored postings ----------------------------------------------
+
+def _postings_store(spark: SparkSession, sf: str):
+    from termlens.operators.store import TableStore
+    st = TableStore(spark)
+    st.write_postings(_pruned(spark, sf, "both").select("term", "doc_id", "w"))
+    return st
+
+
+@register("term_lookup")
+def term_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """K5: postings of the indexed term with the highest df (ties: smallest term)."""
+    st = _postings_store(spark, sf)
+    top = (st.read("postings").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+           .orderBy(F.desc("df"), "term").limit(1).collect()[0]["term"])
+    return st.lookup_term(top).select("term", "doc_id", "w")
+
+
+@register("term_multiget")
+def term_multiget(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored postings of every benchmark query term (absent terms give nothing)."""
+    st = _postings_store(spark, sf)
+    qt = S.query_terms(benchmark_queries(spark, sf))
+    return st.multiget_terms(qt).select("term", "doc_id", "w")
+
+
+@register("term_prefix_scan")
+def term_prefix_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """K6: postings of the first 50 stored terms that start with 'a'."""
+    st = _postings_store(spark, sf)
+    return st.scan_terms("a", 50).select("term", "doc_id", "w")
+
+
+@register("term_doc_map")
+def term_doc_map(spark: SparkSession, sf: str) -> DataFrame:
+    """K7: term -> map(doc_id -> W) (posting lists chunked), flattened back to rows."""
+    st = _postings_store(spark, sf)
+    p = st.read("postings").select("term", "doc_id", "w")
+    n = p.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    nested = I.nested_index(p.join(n, "term"))
+    maps = nested.select("term", F.map_from_entries("postings").alias("docs"))
+    return maps.select("term", F.explode("docs").alias("doc_id", "w"))
