@@ -110,7 +110,7 @@ def term_weight(terms: str | Column) -> Column:
 
 def normalize_whitespace(text: str | Column) -> Column:
     """T5: collapse every whitespace run to one space and trim."""
-    return F.trim(F.regexp_replace(_col(text), SPLIT_PATTERN, " "), " ")
+    return F.trim(F.regexp_replace(_col(text), SPLIT_PATTERN, " "), F.lit(" "))
 
 
 def strip_escape_residue(text: str | Column) -> Column:
@@ -137,11 +137,11 @@ def strip_boilerplate(text: str | Column) -> Column:
     """
     t = _col(text)
     after_start = F.when(
-        F.regexp_instr(t, BOILERPLATE_START) > 0,
+        F.regexp_instr(t, F.lit(BOILERPLATE_START)) > 0,
         F.regexp_replace(t, r"(?s)^.*?" + BOILERPLATE_START, ""),
     ).otherwise(t)
     return F.when(
-        F.regexp_instr(after_start, BOILERPLATE_END) > 0,
+        F.regexp_instr(after_start, F.lit(BOILERPLATE_END)) > 0,
         F.regexp_replace(after_start, r"(?s)" + BOILERPLATE_END + r".*$", ""),
     ).otherwise(after_start)
 
@@ -168,7 +168,7 @@ def escape_tabs_newlines(text: str | Column) -> Column:
 
 def book_id_from_link(link: str | Column) -> Column:
     """Integer after the last '/' of a link."""
-    return F.element_at(F.split(_col(link), "/"), -1).cast("int")
+    return F.element_at(F.split(_col(link), "/"), -1).try_cast("int")
 
 
 def file_id(row_index: str | Column) -> Column:

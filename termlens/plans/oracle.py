@@ -337,3 +337,51 @@ SELECT term, doc_id, w FROM kept WHERE term IN (SELECT term FROM first)"""
 
 SQL["term_doc_map"] = f"""WITH {doc_index_ctes()}
 SELECT term, doc_id, w FROM kept"""
+
+_WS = f"[{SPLIT_PATTERN[1:-2]}]+"
+_BS = r"\*\*\* ?START OF (THE|THIS) PROJECT GUTENBERG EBOOK[^*]*\*\*\*"
+_BE = r"\*\*\* ?END OF (THE|THIS) PROJECT GUTENBERG EBOOK[^*]*\*\*\*"
+
+
+def _ws_norm(x: str) -> str:
+    return f"trim(regexp_replace({x}, '{_WS}', ' ', 'g'), ' ')"
+
+
+def clean_sql(x: str) -> str:
+    s1 = f"(CASE WHEN regexp_matches({x}, '{_BS}') THEN regexp_replace({x}, '(?s)^.*?{_BS}', '') ELSE {x} END)"
+    s2 = f"(CASE WHEN regexp_matches({s1}, '{_BE}') THEN regexp_replace({s1}, '(?s){_BE}.*$', '') ELSE {s1} END)"
+    s3 = _ws_norm(s2)
+    s4 = f"regexp_replace({s3}, '\\\\[nrt]?', '', 'g')"
+    s5 = s4
+    for bad, good in (("xe2x80x9c", " "), ("xe2x80x9d", " "), ("xe2x80x94", " "),
+                      ("xe2x80x99", "'"), ("xe2x80x98", "'")):
+        s5 = f"replace({s5}, '{bad}', '{good.replace(chr(39), chr(39) * 2)}')"
+    return _ws_norm(s5)
+
+
+SQL["text_clean"] = f"""SELECT doc_id, text FROM (SELECT doc_id, {clean_sql('text')} AS text FROM documents) z
+WHERE length(text) > 0"""
+
+_ANCHOR = '<a href="([^"]*)">([^<]*)</a>'
+
+SQL["page_links"] = f"""SELECT page_id, anchor_text, href,
+       CASE WHEN regexp_matches(href, '^https?://') THEN href
+            ELSE regexp_extract(url, '^(https?://[^/?#]+)', 1) || href END AS url
+FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '{_ANCHOR}', 1)) AS href,
+             unnest(regexp_extract_all(html, '{_ANCHOR}', 2)) AS anchor_text FROM pages) a"""
+
+_META = """meta AS (SELECT (row_number() OVER (ORDER BY page_id) - 1) AS row_idx, page_id,
+                 regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, url AS link,
+                 regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang FROM pages),
+fid AS (SELECT *, TRY_CAST(string_split(link, '/')[-1] AS INTEGER) AS book_id,
+               printf('%05d.txt', row_idx + 1) AS file_id FROM meta)"""
+
+SQL["metadata_slice"] = f"""WITH {_META}
+SELECT row_idx, page_id, title, link, lang, book_id, file_id FROM fid WHERE row_idx >= 10 AND row_idx < 110"""
+
+SQL["metadata_filemap"] = f"""WITH {_META}
+SELECT file_id, page_id, title AS file_name FROM fid"""
+
+SQL["corpus_wholetext"] = SQL["doc_weights"]
+
+SQL["query_files"] = SQL["jpii_scores"]

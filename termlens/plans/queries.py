@@ -494,3 +494,60 @@ def term_doc_map(spark: SparkSession, sf: str) -> DataFrame:
     nested = I.nested_index(p.join(n, "term"))
     maps = nested.select("term", F.map_from_entries("postings").alias("docs"))
     return maps.select("term", F.explode("docs").alias("doc_id", "w"))
+
+
+# --- corpus preparation and sources ------------------------------------------------------
+
+@register("text_clean")
+def text_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned document texts (blank results dropped)."""
+    from termlens.sources.corpus import clean_documents
+    return clean_documents(documents(spark, sf).select("doc_id", "text"))
+
+
+@register("page_links")
+def page_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Every anchor of every page with its absolute URL."""
+    from termlens.sources.corpus import page_links as links
+    return links(table(spark, sf, "pages"))
+
+
+@register("metadata_slice")
+def metadata_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """Page metadata rows 10..109 in page_id order, with book and file ids."""
+    from termlens.sources.corpus import page_metadata, row_slice, with_file_ids
+    meta = row_slice(page_metadata(table(spark, sf, "pages")), ["page_id"], 10, 100)
+    return with_file_ids(meta).select("row_idx", "page_id", "title", "link", "lang", "book_id", "file_id")
+
+
+@register("metadata_filemap")
+def metadata_filemap(spark: SparkSession, sf: str) -> DataFrame:
+    """File map of all pages written as CSV, read back, joined to the metadata."""
+    from termlens.sources.corpus import page_metadata, read_file_map, row_index, with_file_ids, write_file_map
+    meta = with_file_ids(row_index(page_metadata(table(spark, sf, "pages")), ["page_id"]))
+    path = _scratch(spark, "file-map")
+    write_file_map(meta, path)
+    fmap = read_file_map(spark, path)
+    return meta.select("file_id", "page_id").join(fmap, "file_id", "left")
+
+
+@register("corpus_wholetext")
+def corpus_wholetext(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written one file each, read back whole-text, W per document."""
+    from termlens.sources.corpus import read_partitioned_corpus, write_corpus_files
+    path = _scratch(spark, "corpus")
+    write_corpus_files(documents(spark, sf), path)
+    return I.doc_terms(read_partitioned_corpus(spark, path)).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "w")
+
+
+@register("query_files")
+def query_files(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: benchmark queries written one file each, read back as query files, scored (M1)."""
+    from termlens.sources.corpus import read_partitioned_corpus, write_corpus_files
+    path = _scratch(spark, "queries")
+    write_corpus_files(benchmark_queries(spark, sf), path, id_col="query_id")
+    q = read_partitioned_corpus(spark, path, "query_id")
+    docs = documents(spark, sf)
+    return S.jpii(I.postings(docs), I.corpus_size(docs), S.query_terms(q)).withColumn(
+        "query_id", F.col("query_id").cast("bigint"))
