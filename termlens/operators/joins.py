@@ -41,11 +41,12 @@ def reuse(df: DataFrame) -> DataFrame:
 
 
 def term_pairs(postings: DataFrame, block_docs: int = BLOCK_DOCS,
-               extra: tuple[str, ...] = ()) -> DataFrame:
+               extra: tuple[str, ...] = (), keys: tuple[str, ...] = ("term",)) -> DataFrame:
     """Self-join of postings on term emitting each unordered pair once.
 
-    Input columns: term, doc_id, w, df, plus ``extra`` per-posting columns.
-    Output: term, doc_a, doc_b, w_a, w_b and ``<extra>_a``/``<extra>_b``,
+    Input columns: ``keys`` (default: term), doc_id, w, df, plus ``extra``
+    per-posting columns; df is the number of postings of the key.
+    Output: keys, doc_a, doc_b, w_a, w_b and ``<extra>_a``/``<extra>_b``,
     with doc_a < doc_b.
 
     A term with df documents is cut into nb = ceil(df / block_docs) blocks
@@ -57,25 +58,25 @@ def term_pairs(postings: DataFrame, block_docs: int = BLOCK_DOCS,
     block_docs have nb = 1 and are not copied at all.
     """
     nb = F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(block_docs))).cast("int")
-    cols = ["term", "doc_id", "w", *extra]
+    cols = [*keys, "doc_id", "w", *extra]
     base = postings.select(*cols, nb.alias("_nb")).withColumn(
         "_blk", F.pmod(F.xxhash64("doc_id"), F.col("_nb")).cast("int"))
 
     left = base.select(
-        "term",
+        *keys,
         F.col("_blk").alias("_bi"),
         F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1)).alias("_bj"),
         F.col("doc_id").alias("_l_doc"), F.col("w").alias("_l_w"),
         *[F.col(c).alias(f"_l_{c}") for c in extra],
     )
     right = base.select(
-        "term",
+        *keys,
         F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("_bi"),
         F.col("_blk").alias("_bj"),
         F.col("doc_id").alias("_r_doc"), F.col("w").alias("_r_w"),
         *[F.col(c).alias(f"_r_{c}") for c in extra],
     )
-    j = left.join(right, ["term", "_bi", "_bj"]).where(
+    j = left.join(right, [*keys, "_bi", "_bj"]).where(
         (F.col("_bi") < F.col("_bj")) | (F.col("_l_doc") < F.col("_r_doc"))
     )
     l_first = F.col("_l_doc") < F.col("_r_doc")
@@ -84,7 +85,7 @@ def term_pairs(postings: DataFrame, block_docs: int = BLOCK_DOCS,
         return F.when(l_first, F.col(a)).otherwise(F.col(b))
 
     return j.select(
-        "term",
+        *keys,
         pick("_l_doc", "_r_doc").alias("doc_a"),
         pick("_r_doc", "_l_doc").alias("doc_b"),
         pick("_l_w", "_r_w").alias("w_a"),

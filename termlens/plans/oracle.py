@@ -385,3 +385,27 @@ SELECT file_id, page_id, title AS file_name FROM fid"""
 SQL["corpus_wholetext"] = SQL["doc_weights"]
 
 SQL["query_files"] = SQL["jpii_scores"]
+
+SQL["corpus_sweep_metrics"] = f"""WITH {terms_cte('dt0', 'documents', 'doc_id')},
+dw AS (SELECT id AS doc_id, count(*) AS w FROM dt0 GROUP BY id),
+d AS (SELECT lang AS corpus, doc_id FROM documents),
+n AS (SELECT lang AS corpus, count(*) AS books, sum(strlen(text))::BIGINT AS input_bytes
+      FROM documents GROUP BY lang),
+post AS (SELECT d.corpus, dt0.term, dt0.id AS doc_id FROM dt0 JOIN d ON dt0.id = d.doc_id),
+dfs AS (SELECT corpus, term, count(*) AS df FROM post GROUP BY corpus, term),
+kept AS (SELECT post.* FROM post JOIN dfs USING (corpus, term) JOIN n USING (corpus)
+         WHERE dfs.df > 1 AND dfs.df < n.books),
+idx AS (SELECT corpus, count(DISTINCT term) AS unique_words, count(*) AS postings FROM kept GROUP BY corpus),
+{terms_cte('qt', 'benchmark', 'item_id')},
+jp AS (SELECT corpus, count(*) AS jpii_pairs FROM (SELECT DISTINCT kept.corpus, qt.id, kept.doc_id
+       FROM kept JOIN qt USING (term)) z GROUP BY corpus),
+pw AS (SELECT corpus, count(*) AS pairwise_pairs FROM (SELECT DISTINCT a.corpus, a.doc_id AS da, b.doc_id AS db
+       FROM kept a JOIN kept b ON a.corpus = b.corpus AND a.term = b.term AND a.doc_id < b.doc_id) z GROUP BY corpus)
+SELECT n.corpus, n.books, n.input_bytes, coalesce(idx.unique_words, 0) AS unique_words,
+       coalesce(idx.postings, 0) AS postings, coalesce(jp.jpii_pairs, 0) AS jpii_pairs,
+       coalesce(pw.pairwise_pairs, 0) AS pairwise_pairs, (n.books * (n.books - 1) // 2)::BIGINT AS possible_pairs,
+       CASE WHEN n.books * (n.books - 1) // 2 > 0
+            THEN coalesce(pw.pairwise_pairs, 0)::DOUBLE / (n.books * (n.books - 1) // 2) ELSE 0.0 END AS coverage
+FROM n LEFT JOIN idx USING (corpus) LEFT JOIN jp USING (corpus) LEFT JOIN pw USING (corpus)"""
+
+SQL["incremental_index"] = SQL["index_postings_both"]

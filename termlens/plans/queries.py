@@ -551,3 +551,28 @@ def query_files(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     return S.jpii(I.postings(docs), I.corpus_size(docs), S.query_terms(q)).withColumn(
         "query_id", F.col("query_id").cast("bigint"))
+
+
+# --- run metrics ------------------------------------------------------------------------
+
+@register("corpus_sweep_metrics")
+def corpus_sweep_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Per language corpus, index and result counts of a sweep run."""
+    from termlens.operators.metrics import corpus_sweep
+    return corpus_sweep(documents(spark, sf), S.query_terms(benchmark_queries(spark, sf)))
+
+
+# --- incremental index ------------------------------------------------------------------------
+
+@register("incremental_index")
+def incremental_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The English documents arrive first, then every document (English
+    ones again, unchanged, as updates); the pruned index read from the
+    maintained state equals a full rebuild."""
+    from termlens.operators.store import TableStore
+    from termlens.streaming.incremental import apply_batch, index_postings
+    docs = documents(spark, sf).select("doc_id", "text", "lang")
+    st = TableStore(spark)
+    apply_batch(st, docs.where(F.col("lang") == "en"))
+    apply_batch(st, docs)
+    return index_postings(st).select("term", "doc_id", "w", "df")
