@@ -79,7 +79,10 @@ def jpii_idf(post: DataFrame, n_docs: Column, qt: DataFrame, lo: float = 0.05, h
     the document side keeps its full W.
     Output as ``jpii`` plus nothing else; see ``query_term_stats`` for A12.
     """
-    stats = query_term_stats(post, n_docs, qt, lo, hi, policy, max_rows=max_rows)
+    # One row per (query, term found in the index): small, but it needs the
+    # whole pruned index (for N'); keep it so the size checks below and the
+    # main plan do not recompute that index.
+    stats = reuse(query_term_stats(post, n_docs, qt, lo, hi, policy, max_rows=max_rows))
     kept_q = stats.where("kept").select("query_id", "term", "df")
     wq2 = kept_q.groupBy("query_id").agg(F.count(F.lit(1)).alias("wq2"))
     qk = kept_q.join(wq2, "query_id")
@@ -174,25 +177,35 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
     n_d - ceil(t * w_d) + 1 terms.  sim >= t implies m >= t * max(w_a, w_b),
     so two qualifying documents share a prefix term; the prefix self-join
     therefore finds every result pair.  Candidates also pass the length
-    filter min(w) >= t * max(w) and are verified by exact set intersection.
+    filter min(w) >= t * max(w) and are verified by exact set intersection
+    over dense integer term ids (a dictionary numbered in term order, so
+    (df, tid) is the same global order as (df, term)).
     Output as ``pairwise`` (without the IDF band: df pruning only).
     """
     if not 0.0 < t <= 1.0:
         raise ValueError("threshold t must be in (0, 1]")
+    from termlens.sources.corpus import row_index
+    spark = post.sparkSession
     kept = I.prune(post, n_docs, policy)
+    tids = row_index(kept.select("term").distinct(), ["term"]).withColumnRenamed("row_idx", "tid")
+    kid = kept.join(tids, "term").select("tid", "doc_id", "w", "df")
     # A small epsilon keeps float noise in t * w from shortening a prefix.
     need = F.ceil(F.lit(t) * F.col("w") - F.lit(1e-9)).cast("bigint")
     ranked = (
-        kept.withColumn("_r", F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "term")))
+        kid.withColumn("_r", F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "tid")))
         .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("doc_id")))
     )
-    prefix = ranked.where(F.col("_r") <= F.col("_n") - need + 1).select("term", "doc_id", "w", "df")
+    prefix = ranked.where(F.col("_r") <= F.col("_n") - need + 1).select("tid", "doc_id", "w", "df")
     cand = (
-        term_pairs(prefix, block_docs)
+        term_pairs(prefix, block_docs, keys=("tid",))
         .where(F.least("w_a", "w_b") >= F.lit(t) * F.greatest("w_a", "w_b") - F.lit(1e-9))
         .select("doc_a", "doc_b", "w_a", "w_b").distinct()
     )
-    sets = kept.groupBy("doc_id").agg(F.collect_list("term").alias("ts"))
+    # Verification is CPU work per candidate; AQE sizes partitions by bytes,
+    # so give the (small-in-bytes) candidate set an explicit task count.
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cand = cand.repartition(parts)
+    sets = kid.groupBy("doc_id").agg(F.collect_list("tid").alias("ts"))
     ver = (
         cand.join(sets.select(F.col("doc_id").alias("doc_a"), F.col("ts").alias("ts_a")), "doc_a")
         .join(sets.select(F.col("doc_id").alias("doc_b"), F.col("ts").alias("ts_b")), "doc_b")
