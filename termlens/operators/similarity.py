@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from termlens.functions import text as T
 from termlens.functions.measures import jaccard, normalized_idf, ratio
 from termlens.operators import index as I
-from termlens.operators.joins import BLOCK_DOCS, reuse, small_side, term_pairs
+from termlens.operators.joins import BLOCK_DOCS, reuse, row_count_at_most, small_side, term_pairs
 
 # Broadcast bound for query-term tables (rows).
 QUERY_TERMS_MAX_ROWS = 5_000_000
@@ -34,11 +34,19 @@ def query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "t
                      T.term_weight("terms").alias("wq"))
 
 
-def _query_side(qt: DataFrame, max_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Checked broadcast of the query terms and of their distinct term set."""
+def _query_side(qt: DataFrame, max_rows: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Checked broadcast of the query terms and of their distinct term set.
+
+    Returns (query terms, distinct terms, whether the term set is within the
+    bound); anything keyed by one row per query term inherits that bound.
+    """
     qt_b = small_side(qt, max_rows)
     terms = qt.select("term").distinct()
-    return qt_b, small_side(terms, max_rows)
+    small = row_count_at_most(terms, max_rows)
+    return qt_b, (F.broadcast(terms) if small else terms), small
+
+
+
 
 
 def jpii(post: DataFrame, n_docs: Column, qt: DataFrame, policy: str = "both",
@@ -52,11 +60,11 @@ def jpii(post: DataFrame, n_docs: Column, qt: DataFrame, policy: str = "both",
     Output: query_id, doc_id, match_count, w_query, w_doc, similarity.
     Only documents sharing at least one kept term appear.
     """
-    qt_b, terms_b = _query_side(qt, max_rows)
+    qt_b, terms_b, small = _query_side(qt, max_rows)
     # postings of query terms only (broadcast semi-join, no shuffle).
     pq = reuse(post.join(terms_b, "term", "left_semi"))
     # df of those terms only; the kept set is bounded by the query terms.
-    kept = I.prune(pq, n_docs, policy, max_df=max_df, broadcast_terms=True)
+    kept = I.prune(pq, n_docs, policy, max_df=max_df, broadcast_terms=small)
     m = kept.join(qt_b, "term")
     if exclude_self:  # F6
         m = m.where(F.col("doc_id") != F.col("query_id"))
@@ -112,11 +120,12 @@ def query_term_stats(post: DataFrame, n_docs: Column, qt: DataFrame, lo: float =
     """
     pruned = I.prune(post, n_docs, policy)
     n_prime = I.indexed_doc_count(pruned)
-    _, terms_b = _query_side(qt, max_rows)
+    _, terms_b, small = _query_side(qt.select("query_id", "term"), max_rows)
     tdf = pruned.join(terms_b, "term", "left_semi").select("term", "df").distinct()
     tdf = tdf.withColumn("idf", normalized_idf("df", n_prime))
+    # tdf has at most one row per query term, so it is bounded by the check above.
     return (
-        qt.select("query_id", "term").join(F.broadcast(tdf), "term")
+        qt.select("query_id", "term").join(F.broadcast(tdf) if small else tdf, "term")
         .withColumn("kept", F.col("idf").between(lo, hi))
     )
 

@@ -302,11 +302,12 @@ def cells_import_totals(spark: SparkSession, sf: str) -> DataFrame:
     from termlens.sources import formats as FM
     lines = _cell_input(spark, sf)
     c = FM.parse_cell_lines(lines)
+    n_lines = lines.select(F.count(F.lit(1)).alias("lines")).scalar()
     return c.agg(
         F.sum(F.when(F.col("valid"), 1).otherwise(0)).cast("bigint").alias("cells"),
         F.sum(F.when(F.col("valid"), 0).otherwise(1)).cast("bigint").alias("invalid"),
         F.countDistinct(F.when(F.col("valid"), F.col("row_key"))).alias("row_keys"),
-    ).crossJoin(lines.agg(F.count(F.lit(1)).alias("lines")))
+    ).withColumn("lines", n_lines)
 
 
 # --- query-hash scores (older keyed-store form) -------------------------------------
