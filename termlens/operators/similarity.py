@@ -187,21 +187,25 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
     so two qualifying documents share a prefix term; the prefix self-join
     therefore finds every result pair.  Candidates also pass the length
     filter min(w) >= t * max(w) and are verified by exact set intersection
-    over dense integer term ids (a dictionary numbered in term order, so
-    (df, tid) is the same global order as (df, term)).
+    over integer term ids (hashes proven collision-free on the vocabulary).
     Output as ``pairwise`` (without the IDF band: df pruning only).
     """
     if not 0.0 < t <= 1.0:
         raise ValueError("threshold t must be in (0, 1]")
-    from termlens.sources.corpus import row_index
     spark = post.sparkSession
     kept = I.prune(post, n_docs, policy)
-    tids = row_index(kept.select("term").distinct(), ["term"]).withColumnRenamed("row_idx", "tid")
-    kid = kept.join(tids, "term").select("tid", "doc_id", "w", "df")
+    # Integer term ids for the joins and the set intersections: xxhash64 of
+    # the term, used only after one aggregate proves it is injective on the
+    # kept vocabulary (else the strings themselves are the ids), so the
+    # verification stays exact.
+    counts = kept.select("term").distinct().agg(
+        F.count(F.lit(1)).alias("terms"), F.countDistinct(F.xxhash64("term")).alias("ids")).first()
+    tid = F.xxhash64("term") if counts["terms"] == counts["ids"] else F.col("term")
+    kid = kept.select("term", tid.alias("tid"), "doc_id", "w", "df")
     # A small epsilon keeps float noise in t * w from shortening a prefix.
     need = F.ceil(F.lit(t) * F.col("w") - F.lit(1e-9)).cast("bigint")
     ranked = (
-        kid.withColumn("_r", F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "tid")))
+        kid.withColumn("_r", F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "term")))
         .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("doc_id")))
     )
     prefix = ranked.where(F.col("_r") <= F.col("_n") - need + 1).select("tid", "doc_id", "w", "df")
