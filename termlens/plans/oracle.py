@@ -409,3 +409,10 @@ SELECT n.corpus, n.books, n.input_bytes, coalesce(idx.unique_words, 0) AS unique
 FROM n LEFT JOIN idx USING (corpus) LEFT JOIN jp USING (corpus) LEFT JOIN pw USING (corpus)"""
 
 SQL["incremental_index"] = SQL["index_postings_both"]
+
+SQL["jpii_ranked_lines"] = f"""WITH {jpii_ctes()}, rk AS ({ranked_sql('jp', 0.1, 3)})
+SELECT query_id, rank, rank::VARCHAR || chr(9) || doc_id::VARCHAR || chr(9) || printf('%.2f', {r('jaccard', 2)})
+       || chr(9) || printf('%.3f', {r('f1', 3)}) || chr(9) || printf('%.3f', {r('overlap', 3)}) || chr(9)
+       || match_count::VARCHAR AS line FROM rk"""
+
+SQL["store_json_export"] = SQL["jpii_ranked_v3"]

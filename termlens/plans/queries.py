@@ -577,3 +577,30 @@ def incremental_index(spark: SparkSession, sf: str) -> DataFrame:
     apply_batch(st, docs.where(F.col("lang") == "en"))
     apply_batch(st, docs)
     return index_postings(st).select("term", "doc_id", "w", "df")
+
+
+@register("jpii_ranked_lines")
+def jpii_ranked_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranked output lines ``rank  doc  jaccard(.2f)  f1(.3f)  overlap(.3f)  m``."""
+    from termlens.functions.measures import fixed_decimals
+    r = jpii_ranked_v3(spark, sf)
+    line = F.concat_ws("\t", F.col("rank").cast("string"), F.col("doc_id").cast("string"),
+                       fixed_decimals("jaccard", 2), fixed_decimals("f1", 3), fixed_decimals("overlap", 3),
+                       F.col("match_count").cast("string"))
+    return r.select("query_id", "rank", line.alias("line"))
+
+
+@register("store_json_export")
+def store_json_export(spark: SparkSession, sf: str) -> DataFrame:
+    """S17 (JSON): stored JPII rows ranked per query (top 5), exported as JSON lines, read back."""
+    from termlens.operators.store import export_ranked
+    st = _filled_store(spark, sf)
+    s = st.read("similarity").where(F.col("mode") == "jpii").select(
+        F.col("doc_a").alias("query_id"), F.col("doc_b").alias("doc_id"), "match_count",
+        F.col("w_a").alias("w_query"), F.col("w_b").alias("w_doc"), "similarity")
+    ranked = R.rank_jpii(s)
+    path = _scratch(spark, "json-export")
+    export_ranked(ranked, path, fmt="json")
+    schema = ("query_id bigint, rank bigint, doc_id bigint, jaccard double, f1 double, overlap double, "
+              "match_count bigint")
+    return spark.read.schema(schema).json(path)
