@@ -252,10 +252,11 @@ def index_merge_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("similarity_tsv_roundtrip")
 def similarity_tsv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """JPII rows -> TSV files (pair by weight) -> strict reader -> rows."""
+    """JPII rows -> TSV files sorted by pair (pair by weight)
+    -> strict reader -> rows."""
     from termlens.sources import formats as FM
     path = _scratch(spark, "jpii-tsv")
-    FM.jpii_tsv_lines(jpii_scores(spark, sf)).write.text(path)
+    FM.jpii_tsv_lines(jpii_scores(spark, sf)).orderBy("value").write.text(path)
     back = FM.parse_jpii_tsv(spark.read.text(path))
     return back.select(F.col("query_id").cast("bigint").alias("query_id"),
                        F.col("doc_id").cast("bigint").alias("doc_id"),
