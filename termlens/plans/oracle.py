@@ -416,3 +416,6 @@ SELECT query_id, rank, rank::VARCHAR || chr(9) || doc_id::VARCHAR || chr(9) || p
        || match_count::VARCHAR AS line FROM rk"""
 
 SQL["store_json_export"] = SQL["jpii_ranked_v3"]
+
+SQL["jpii_scores_unpruned"] = f"""WITH {jpii_ctes('none')}
+SELECT * FROM jp"""

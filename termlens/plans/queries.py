@@ -605,3 +605,12 @@ def store_json_export(spark: SparkSession, sf: str) -> DataFrame:
     schema = ("query_id bigint, rank bigint, doc_id bigint, jaccard double, f1 double, overlap double, "
               "match_count bigint")
     return spark.read.schema(schema).json(path)
+
+
+@register("jpii_scores_unpruned")
+def jpii_scores_unpruned(spark: SparkSession, sf: str) -> DataFrame:
+    """J1/M1 with no df pruning (every shared term counts), as when scoring a
+    stream of arriving documents against fixed queries."""
+    docs = documents(spark, sf)
+    return S.jpii(I.postings(docs), I.corpus_size(docs), S.query_terms(benchmark_queries(spark, sf)),
+                  policy="none")

@@ -74,3 +74,33 @@ def start_stream(spark: SparkSession, source_dir: str, store: TableStore, schema
         apply_batch(store, batch, id_col, text_col)
 
     return src.writeStream.foreachBatch(_each).option("checkpointLocation", ckpt).start()
+
+
+def score_batch(store: TableStore, batch: DataFrame, query_terms: DataFrame,
+                id_col: str = "doc_id", text_col: str = "text") -> None:
+    """Score one batch of arriving documents against fixed queries (J1 + M1).
+
+    df and N move while documents arrive, so no df pruning is applied: m
+    counts every shared term.  Rows are upserted into the ``scores`` table
+    keyed by (query_id, doc_id), newest wins, so a retried batch (or a
+    re-sent document) replaces its earlier rows instead of adding to them.
+    """
+    from termlens.operators.similarity import jpii
+    post = I.postings(batch, id_col, text_col)
+    n = F.lit(0)  # unused by the "none" policy
+    s = stamp(jpii(post, n, query_terms, policy="none"))
+    store.upsert("scores", s, ["query_id", "doc_id"], ["computed_at"])
+
+
+def start_scoring_stream(spark: SparkSession, source_dir: str, store: TableStore, schema: str,
+                         query_terms: DataFrame, checkpoint: str | None = None,
+                         max_files_per_trigger: int = 1) -> StreamingQuery:
+    """Stream document files and keep their scores against ``query_terms``."""
+    ckpt = checkpoint or scratch_root(spark, "score-ckpt")
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+           .parquet(source_dir))
+
+    def _each(batch: DataFrame, _epoch: int) -> None:
+        score_batch(store, batch, query_terms)
+
+    return src.writeStream.foreachBatch(_each).option("checkpointLocation", ckpt).start()

@@ -41,3 +41,21 @@ def test_stream_of_files(spark, tmp_path):
     q.stop()
     got = sorted(tuple(r) for r in index_postings(st).select("term", "doc_id", "w", "df").collect())
     assert got == _full(spark, batches[0] + batches[1])
+
+
+def test_scoring_stream_matches_batch_scores(spark, tmp_path):
+    from termlens.operators import similarity as S
+    from termlens.streaming.incremental import start_scoring_stream
+    src = tmp_path / "docs"
+    src.mkdir()
+    batches = [[(1, "red fox jumps"), (2, "blue dog sleeps")], [(3, "red dog"), (1, "red fox jumps")]]
+    for i, b in enumerate(batches):
+        pq.write_table(pa.table({"doc_id": [r[0] for r in b], "text": [r[1] for r in b]}),
+                       str(src / f"part-{i}.parquet"))
+    qt = S.query_terms(spark.createDataFrame([(10, "red dog"), (11, "fox")], "query_id long, text string"))
+    st = TableStore(spark, str(tmp_path / "s"))
+    q = start_scoring_stream(spark, str(src), st, "doc_id long, text string", qt, checkpoint=str(tmp_path / "ck"))
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((r.query_id, r.doc_id, r.match_count, r.similarity) for r in st.read("scores").collect())
+    assert got == [(10, 1, 1, 1 / 4), (10, 2, 1, 1 / 4), (10, 3, 2, 1.0), (11, 1, 1, 1 / 3)]
