@@ -100,3 +100,16 @@ def test_tf_postings(spark):
     tf = {(r.term, r.doc_id): (r.tf, r.w) for r in I.postings_tf(d).collect()}
     assert tf[("red", "a")] == (2, 2) and tf[("fox", "a")] == (1, 2) and tf[("dog", "b")] == (1, 2)
     assert d.select(F.lit(1)).count() == 2
+
+
+def test_corpus_directory_ids_are_file_names(spark, tmp_path):
+    from termlens.sources.corpus import read_corpus_dir, read_query_files
+    d = tmp_path / "books"
+    d.mkdir()
+    (d / "00001.txt").write_text("The bison, the trap\nand snow")
+    (d / "00002.txt").write_text("")
+    got = {r.doc_id: r.text for r in read_corpus_dir(spark, str(d)).collect()}
+    assert set(got) == {"00001.txt", "00002.txt"} and got["00002.txt"] == ""
+    w = {r.doc_id: r.w for r in I.doc_terms(read_corpus_dir(spark, str(d))).collect()}
+    assert w == {"00001.txt": 3, "00002.txt": 0}
+    assert [r.query_id for r in read_query_files(spark, str(d)).collect()].count("00001.txt") == 1
