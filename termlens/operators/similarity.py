@@ -188,6 +188,9 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
     therefore finds every result pair.  Candidates also pass the length
     filter min(w) >= t * max(w) and are verified by exact set intersection
     over integer term ids (hashes proven collision-free on the vocabulary).
+    Exact copies (same W and kept set) are joined once through one
+    representative and expanded afterwards, so intermediate data stays
+    proportional to the result even when one text has very many copies.
     Output as ``pairwise`` (without the IDF band: df pruning only).
     """
     if not 0.0 < t <= 1.0:
@@ -202,10 +205,18 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
         F.count(F.lit(1)).alias("terms"), F.countDistinct(F.xxhash64("term")).alias("ids")).first()
     tid = F.xxhash64("term") if counts["terms"] == counts["ids"] else F.col("term")
     kid = kept.select("term", tid.alias("tid"), "doc_id", "w", "df")
+    sets = kid.groupBy("doc_id", "w").agg(F.array_sort(F.collect_list("tid")).alias("ts"))
+    # Exact copies (same W, same kept set) are collapsed to one representative
+    # so a group of copies never multiplies the prefix join: the join and the
+    # verification run on representatives; results are expanded to members.
+    groups = sets.groupBy("w", "ts").agg(F.min("doc_id").alias("gid"), F.count(F.lit(1)).alias("copies"))
+    members = reuse(sets.join(groups, ["w", "ts"]).select("doc_id", "gid", "w", "copies"))
+    reps = members.where(F.col("doc_id") == F.col("gid")).select("doc_id")
+    rkid = kid.join(reps, "doc_id", "left_semi")
     # A small epsilon keeps float noise in t * w from shortening a prefix.
     need = F.ceil(F.lit(t) * F.col("w") - F.lit(1e-9)).cast("bigint")
     ranked = (
-        kid.withColumn("_r", F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "term")))
+        rkid.withColumn("_r", F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "term")))
         .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("doc_id")))
     )
     prefix = ranked.where(F.col("_r") <= F.col("_n") - need + 1).select("tid", "doc_id", "w", "df")
@@ -218,13 +229,36 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
     # so give the (small-in-bytes) candidate set an explicit task count.
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cand = cand.repartition(parts)
-    sets = kid.groupBy("doc_id").agg(F.collect_list("tid").alias("ts"))
+    rsets = sets.join(reps, "doc_id", "left_semi").select("doc_id", "ts")
     ver = (
-        cand.join(sets.select(F.col("doc_id").alias("doc_a"), F.col("ts").alias("ts_a")), "doc_a")
-        .join(sets.select(F.col("doc_id").alias("doc_b"), F.col("ts").alias("ts_b")), "doc_b")
+        cand.join(rsets.select(F.col("doc_id").alias("doc_a"), F.col("ts").alias("ts_a")), "doc_a")
+        .join(rsets.select(F.col("doc_id").alias("doc_b"), F.col("ts").alias("ts_b")), "doc_b")
         .select("doc_a", "doc_b", "w_a", "w_b",
                 F.size(F.array_intersect("ts_a", "ts_b")).cast("bigint").alias("match_count"))
+        .where(jaccard("match_count", "w_a", "w_b") >= F.lit(t))
     )
+    # Expand representative pairs to all member pairs (output-sized).
+    ma = members.select(F.col("gid").alias("doc_a"), F.col("doc_id").alias("x"))
+    mb = members.select(F.col("gid").alias("doc_b"), F.col("doc_id").alias("y"))
+    ex = ver.join(ma, "doc_a").join(mb, "doc_b")
+    x_first = F.col("x") < F.col("y")
+    cross = ex.select(
+        F.when(x_first, F.col("x")).otherwise(F.col("y")).alias("doc_a"),
+        F.when(x_first, F.col("y")).otherwise(F.col("x")).alias("doc_b"),
+        F.when(x_first, F.col("w_a")).otherwise(F.col("w_b")).alias("w_a"),
+        F.when(x_first, F.col("w_b")).otherwise(F.col("w_a")).alias("w_b"),
+        "match_count",
+    )
+    # Pairs inside a group of copies share all n kept terms: m = n.  They are
+    # produced by the block-split self-join keyed by group, so a group with
+    # a third of all documents is spread over many tasks.
+    inside = (groups.where(F.col("copies") >= 2)
+              .withColumn("n", F.size("ts").cast("bigint"))
+              .where(jaccard("n", "w", "w") >= F.lit(t)).select("gid", "n"))
+    mem = members.join(inside, "gid").select("gid", "doc_id", "w", F.col("copies").alias("df"), "n")
+    within = term_pairs(mem, block_docs, extra=("n",), keys=("gid",)).select(
+        "doc_a", "doc_b", "w_a", "w_b", F.col("n_a").alias("match_count"))
+    ver = cross.unionByName(within)
     out = ver.select("doc_a", "doc_b", "match_count", "w_a", "w_b",
                      jaccard("match_count", "w_a", "w_b").alias("similarity"))
     return out.where(F.col("similarity") >= F.lit(t))

@@ -74,3 +74,14 @@ def test_pairwise_bounds_and_symmetry(spark):
         assert r.doc_a < r.doc_b
         assert 0.0 < r.similarity <= 1.0
         assert r.match_count <= min(r.w_a, r.w_b)
+
+
+def test_threshold_join_with_a_huge_copy_group(spark):
+    rows = corpus(5, 30)
+    rows += [(1000 + i, "alpha beta gamma delta eps") for i in range(30)]  # half the corpus: copies
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_a, r.doc_b): (r.match_count, r.similarity)
+           for r in S.pairwise_threshold(I.postings(docs), I.corpus_size(docs), 0.5, block_docs=4).collect()}
+    want = {k: v for k, v in brute(rows).items() if v[1] >= 0.5}
+    assert got == want
+    assert sum(1 for a, b in got if a >= 1000 and b >= 1000) == 30 * 29 // 2
