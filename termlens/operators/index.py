@@ -2,10 +2,12 @@
 
 The primary index is the flat ``postings(term, doc_id, w)`` table: one row
 per distinct (document, term), W = the document's number of distinct
-non-stopword terms.  It is produced map-side (explode, no shuffle); the
-only shuffle of an index build is the document-frequency aggregate, which
-is partially aggregated before the exchange, so a term present in a
-third of all documents costs one partial count per input partition.
+non-stopword terms.  It is produced map-side (explode, no shuffle).  The
+document-frequency aggregate is partially aggregated before its exchange,
+so a term present in a third of all documents costs one partial count per
+input partition; pruning joins (term, df) back onto the postings, as a
+broadcast when the kept-term set is checked (or measured by AQE) small,
+otherwise as a shuffle join whose skewed partitions AQE splits.
 
 Pruning is applied when the index is read, never baked into storage, so
 adding documents (which changes df and N) needs no rewrite of old rows.

@@ -1,9 +1,10 @@
-"""End-to-end searches composed from the operators.
+"""End-to-end searches composed from the operators.
 
 Each function takes DataFrames and returns a lazy DataFrame; nothing is
-collected.  The corpus is tokenized once per plan branch; callers that run
-many searches over one corpus persist the postings with
-``store.write_postings`` and pass the stored table instead.
+collected.  These take documents and tokenize them inside the plan; to run
+many searches over one corpus, store the postings once
+(``TableStore.write_postings``) and call the operators of
+``operators.similarity`` on the stored postings instead.
 """
 
 from __future__ import annotations

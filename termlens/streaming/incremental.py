@@ -34,9 +34,11 @@ def init_index(store: TableStore) -> None:
 
 
 def apply_batch(store: TableStore, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Upsert a batch of documents (the last row of a doc_id in the batch wins
-    arbitrarily only if the batch itself repeats an id with different text;
-    pass one row per document)."""
+    """Upsert a batch of documents: their postings replace any earlier ones.
+
+    A batch should hold one row per document; if it repeats an id, one of
+    those rows wins arbitrarily.
+    """
     init_index(store)
     dt = stamp(I.doc_terms(batch, id_col, text_col))
     new_docs = dt.select("doc_id", "w", "computed_at")
