@@ -205,21 +205,26 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
         F.count(F.lit(1)).alias("terms"), F.countDistinct(F.xxhash64("term")).alias("ids")).first()
     tid = F.xxhash64("term") if counts["terms"] == counts["ids"] else F.col("term")
     kid = kept.select("term", tid.alias("tid"), "doc_id", "w", "df")
-    sets = kid.groupBy("doc_id", "w").agg(F.array_sort(F.collect_list("tid")).alias("ts"))
+    # One aggregation per document: its kept terms as (df, term, tid) in the
+    # global order.  The prefix, the copy-group key and the verification set
+    # all derive from it, so it is kept for its four consumers.
+    docs = reuse(kid.groupBy("doc_id", "w").agg(
+        F.array_sort(F.collect_list(F.struct("df", "term", "tid"))).alias("items"))
+        .withColumn("ts", F.array_sort(F.transform("items", lambda x: x["tid"]))))
     # Exact copies (same W, same kept set) are collapsed to one representative
     # so a group of copies never multiplies the prefix join: the join and the
     # verification run on representatives; results are expanded to members.
-    groups = sets.groupBy("w", "ts").agg(F.min("doc_id").alias("gid"), F.count(F.lit(1)).alias("copies"))
-    members = reuse(sets.join(groups, ["w", "ts"]).select("doc_id", "gid", "w", "copies"))
+    groups = docs.groupBy("w", "ts").agg(F.min("doc_id").alias("gid"), F.count(F.lit(1)).alias("copies"))
+    members = reuse(docs.join(groups, ["w", "ts"]).select("doc_id", "gid", "w", "copies"))
     reps = members.where(F.col("doc_id") == F.col("gid")).select("doc_id")
-    rkid = kid.join(reps, "doc_id", "left_semi")
-    # A small epsilon keeps float noise in t * w from shortening a prefix.
-    need = F.ceil(F.lit(t) * F.col("w") - F.lit(1e-9)).cast("bigint")
-    ranked = (
-        rkid.withColumn("_r", F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "term")))
-        .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("doc_id")))
-    )
-    prefix = ranked.where(F.col("_r") <= F.col("_n") - need + 1).select("tid", "doc_id", "w", "df")
+    rdocs = docs.join(reps, "doc_id", "left_semi")
+    # Prefix length n - ceil(t*w) + 1; a small epsilon keeps float noise in
+    # t * w from shortening a prefix.
+    need = F.ceil(F.lit(t) * F.col("w") - F.lit(1e-9)).cast("int")
+    plen = F.size("items") - need + 1
+    prefix = (rdocs.where(plen > 0)
+              .select("doc_id", "w", F.explode(F.slice("items", 1, plen)).alias("it"))
+              .select(F.col("it.tid").alias("tid"), "doc_id", "w", F.col("it.df").alias("df")))
     cand = (
         term_pairs(prefix, block_docs, keys=("tid",))
         .where(F.least("w_a", "w_b") >= F.lit(t) * F.greatest("w_a", "w_b") - F.lit(1e-9))
@@ -229,7 +234,7 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
     # so give the (small-in-bytes) candidate set an explicit task count.
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cand = cand.repartition(parts)
-    rsets = sets.join(reps, "doc_id", "left_semi").select("doc_id", "ts")
+    rsets = rdocs.select("doc_id", "ts")
     ver = (
         cand.join(rsets.select(F.col("doc_id").alias("doc_a"), F.col("ts").alias("ts_a")), "doc_a")
         .join(rsets.select(F.col("doc_id").alias("doc_b"), F.col("ts").alias("ts_b")), "doc_b")
