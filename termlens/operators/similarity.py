@@ -130,6 +130,66 @@ def query_term_stats(post: DataFrame, n_docs: Column, qt: DataFrame, lo: float =
     )
 
 
+def _copy_groups(doc_sets: DataFrame) -> DataFrame:
+    """Members of exact-copy groups: (doc_id, gid, w, copies, n).
+
+    ``doc_sets`` has one row per document: doc_id, w and ``ts``, its sorted
+    kept-term set.  Documents with the same (w, ts) form a group whose id is
+    its smallest doc_id; n is the number of kept terms they all share.  The
+    group aggregate is partial before its shuffle and the join back is split
+    by AQE when one group is very large.
+    """
+    groups = doc_sets.groupBy("w", "ts").agg(F.min("doc_id").alias("gid"), F.count(F.lit(1)).alias("copies"))
+    return reuse(doc_sets.join(groups, ["w", "ts"]).select(
+        "doc_id", "gid", "w", "copies", F.size("ts").cast("bigint").alias("n")))
+
+
+def _expand_copies(rep_pairs: DataFrame, members: DataFrame, block_docs: int,
+                   inside_ok: Column | None = None) -> DataFrame:
+    """Expand pairs of group representatives to all member pairs and add the
+    pairs inside each group.  Output: doc_a < doc_b, w_a, w_b, match_count.
+
+    Inside a group every pair shares all n kept terms (m = n); those pairs
+    come from the block-split self-join keyed by group, so a group holding a
+    third of the corpus is spread over many tasks.  ``inside_ok`` (a
+    condition on n and w) filters which groups contribute inside pairs.
+    """
+    ma = members.select(F.col("gid").alias("doc_a"), F.col("doc_id").alias("x"))
+    mb = members.select(F.col("gid").alias("doc_b"), F.col("doc_id").alias("y"))
+    ex = rep_pairs.join(ma, "doc_a").join(mb, "doc_b")
+    x_first = F.col("x") < F.col("y")
+    cross = ex.select(
+        F.when(x_first, F.col("x")).otherwise(F.col("y")).alias("doc_a"),
+        F.when(x_first, F.col("y")).otherwise(F.col("x")).alias("doc_b"),
+        F.when(x_first, F.col("w_a")).otherwise(F.col("w_b")).alias("w_a"),
+        F.when(x_first, F.col("w_b")).otherwise(F.col("w_a")).alias("w_b"),
+        "match_count",
+    )
+    inside = members.where(F.col("copies") >= 2)
+    if inside_ok is not None:
+        inside = inside.where(inside_ok)
+    mem = inside.select("gid", "doc_id", "w", F.col("copies").alias("df"), "n")
+    within = term_pairs(mem, block_docs, extra=("n",), keys=("gid",)).select(
+        "doc_a", "doc_b", "w_a", "w_b", F.col("n_a").alias("match_count"))
+    return cross.unionByName(within)
+
+
+def _collapsed_match_counts(kept: DataFrame, block_docs: int) -> DataFrame:
+    """Match counts of all pairs sharing a kept term, exact copies collapsed.
+
+    Pairs of distinct term sets are counted once on group representatives
+    and expanded; so copies of one text add output rows only, not repeated
+    per-term pair emissions.
+    """
+    doc_sets = kept.groupBy("doc_id", "w").agg(F.array_sort(F.collect_list("term")).alias("ts"))
+    members = _copy_groups(doc_sets)
+    reps = members.where(F.col("doc_id") == F.col("gid")).select("doc_id")
+    rkept = kept.join(reps, "doc_id", "left_semi")
+    rep_pairs = term_pairs(rkept, block_docs).groupBy("doc_a", "doc_b", "w_a", "w_b").agg(
+        F.count(F.lit(1)).alias("match_count"))
+    return _expand_copies(rep_pairs, members, block_docs)
+
+
 def pairwise(post: DataFrame, n_docs: Column, policy: str = "both", lo: float | None = 0.05,
              hi: float | None = 0.95, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """P2 core (J2/A8/M2): pruned Jaccard of every document pair sharing a kept term.
@@ -139,8 +199,7 @@ def pairwise(post: DataFrame, n_docs: Column, policy: str = "both", lo: float |
     Output: doc_a < doc_b, match_count, w_a, w_b, similarity.
     """
     kept = _pair_terms(post, n_docs, policy, lo, hi)
-    pairs = term_pairs(kept, block_docs)
-    agg = pairs.groupBy("doc_a", "doc_b", "w_a", "w_b").agg(F.count(F.lit(1)).alias("match_count"))
+    agg = _collapsed_match_counts(kept, block_docs)
     return agg.select("doc_a", "doc_b", "match_count", "w_a", "w_b",
                       jaccard("match_count", "w_a", "w_b").alias("similarity"))
 
@@ -157,7 +216,14 @@ def pairwise_weighted(post: DataFrame, n_docs: Column, policy: str = "both",
     Output: doc_a, doc_b, match_count, w_a, w_b, sum_min, sum_max, similarity.
     """
     kept = _pair_terms(post, n_docs, policy, lo, hi)
-    extra = () if weight == "w" else (weight,)
+    if weight == "w":
+        # W is constant per document, so the sums are m * min(W) and m * max(W).
+        agg = _collapsed_match_counts(kept, block_docs).select(
+            "doc_a", "doc_b", "w_a", "w_b", "match_count",
+            (F.col("match_count") * F.least("w_a", "w_b")).cast("bigint").alias("sum_min"),
+            (F.col("match_count") * F.greatest("w_a", "w_b")).cast("bigint").alias("sum_max"))
+        return agg.withColumn("similarity", ratio("sum_min", "sum_max"))
+    extra = (weight,)
     pairs = term_pairs(kept, block_docs, extra=extra)
     wa, wb = (F.col("w_a"), F.col("w_b")) if weight == "w" else (F.col(f"{weight}_a"), F.col(f"{weight}_b"))
     agg = pairs.groupBy("doc_a", "doc_b", "w_a", "w_b").agg(
@@ -214,8 +280,7 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
     # Exact copies (same W, same kept set) are collapsed to one representative
     # so a group of copies never multiplies the prefix join: the join and the
     # verification run on representatives; results are expanded to members.
-    groups = docs.groupBy("w", "ts").agg(F.min("doc_id").alias("gid"), F.count(F.lit(1)).alias("copies"))
-    members = reuse(docs.join(groups, ["w", "ts"]).select("doc_id", "gid", "w", "copies"))
+    members = _copy_groups(docs.select("doc_id", "w", "ts"))
     reps = members.where(F.col("doc_id") == F.col("gid")).select("doc_id")
     rdocs = docs.join(reps, "doc_id", "left_semi")
     # Prefix length n - ceil(t*w) + 1; a small epsilon keeps float noise in
@@ -242,28 +307,7 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
                 F.size(F.array_intersect("ts_a", "ts_b")).cast("bigint").alias("match_count"))
         .where(jaccard("match_count", "w_a", "w_b") >= F.lit(t))
     )
-    # Expand representative pairs to all member pairs (output-sized).
-    ma = members.select(F.col("gid").alias("doc_a"), F.col("doc_id").alias("x"))
-    mb = members.select(F.col("gid").alias("doc_b"), F.col("doc_id").alias("y"))
-    ex = ver.join(ma, "doc_a").join(mb, "doc_b")
-    x_first = F.col("x") < F.col("y")
-    cross = ex.select(
-        F.when(x_first, F.col("x")).otherwise(F.col("y")).alias("doc_a"),
-        F.when(x_first, F.col("y")).otherwise(F.col("x")).alias("doc_b"),
-        F.when(x_first, F.col("w_a")).otherwise(F.col("w_b")).alias("w_a"),
-        F.when(x_first, F.col("w_b")).otherwise(F.col("w_a")).alias("w_b"),
-        "match_count",
-    )
-    # Pairs inside a group of copies share all n kept terms: m = n.  They are
-    # produced by the block-split self-join keyed by group, so a group with
-    # a third of all documents is spread over many tasks.
-    inside = (groups.where(F.col("copies") >= 2)
-              .withColumn("n", F.size("ts").cast("bigint"))
-              .where(jaccard("n", "w", "w") >= F.lit(t)).select("gid", "n"))
-    mem = members.join(inside, "gid").select("gid", "doc_id", "w", F.col("copies").alias("df"), "n")
-    within = term_pairs(mem, block_docs, extra=("n",), keys=("gid",)).select(
-        "doc_a", "doc_b", "w_a", "w_b", F.col("n_a").alias("match_count"))
-    ver = cross.unionByName(within)
+    ver = _expand_copies(ver, members, block_docs, jaccard("n", "w", "w") >= F.lit(t))
     out = ver.select("doc_a", "doc_b", "match_count", "w_a", "w_b",
                      jaccard("match_count", "w_a", "w_b").alias("similarity"))
     return out.where(F.col("similarity") >= F.lit(t))

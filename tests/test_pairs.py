@@ -85,3 +85,20 @@ def test_threshold_join_with_a_huge_copy_group(spark):
     want = {k: v for k, v in brute(rows).items() if v[1] >= 0.5}
     assert got == want
     assert sum(1 for a, b in got if a >= 1000 and b >= 1000) == 30 * 29 // 2
+
+
+def test_pairwise_with_a_huge_copy_group(spark):
+    rows = corpus(6, 30)
+    rows += [(2000 + i, "alpha beta zeta") for i in range(30)]  # half the corpus: copies
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    post, n = I.postings(docs), I.corpus_size(docs)
+    got = {(r.doc_a, r.doc_b): (r.match_count, r.similarity)
+           for r in S.pairwise(post, n, lo=None, block_docs=4).collect()}
+    assert got == brute(rows)
+    weighted = {(r.doc_a, r.doc_b): (r.sum_min, r.sum_max)
+                for r in S.pairwise_weighted(post, n, lo=None, block_docs=4).collect()}
+    sets = {i: set(t.split()) for i, t in rows}
+    for (a, b), (m, _) in got.items():
+        wa, wb = len(sets[a]), len(sets[b])
+        assert weighted[(a, b)] == (m * min(wa, wb), m * max(wa, wb))
+    assert set(weighted) == set(got)
