@@ -419,3 +419,6 @@ SQL["store_json_export"] = SQL["jpii_ranked_v3"]
 
 SQL["jpii_scores_unpruned"] = f"""WITH {jpii_ctes('none')}
 SELECT * FROM jp"""
+
+SQL["pairwise_idf_band"] = f"""WITH {pair_ctes(0.5, 0.95)}
+SELECT * FROM pj"""

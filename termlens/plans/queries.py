@@ -614,3 +614,10 @@ def jpii_scores_unpruned(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     return S.jpii(I.postings(docs), I.corpus_size(docs), S.query_terms(benchmark_queries(spark, sf)),
                   policy="none")
+
+
+@register("pairwise_idf_band")
+def pairwise_idf_band(spark: SparkSession, sf: str) -> DataFrame:
+    """All pairs sharing a kept term whose IDF lies in [0.5, 0.95] (the benchmarked band)."""
+    docs = documents(spark, sf)
+    return S.pairwise(I.postings(docs), I.corpus_size(docs), lo=0.5, hi=0.95)
