@@ -296,9 +296,8 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
         .select("doc_a", "doc_b", "w_a", "w_b").distinct()
     )
     # Verification is CPU work per candidate; AQE sizes partitions by bytes,
-    # so give the (small-in-bytes) candidate set an explicit task count.
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cand = cand.repartition(parts)
+    # so give the (small-in-bytes) candidate set one task per core.
+    cand = cand.repartition(spark.sparkContext.defaultParallelism)
     rsets = rdocs.select("doc_id", "ts")
     ver = (
         cand.join(rsets.select(F.col("doc_id").alias("doc_a"), F.col("ts").alias("ts_a")), "doc_a")
