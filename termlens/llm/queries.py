@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, tokenfiles
+from . import bpe, simhash, substring, tokenfiles
 from .common import read, scratch, written
 
 
@@ -13,6 +13,12 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove every word in a 13-word window that a document with a smaller id also holds."""
+    t = substring.dedup(_docs(spark, sf_dir), window=13)
+    return t.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text with forced-boundary BPE, decode it again; digests of both."""
     t = bpe.decode(bpe.encode(_docs(spark, sf_dir)).drop("text"))
@@ -34,5 +40,5 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.index(spark, out)
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op6_simhash, op10_tokens)}
+QUERIES = {f.__name__: f for f in (op1_substring, op3_bpe, op6_simhash, op10_tokens)}
 SQL: dict[str, str] = {}
