@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, substring, tokenfiles
-from .common import read, scratch, written
+from . import bpe, simhash, substring, tokenfiles, toxicity
+from .common import id_remainder, read, scratch
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,15 @@ def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text by a model of the labelled rows whose crc32(doc_id) mod 5 is not 0."""
+    docs = _docs(spark, sf_dir)
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs.join(labels, "doc_id").where(id_remainder("doc_id", 5) != 0))
+    return toxicity.scores(docs, model).select(
+        "doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text with forced-boundary BPE, decode it again; digests of both."""
     t = bpe.decode(bpe.encode(_docs(spark, sf_dir)).drop("text"))
@@ -40,5 +49,5 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.index(spark, out)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring, op3_bpe, op6_simhash, op10_tokens)}
+QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op6_simhash, op10_tokens)}
 SQL: dict[str, str] = {}
