@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, substring, tokenfiles, toxicity
+from . import bpe, embeddings, simhash, substring, tokenfiles, toxicity
 from .common import id_remainder, read, scratch
+from .sql import SQL  # noqa: F401
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all vectors at cosine >= 0.95, and their components."""
+    t = embeddings.near_duplicates(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.95)
+    return t.withColumnRenamed("id", "vec_id")
+
+
 def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every document's ids (id 0 at its end) as Parquet token files and index what the files hold."""
     out = scratch(spark, "tokens") + "/t"
@@ -49,5 +56,4 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.index(spark, out)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op6_simhash, op10_tokens)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op6_simhash, op8_embeddings, op10_tokens)}
