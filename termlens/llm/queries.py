@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, simhash, substring, tokenfiles, toxicity
+from . import bpe, embeddings, secrets, simhash, substring, tokenfiles, toxicity
 from .common import id_remainder, read, scratch
 from .sql import SQL  # noqa: F401
 
@@ -37,6 +37,21 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: the rules' spans and those that the trained network adds."""
+    docs = _docs(spark, sf_dir)
+    t = secrets.scan(docs, secrets.fit(docs))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def line(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return t.select("doc_id", count("assign"), count("access"), count("hex"),
+                    F.sha2(line(F.filter("spans", lambda s: s["kind"] != "net")), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash over 3-word shingles, links at 2 or fewer differing bits, components."""
     t = simhash.near_duplicates(_docs(spark, sf_dir), shingle=3, max_bits=2)
@@ -56,4 +71,4 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.index(spark, out)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op6_simhash, op8_embeddings, op10_tokens)}
+QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op5_secrets, op6_simhash, op8_embeddings, op10_tokens)}
