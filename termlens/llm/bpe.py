@@ -137,9 +137,15 @@ class ForcedCutBPE:
         a = np.frombuffer(raw, dtype=np.uint8)
         pair = a[:-1].astype(np.uint16) << 8
         pair |= a[1:]
-        cuts = (np.flatnonzero((self._cut_wide if _WIDE_SPACE.search(text) else self._cut)[pair]) + 1).tolist()
-        get, miss = self._cache.get, self._encode_fragment
-        found = [get(f) or miss(f) for f in [raw[s:e] for s, e in zip([0, *cuts], [*cuts, len(raw)], strict=True)]]
+        cut = (self._cut_wide if _WIDE_SPACE.search(text) else self._cut)[pair]
+        spaced = np.full(len(a) + int(np.count_nonzero(cut)), 0xFF, np.uint8)  # a byte that UTF-8 does not have, at each cut
+        at = np.arange(len(a))
+        at[1:] += np.cumsum(cut)
+        spaced[at] = a
+        frags = spaced.tobytes().split(b"\xff")
+        found = list(map(self._cache.get, frags))
+        if None in found:
+            found = [x or self._cache.get(f) or self._encode_fragment(f) for f, x in zip(frags, found, strict=True)]
         return np.frombuffer(b"".join(found), dtype="<u4")
 
     def decode(self, ids) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, secrets, simhash, substring, tokenfiles, toxicity
+from . import bpe, embeddings, lm, secrets, simhash, substring, tokenfiles, toxicity
 from .common import id_remainder, read, scratch
 from .sql import SQL  # noqa: F401
 
@@ -58,6 +58,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every text by a model of those whose crc32(doc_id) mod 7 is not 2."""
+    docs = _docs(spark, sf_dir).withColumn("learn", id_remainder("doc_id", 7) != 2)
+    return lm.scores(docs).withColumn("held_out", id_remainder("doc_id", 7) == 2)
+
+
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of all vectors at cosine >= 0.95, and their components."""
     t = embeddings.near_duplicates(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.95)
@@ -71,4 +77,4 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.index(spark, out)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op5_secrets, op6_simhash, op8_embeddings, op10_tokens)}
+QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op5_secrets, op6_simhash, op7_lm, op8_embeddings, op10_tokens)}
