@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, lm, secrets, simhash, substring, tokenfiles, toxicity
+from . import bpe, embeddings, html, lm, secrets, simhash, substring, tokenfiles, toxicity
 from .common import id_remainder, read, scratch
 from .sql import SQL  # noqa: F401
 
@@ -70,6 +70,12 @@ def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.withColumnRenamed("id", "vec_id")
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article text of every page."""
+    t = html.extract(read(spark, sf_dir, "pages"))
+    return t.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every document's ids (id 0 at its end) as Parquet token files and index what the files hold."""
     out = scratch(spark, "tokens") + "/t"
@@ -77,4 +83,4 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.index(spark, out)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op5_secrets, op6_simhash, op7_lm, op8_embeddings, op10_tokens)}
+QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op5_secrets, op6_simhash, op7_lm, op8_embeddings, op9_html, op10_tokens)}
