@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, html, lm, secrets, simhash, substring, tokenfiles, toxicity
+from . import bpe, decontam, embeddings, html, lm, secrets, simhash, substring, tokenfiles, toxicity
 from .common import id_remainder, read, scratch
 from .sql import SQL  # noqa: F401
 
@@ -37,6 +37,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, item_id, share) for every benchmark item that a document contains; clean documents have no row."""
+    docs = _docs(spark, sf_dir)
+    return decontam.contained(docs, decontam.build(docs, read(spark, sf_dir, "benchmark")))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text: the rules' spans and those that the trained network adds."""
     docs = _docs(spark, sf_dir)
@@ -83,4 +89,4 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.index(spark, out)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op5_secrets, op6_simhash, op7_lm, op8_embeddings, op9_html, op10_tokens)}
+QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op4_decontamination, op5_secrets, op6_simhash, op7_lm, op8_embeddings, op9_html, op10_tokens)}
