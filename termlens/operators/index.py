@@ -117,29 +117,25 @@ def with_idf(pruned: DataFrame, n_prime: Column | None = None) -> DataFrame:
     return pruned.withColumn("idf", normalized_idf("df", n_prime))
 
 
-def idf_band(pruned_idf: DataFrame, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
+def idf_band(pruned_idf: DataFrame, lo: float, hi: float) -> DataFrame:
     """keep postings whose term IDF is inside [lo, hi] (inclusive)."""
     return pruned_idf.where(F.col("idf").between(lo, hi))
 
 
-def dedup_postings(post: DataFrame) -> DataFrame:
-    """Drop repeated (term, doc_id) rows (first W wins deterministically)."""
-    return post.groupBy("term", "doc_id").agg(F.max("w").alias("w"))
+def nested_index(pruned: DataFrame, chunk_docs: int = 10_000) -> DataFrame:
+    """(term, df, chunk, postings array<struct<doc_id, w>>).
 
-
-def nested_index(pruned: DataFrame, chunk_docs: int = 100_000) -> DataFrame:
-    """(term, df, chunk, postings array<struct<doc_id, w>>), W desc then id.
-
-    A posting list longer than ``chunk_docs`` is cut into hash chunks of
-    doc_id, so no single group grows with the corpus; readers merge chunks
-    of one term (A11).  Below the bound each term is exactly one row.
+    Postings of a term are ordered by W descending, then id, and cut into
+    chunks of ``chunk_docs`` by that position: chunk 0 holds the first, and the
+    chunks of a term in order are its whole list, at every size.  Positions
+    come from one distributed sort (``row_index``), so neither a task nor a
+    group grows with a term.
     """
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(chunk_docs))).cast("int")
-    keyed = pruned.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), n_chunks).cast("int"))
-    grouped = keyed.groupBy("term", "df", "chunk").agg(
-        F.collect_list(F.struct(
-            (-F.col("w")).alias("neg_w"), F.col("doc_id"), F.col("w"))).alias("p")
-    )
+    from termlens.sources.corpus import row_index
+    placed = row_index(pruned.select("term", "df", (-F.col("w")).alias("neg_w"), "doc_id", "w"), ["term", "neg_w", "doc_id"])
+    first = placed.groupBy("term").agg(F.min("row_idx").alias("first"))
+    keyed = placed.join(first, "term").withColumn("chunk", ((F.col("row_idx") - F.col("first")) / chunk_docs).cast("int"))
+    grouped = keyed.groupBy("term", "df", "chunk").agg(F.collect_list(F.struct("row_idx", "doc_id", "w")).alias("p"))
     return grouped.select(
         "term", "df", "chunk",
         F.transform(F.array_sort("p"), lambda s: F.struct(
@@ -156,8 +152,3 @@ def index_stats(pruned: DataFrame) -> DataFrame:
         "avg_docs_per_term",
         F.when(F.col("terms") > 0, F.col("postings") / F.col("terms")).otherwise(F.lit(0.0)),
     )
-
-
-def non_empty_docs(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """drop documents whose text is null or blank."""
-    return docs.where(F.col(text_col).isNotNull() & (F.length(T.normalize_whitespace(text_col)) > 0))

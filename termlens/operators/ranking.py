@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from termlens.functions.measures import f1, overlap, round_half_up
 
 TOP_K = 5
+MAX_GROUP_K = 1000  # Spark's bound for its partial group limit
 
 
 def layer1_filter(df: DataFrame, ratio: float = 0.1, m: str = "match_count",
@@ -44,9 +45,20 @@ def rank_v1_keys(sim: str = "similarity") -> list[Column]:
 
 def top_k(df: DataFrame, keys: list[Column], k: int = TOP_K, group: str | None = "query_id",
           tie: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Keep the best k rows per ``group`` (or overall) and number them 1..k."""
+    """Keep the best k rows per ``group`` (or overall) and number them 1..k.
+
+    Overall, the k rows are taken first (each task sends its own best k) and
+    only they are numbered.  Per group Spark keeps k rows per task and group
+    before the shuffle up to k = 1000; a larger k is refused, because then all
+    rows of a group would meet in one task.
+    """
     order = [*keys, *[F.asc(c) for c in tie]]
-    w = Window.partitionBy(group).orderBy(*order) if group else Window.orderBy(*order)
+    if group is None:
+        first = df.orderBy(*order).limit(k)
+        return first.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    if k > MAX_GROUP_K:
+        raise ValueError(f"k per group must be at most {MAX_GROUP_K}")
+    w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
 
@@ -80,13 +92,3 @@ def top_by_similarity(df: DataFrame, k: int, group: str | None = None,
     """Similarity >= threshold, sorted desc, first k (per group)."""
     cand = df.where(F.col("similarity") >= F.lit(threshold))
     return top_k(cand, [F.desc("similarity")], k, group=group, tie=tie)
-
-
-def attach_titles(ranked: DataFrame, titles: DataFrame, key: str = "doc_id",
-                  title_col: str = "title") -> DataFrame:
-    """Left-join a title per document (titles are one row per document).
-
-    The ranked side holds at most k rows per query, so it is the side that
-    is small; the title table is joined by shuffle unless AQE sees it small.
-    """
-    return ranked.join(titles.select(F.col(key), F.col(title_col)), key, "left")

@@ -76,14 +76,15 @@ def jpii(post: DataFrame, n_docs: Column, qt: DataFrame, policy: str = "both",
     )
 
 
-def jpii_idf(post: DataFrame, n_docs: Column, qt: DataFrame, lo: float = 0.05, hi: float = 0.95,
-             policy: str = "both", max_df: int | None = 10000, exclude_self: bool = False,
+def jpii_idf(post: DataFrame, n_docs: Column, qt: DataFrame, lo: float, hi: float,
+             policy: str = "both", max_df: int | None = None, exclude_self: bool = False,
              max_rows: int = QUERY_TERMS_MAX_ROWS) -> DataFrame:
     """P3 core (J4/A12/F4/F7/M3): JPII with the query reduced to IDF-band terms.
 
     N' (IDF) = documents present in the pruned index (exact, A5).
     wq' = number of query terms found in the index with IDF in [lo, hi];
-    terms above ``max_df`` still count in wq' but add no matches (F7);
+    with ``max_df`` (only when asked for) terms of more documents still count
+    in wq' but add no matches (F7);
     the document side keeps its full W.
     Output as ``jpii`` plus nothing else; see ``query_term_stats`` for A12.
     """

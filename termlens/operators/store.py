@@ -1,22 +1,23 @@
-"""Result store as Parquet tables.
+"""Result store: keyed Parquet tables.
 
-The keyed tables of the reference (index rows and similarity rows, with a
-timestamp and a version count) become Parquet tables under one root in the
-shared checkpoint folder.  Each write produces a new snapshot folder
-``<root>/<table>/v<NNNNNN>``; readers take the newest complete snapshot, so
-a job never overwrites the files it is reading, and a failed write leaves
-the previous snapshot in place (Spark's commit protocol only publishes
-``_SUCCESS`` snapshots).
+A ``KeyedTable`` is one Parquet folder that Spark itself partitions and
+commits: by the table's own partition columns and by a hash bucket of its
+key.  An upsert reads and rewrites only the partitions that its rows fall
+into (dynamic partition overwrite); a job that fails leaves the table as it
+was, and running it again gives the same rows.  Schema, keys and partitioning
+belong to the table's definition, so a table opened later behaves alike.
 
 Keyed semantics are DataFrame operations:
-  upsert      = union(old, new) then the latest row per key
+  upsert      = union(touched old rows, new rows), then the latest row per key
   versions    = the ``v`` latest rows per key (W9)
-  delete      = anti-join on the keys, written as a new snapshot (K12)
+  delete      = an upsert of rows marked as removed, which readers leave out (K12)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termlens.functions.measures import f1, overlap, score_band
@@ -49,7 +50,6 @@ def keep_versions(df: DataFrame, keys: list[str], order: list[str], versions: in
     task forwards at most v rows per key to the shuffle.
     """
     w_order = [F.desc(c) for c in order]
-    from pyspark.sql import Window
     w = Window.partitionBy(*keys).orderBy(*w_order)
     return (df.withColumn("version", F.row_number().over(w).cast("bigint"))
             .where(F.col("version") <= versions))
@@ -65,161 +65,127 @@ def stamp(df: DataFrame) -> DataFrame:
     return df.withColumn("computed_at", F.current_timestamp())
 
 
-# --- the store -----------------------------------------------------------------
+# --- keyed tables ----------------------------------------------------------------
 
-class TableStore:
-    """Snapshot-per-write Parquet tables under ``root``.
+class KeyedTable:
+    """Rows of ``schema`` at ``path``, one current row per ``keys`` by the greatest ``order``.
 
-    ``root`` defaults to a fresh folder inside ``spark.checkpoint.dir`` (the
-    cluster's shared folder); pass a durable location to keep tables.
+    ``partition_by`` columns become folders; inside them rows go to
+    ``buckets`` folders by the hash of ``bucket_by`` (default: the keys).
     """
 
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str],
+                 order: Sequence[str] = ("computed_at",), partition_by: Sequence[str] = (),
+                 bucket_by: Sequence[str] | None = None, buckets: int = 8):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.keys, self.order = list(keys), list(order)
+        if not set(partition_by) <= set(keys):
+            raise ValueError("partition columns must be part of the key")
+        self.parts, self.bucket_by, self.buckets = list(partition_by), list(bucket_by or keys), buckets
+        self.schema = spark.createDataFrame([], schema).schema
+        self.columns = self.schema.names
+        self._stored = spark.createDataFrame([], schema).withColumn("removed", F.lit(False)).withColumn("bucket", F.lit(0)).schema
+
+    def _all(self) -> DataFrame:
+        # an append without rows makes the folder of a table that was never written
+        self.spark.createDataFrame([], self._stored).write.mode("append").partitionBy(*self.parts, "bucket").parquet(self.path)
+        return self.spark.read.schema(self._stored).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        """The current rows (F12-style filters are left to the caller)."""
+        return self._all().where(~F.col("removed")).select(*self.columns)
+
+    def _merge(self, rows: DataFrame) -> None:
+        """Upsert stored-form rows; only the partitions they fall into are read and written."""
+        delta_path = f"{scratch_root(self.spark, 'delta')}/t"
+        rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int"))
+        rows.select(*self._stored.names).write.parquet(delta_path)
+        delta = self.spark.read.schema(self._stored).parquet(delta_path)
+        places = [*self.parts, "bucket"]
+        touched = delta.select(*places).distinct().collect()  # partitions of the table: a bounded number
+        if not touched:
+            return
+        at = F.lit(False)
+        for t in touched:
+            here = F.lit(True)
+            for c in places:
+                here = here & F.col(c).eqNullSafe(F.lit(t[c]))
+            at = at | here
+        merged = self._all().where(at).unionByName(delta)
+        out = latest(merged, [*self.keys, "bucket"], [*self.order, "removed"])
+        (out.select(*self._stored.names).repartition(*places).sortWithinPartitions(*self.bucket_by)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*places).parquet(self.path))
+
+    def upsert(self, rows: DataFrame) -> None:
+        """New rows replace older rows of their key."""
+        self._merge(rows.select(*self.columns).withColumn("removed", F.lit(False)))
+
+    def delete(self, doomed: DataFrame) -> None:
+        """Remove the rows whose key is in ``doomed`` (marked as removed now)."""
+        if self.order != ["computed_at"]:
+            raise ValueError("delete needs a table ordered by computed_at")
+        gone = doomed.select(*self.keys).distinct().withColumn("computed_at", F.current_timestamp()).withColumn("removed", F.lit(True))
+        for f in self.schema:
+            if f.name not in gone.columns:
+                gone = gone.withColumn(f.name, F.lit(None).cast(f.dataType))
+        self._merge(gone)
+
+    def row_count(self) -> int:
+        """K4: number of distinct row keys."""
+        return self.read().select(*self.keys).distinct().count()
+
+
+class ResultStore:
+    """The tables of one run under ``root`` (default: a fresh folder in the cluster's shared folder)."""
+
     def __init__(self, spark: SparkSession, root: str | None = None):
-        self.spark = spark
-        self.root = (root or scratch_root(spark, "store")).rstrip("/")
-        self._partitioning: dict[str, list[str]] = {}
-        self._schemas: dict[str, object] = {}
-
-    # -- file-system helpers (Hadoop FS through Spark's JVM) --
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _versions(self, table: str) -> list[int]:
-        fs, p = self._fs(f"{self.root}/{table}")
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v") and name[1:].isdigit():
-                ok = fs.exists(self._fs(f"{st.getPath().toString()}/_SUCCESS")[1])
-                if ok:
-                    out.append(int(name[1:]))
-        return sorted(out)
-
-    def _path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version:06d}"
-
-    # -- K1/K2/K3 --
-    def create(self, table: str, schema: str, partition_by: list[str] | None = None) -> None:
-        """K1: (re)create ``table`` as an empty snapshot with ``schema``."""
-        self.write(table, self.spark.createDataFrame([], schema), partition_by)
-
-    def truncate(self, table: str) -> None:
-        """K2: publish an empty snapshot with the current schema."""
-        cur = self.read(table)
-        self.write(table, cur.limit(0), self._partitioning.get(table))
-
-    def exists(self, table: str) -> bool:
-        """K3: the table has at least one complete snapshot."""
-        return bool(self._versions(table))
-
-    def tables(self) -> list[str]:
-        """K3: names of existing tables."""
-        fs, p = self._fs(self.root)
-        if not fs.exists(p):
-            return []
-        return sorted(st.getPath().getName() for st in fs.listStatus(p) if self.exists(st.getPath().getName()))
-
-    # -- read / write --
-    def write(self, table: str, df: DataFrame, partition_by: list[str] | None = None,
-              sort_by: list[str] | None = None) -> int:
-        """Publish ``df`` as the next snapshot of ``table``; returns its version.
-
-        ``sort_by`` range-partitions and sorts the files (e.g. by term) so
-        point lookups and prefix scans read only matching row groups.
-        """
-        vs = self._versions(table)
-        ver = (vs[-1] + 1) if vs else 1
-        if sort_by:
-            df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-            self._partitioning[table] = partition_by
-        w.parquet(self._path(table, ver))
-        # Remember the schema as read back (partition columns last), so an
-        # empty snapshot (no data files) can still be read.
-        parts = partition_by or []
-        fields = [f for f in df.schema.fields if f.name not in parts] + \
-                 [f for f in df.schema.fields if f.name in parts]
-        from pyspark.sql.types import StructType
-        self._schemas[table] = StructType(fields)
-        return ver
-
-    def read(self, table: str, version: int | None = None) -> DataFrame:
-        """The newest (or a given) complete snapshot of ``table``."""
-        vs = self._versions(table)
-        if not vs:
-            raise FileNotFoundError(f"table {table!r} has no snapshot under {self.root}")
-        reader = self.spark.read
-        if table in self._schemas:
-            reader = reader.schema(self._schemas[table])
-        return reader.parquet(self._path(table, version or vs[-1]))
-
-    # -- S15/S16 upserts --
-    def upsert(self, table: str, rows: DataFrame, keys: list[str], order: list[str],
-               partition_by: list[str] | None = None, versions: int = 1,
-               sort_by: list[str] | None = None) -> int:
-        """Union new rows with the current snapshot; keep ``versions`` newest per key."""
-        merged = rows if not self.exists(table) else self.read(table).unionByName(rows)
-        if versions == 1:
-            out = latest(merged, keys, order).select(*merged.columns)
-        else:
-            out = keep_versions(merged, keys, order, versions).drop("version")
-        return self.write(table, out, partition_by, sort_by)
-
-    def write_postings(self, post: DataFrame) -> int:
+        root = (root or scratch_root(spark, "store")).rstrip("/")
+        self.spark, self.root = spark, root
+        self.similarity = KeyedTable(spark, f"{root}/similarity", SIMILARITY_SCHEMA, ["mode", "doc_a", "doc_b"], partition_by=["mode"])
+        self.postings = KeyedTable(spark, f"{root}/postings", POSTINGS_SCHEMA, ["term", "doc_id"], bucket_by=["term"])
+
+    def write_postings(self, post: DataFrame) -> None:
         """Index rows keyed by (term, doc_id), newest computed_at wins."""
-        return self.upsert("postings", stamp(post.select("term", "doc_id", "w")),
-                           ["term", "doc_id"], ["computed_at"], sort_by=["term"])
+        self.postings.upsert(stamp(post.select("term", "doc_id", "w")))
 
-    def write_similarity(self, rows: DataFrame, mode: str) -> int:
+    def write_similarity(self, rows: DataFrame, mode: str) -> None:
         """Similarity rows keyed by (mode, doc_a, doc_b) with timestamp and mode."""
-        r = stamp(rows.select("doc_a", "doc_b", "match_count", "w_a", "w_b", "similarity")
-                  .withColumn("mode", F.lit(mode)))
-        return self.upsert("similarity", r, ["mode", "doc_a", "doc_b"], ["computed_at"],
-                           partition_by=["mode"])
-
-    # -- K4-K7 lookups on the index --
-    def row_count(self, table: str, keys: list[str]) -> int:
-        """K4: number of distinct row keys."""
-        return self.read(table).select(*keys).distinct().count()
+        self.similarity.upsert(stamp(rows.select("doc_a", "doc_b", "match_count", "w_a", "w_b", "similarity")
+                                     .withColumn("mode", F.lit(mode))))
 
+    # -- K5-K7 lookups on the index --
     def lookup_term(self, term: str) -> DataFrame:
         """K5: postings of one term (filter pushed to the Parquet scan)."""
-        return self.read("postings").where(F.col("term") == F.lit(term))
+        return self.postings.read().where(F.col("term") == F.lit(term))
 
     def multiget_terms(self, terms: DataFrame) -> DataFrame:
         """Postings of many terms; missing terms are simply absent."""
         from termlens.operators.joins import small_side
-        return self.read("postings").join(small_side(terms.select("term").distinct()), "term", "left_semi")
+        return self.postings.read().join(small_side(terms.select("term").distinct()), "term", "left_semi")
 
     def scan_terms(self, prefix: str = "", limit: int = 100) -> DataFrame:
         """K6: postings of the first ``limit`` terms (in term order) with ``prefix``."""
-        p = self.read("postings").where(F.col("term").startswith(prefix))
+        p = self.postings.read().where(F.col("term").startswith(prefix))
         first = p.select("term").distinct().orderBy("term").limit(limit)
         return p.join(first, "term", "left_semi")
 
     def all_terms(self) -> DataFrame:
         """K7: every distinct term."""
-        return self.read("postings").select("term").distinct()
+        return self.postings.read().select("term").distinct()
 
-    # -- K8-K11 result queries --
+    # -- K8-K10 result queries --
     def query_similarity(self, mode: str, document: int | None = None, threshold: float = 0.0,
                          limit: int | None = None) -> DataFrame:
-        """K8: rows of ``mode`` (optionally touching ``document`` on either
-        side) with similarity >= threshold, best first, optionally the top
-        ``limit`` rows."""
-        s = self.read("similarity").where(F.col("mode") == mode)
+        """Rows of ``mode`` (optionally touching ``document`` on either
+        side) with similarity >= threshold, best first; with ``limit`` the
+        best so many, numbered (0 gives none)."""
+        s = self.similarity.read().where(F.col("mode") == mode)
         if document is not None:
             s = s.where((F.col("doc_a") == document) | (F.col("doc_b") == document))
         s = s.where(F.col("similarity") >= threshold)
-        if limit:
+        if limit is not None:
             return top_k(s, [F.desc("similarity")], limit, group=None, tie=("doc_a", "doc_b"))
-        return s
+        return s.orderBy(F.desc("similarity"), "doc_a", "doc_b")
 
     def ranked(self, mode: str, k: int = 5) -> DataFrame:
         """Rank stored rows (F12, M5, M6, W4): best k by v3 keys.
@@ -227,29 +193,12 @@ class TableStore:
         The stored w_a / w_b are the real weights of the two documents;
         rows with a zero weight are skipped (F12).
         """
-        s = self.read("similarity").where((F.col("mode") == mode) & (F.col("w_a") > 0) & (F.col("w_b") > 0))
+        s = self.similarity.read().where((F.col("mode") == mode) & (F.col("w_a") > 0) & (F.col("w_b") > 0))
         s = s.withColumn("overlap", overlap("match_count", "w_a", "w_b")).withColumn(
             "f1", f1("match_count", "w_a", "w_b"))
         r = top_k(s, rank_v3_keys(), k, group=None, tie=("doc_a", "doc_b"))
         return r.withColumn("band", score_band("similarity"))
 
-    def capped_count(self, table: str, cap: int = 1000) -> int:
-        """Number of stored rows, counting at most ``cap``."""
-        return self.read(table).limit(cap).count()
-
-    def delete(self, table: str, doomed: DataFrame, keys: list[str]) -> int:
-        """Remove rows whose key appears in ``doomed``; new snapshot."""
-        return self.write(table, delete_keys(self.read(table), doomed, keys), self._partitioning.get(table))
-
-    # -- K14 backup / restore --
-    def backup(self, table: str, dest: str) -> None:
-        """Copy the current snapshot of ``table`` to ``dest`` (Parquet)."""
-        self.read(table).write.mode("errorifexists").parquet(dest)
-
-    def restore(self, table: str, src: str) -> int:
-        """Publish the Parquet data at ``src`` as the next snapshot."""
-        return self.write(table, self.spark.read.parquet(src), self._partitioning.get(table))
-
 
 def export_ranked(ranked: DataFrame, path: str, fmt: str = "csv") -> None:
     """Write ranked rows as CSV with a header, or as JSON lines."""
@@ -257,8 +206,3 @@ def export_ranked(ranked: DataFrame, path: str, fmt: str = "csv") -> None:
         ranked.write.mode("errorifexists").option("header", True).csv(path)
     else:
         ranked.write.mode("errorifexists").json(path)
-
-
-def band_col(sim: str | Column = "similarity") -> Column:
-    """T18 alias for callers of the store."""
-    return score_band(sim)

@@ -132,8 +132,9 @@ for _p in ("both", "universal", "single"):
 SELECT term, doc_id, w, df FROM kept"""
 
 SQL["index_lines"] = f"""WITH {doc_index_ctes()}
-SELECT term, term || chr(9) || string_agg(doc_id::VARCHAR || '@' || w::VARCHAR, chr(9) ORDER BY w DESC, doc_id) AS line
-FROM kept GROUP BY term"""
+SELECT term, chunk, term || chr(9) || string_agg(doc_id::VARCHAR || '@' || w::VARCHAR, chr(9) ORDER BY w DESC, doc_id) AS line
+FROM (SELECT term, doc_id, w, CAST((row_number() OVER (PARTITION BY term ORDER BY w DESC, doc_id) - 1) // 200 AS INTEGER) AS chunk
+      FROM kept) z GROUP BY term, chunk"""
 
 SQL["index_stats"] = f"""WITH {doc_index_ctes()}
 SELECT count(DISTINCT term) AS terms, count(*) AS postings,
@@ -165,7 +166,7 @@ SQL["jpii_idf_scores"] = f"""WITH {jpii_ctes()}, {_QSTATS},
 qk AS (SELECT * FROM qs WHERE idf BETWEEN 0.3 AND 0.95),
 qw2 AS (SELECT query_id, count(*) AS wq2 FROM qk GROUP BY query_id),
 m2 AS (SELECT qk.query_id, kept.doc_id, kept.w, count(*) AS match_count
-       FROM qk JOIN kept USING (term) WHERE qk.df <= 10000 GROUP BY 1, 2, 3)
+       FROM qk JOIN kept USING (term) GROUP BY 1, 2, 3)
 SELECT m2.query_id, m2.doc_id, m2.match_count, qw2.wq2 AS w_query, m2.w AS w_doc,
        {jaccard_sql('m2.match_count', 'qw2.wq2', 'm2.w')} AS similarity
 FROM m2 JOIN qw2 USING (query_id)"""
@@ -296,7 +297,17 @@ SELECT * FROM st"""
 SQL["store_backup"] = SQL["store_write_read"]
 
 SQL["store_counts"] = f"""WITH {_STORE}
-SELECT mode, count(*) AS pairs, least(count(*), 1000)::BIGINT AS capped FROM st GROUP BY mode"""
+SELECT mode, count(*) AS pairs FROM st GROUP BY mode"""
+
+SQL["stored_document_pairs"] = f"""WITH {_STORE},
+pw AS (SELECT * FROM st WHERE mode = 'pairwise'),
+top AS (SELECT d FROM (SELECT doc_a AS d FROM pw UNION ALL SELECT doc_b FROM pw) e GROUP BY d ORDER BY count(*) DESC, d LIMIT 1)
+SELECT * FROM pw WHERE doc_a IN (SELECT d FROM top) OR doc_b IN (SELECT d FROM top)"""
+
+SQL["jpii_exclude_self"] = f"""WITH {jpii_ctes()}
+SELECT * FROM jp WHERE query_id <> doc_id"""
+
+SQL["jpii_from_store"] = SQL["jpii_scores"]
 
 SQL["store_delete"] = f"""WITH {_STORE},
 tox AS (SELECT doc_id FROM labels WHERE toxic = 1)

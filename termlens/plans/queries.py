@@ -84,9 +84,9 @@ def index_postings_single(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("index_lines")
 def index_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """One text line per term, ``term<TAB>doc@W...`` with W desc, then id."""
+    """Text lines ``term<TAB>doc@W...`` with W desc, then id, in chunks of 200 postings of a term."""
     from termlens.sources.formats import index_text_lines
-    return index_text_lines(I.nested_index(_pruned(spark, sf, "both")))
+    return index_text_lines(I.nested_index(_pruned(spark, sf, "both"), chunk_docs=200))
 
 
 @register("index_stats")
@@ -130,10 +130,10 @@ def jpii_ranked_v1(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("jpii_idf_scores")
 def jpii_idf_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """P3 core/M3: JPII with query terms reduced to the IDF band [0.3, 0.95], max_df 10000."""
+    """P3 core/M3: JPII with query terms reduced to the IDF band [0.3, 0.95]."""
     docs = documents(spark, sf)
     return S.jpii_idf(I.postings(docs), I.corpus_size(docs),
-                      S.query_terms(benchmark_queries(spark, sf)), lo=0.3, hi=0.95, max_df=10000)
+                      S.query_terms(benchmark_queries(spark, sf)), lo=0.3, hi=0.95)
 
 
 @register("max_df_jpii")
@@ -224,7 +224,7 @@ def recommend_per_doc(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scratch(spark: SparkSession, name: str) -> str:
     from termlens.session import scratch_root
-    return scratch_root(spark, name)
+    return f"{scratch_root(spark, name)}/t"
 
 
 @register("index_text_roundtrip")
@@ -233,7 +233,7 @@ def index_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     from termlens.sources import formats as FM
     path = _scratch(spark, "index-text")
     lines = FM.index_text_lines(I.nested_index(_pruned(spark, sf, "both")))
-    lines.orderBy("term").select(F.col("line").alias("value")).write.text(path)
+    lines.orderBy("term", "chunk").select(F.col("line").alias("value")).write.text(path)
     back = FM.merge_index_rows(FM.parse_index_lines(spark.read.text(path)))
     return back.select("term", F.col("doc_id").cast("bigint").alias("doc_id"), "w")
 
@@ -349,8 +349,8 @@ def escaped_query_text(spark: SparkSession, sf: str) -> DataFrame:
 # --- result store ---------------------------------------------------------------------
 
 def _filled_store(spark: SparkSession, sf: str):
-    from termlens.operators.store import TableStore
-    st = TableStore(spark)
+    from termlens.operators.store import ResultStore
+    st = ResultStore(spark)
     jp = jpii_scores(spark, sf).select(F.col("query_id").alias("doc_a"), F.col("doc_id").alias("doc_b"),
                                        "match_count", F.col("w_query").alias("w_a"),
                                        F.col("w_doc").alias("w_b"), "similarity")
@@ -364,40 +364,63 @@ _STORE_COLS = ["mode", "doc_a", "doc_b", "match_count", "w_a", "w_b", "similarit
 
 @register("store_write_read")
 def store_write_read(spark: SparkSession, sf: str) -> DataFrame:
-    """JPII rows and t >= 0.5 pairs upserted into the store, read back."""
-    return _filled_store(spark, sf).read("similarity").select(*_STORE_COLS)
+    """JPII rows and t >= 0.5 pairs upserted into the similarity table, read back."""
+    return _filled_store(spark, sf).similarity.read().select(*_STORE_COLS)
 
 
 @register("store_counts")
 def store_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Per mode, distinct stored pairs and the count capped at 1000."""
-    s = _filled_store(spark, sf).read("similarity")
-    return s.groupBy("mode").agg(F.count(F.lit(1)).alias("pairs")).withColumn(
-        "capped", F.least(F.col("pairs"), F.lit(1000)).cast("bigint"))
+    """K4: per mode, distinct stored pairs."""
+    s = _filled_store(spark, sf).similarity.read().select("mode", "doc_a", "doc_b").distinct()
+    return s.groupBy("mode").agg(F.count(F.lit(1)).alias("pairs"))
 
 
 @register("store_delete")
 def store_delete(spark: SparkSession, sf: str) -> DataFrame:
     """Delete stored pairs that touch a document labelled toxic (either side)."""
-    st = _filled_store(spark, sf)
-    cur = st.read("similarity").where(F.col("mode") == "pairwise")
+    t = _filled_store(spark, sf).similarity
+    cur = t.read().where(F.col("mode") == "pairwise")
     toxic = table(spark, sf, "labels").where("toxic = 1").select("doc_id")
     doomed = cur.join(toxic.withColumnRenamed("doc_id", "doc_a"), "doc_a", "left_semi").unionByName(
         cur.join(toxic.withColumnRenamed("doc_id", "doc_b"), "doc_b", "left_semi"))
-    st.delete("similarity", doomed, ["mode", "doc_a", "doc_b"])
-    return st.read("similarity").select(*_STORE_COLS)
+    t.delete(doomed)
+    return t.read().select(*_STORE_COLS)
 
 
 @register("store_backup")
 def store_backup(spark: SparkSession, sf: str) -> DataFrame:
-    """Back up, truncate, restore; the restored table is returned."""
-    st = _filled_store(spark, sf)
+    """The similarity table copied as plain Parquet and read by another table's upsert."""
+    from termlens.operators.store import ResultStore
     dest = _scratch(spark, "backup")
-    st.backup("similarity", dest)
-    st.truncate("similarity")
-    assert st.read("similarity").count() == 0
-    st.restore("similarity", dest)
-    return st.read("similarity").select(*_STORE_COLS)
+    _filled_store(spark, sf).similarity.read().write.parquet(dest)
+    copy = ResultStore(spark).similarity
+    copy.upsert(spark.read.parquet(dest))
+    return copy.read().select(*_STORE_COLS)
+
+
+@register("stored_document_pairs")
+def stored_document_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """K8: stored pairs that touch the most frequent document of the table, on either side, best first."""
+    st = _filled_store(spark, sf)
+    p = st.similarity.read().where("mode = 'pairwise'")
+    ends = p.select(F.col("doc_a").alias("d")).unionAll(p.select(F.col("doc_b").alias("d")))
+    top = ends.groupBy("d").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
+    return st.query_similarity("pairwise", document=top.d if top else -1).select(*_STORE_COLS)
+
+
+@register("jpii_exclude_self")
+def jpii_exclude_self(spark: SparkSession, sf: str) -> DataFrame:
+    """JPII of the benchmark queries, a query's own document id left out."""
+    docs = documents(spark, sf)
+    return S.jpii(I.postings(docs), I.corpus_size(docs), S.query_terms(benchmark_queries(spark, sf)), exclude_self=True)
+
+
+@register("jpii_from_store")
+def jpii_from_store(spark: SparkSession, sf: str) -> DataFrame:
+    """JPII on postings read back from the stored index; only N comes from the documents."""
+    st = _postings_store(spark, sf)
+    n = I.corpus_size(documents(spark, sf))
+    return S.jpii(st.postings.read().select("term", "doc_id", "w"), n, S.query_terms(benchmark_queries(spark, sf)))
 
 
 @register("store_ranked_export")
@@ -437,13 +460,12 @@ def _events_two_batches(spark: SparkSession, sf: str):
 def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Events arrive in two time batches; keep the latest row per
     (user_id, event_type) by (ts, event_id)."""
-    from termlens.operators.store import TableStore
-    st = TableStore(spark)
+    from termlens.operators.store import KeyedTable
     first, second = _events_two_batches(spark, sf)
-    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
-    st.upsert("events_latest", first, keys, order)
-    st.upsert("events_latest", second, keys, order)
-    return st.read("events_latest")
+    t = KeyedTable(spark, _scratch(spark, "events"), first.schema, ["user_id", "event_type"], order=["ts", "event_id"])
+    t.upsert(first)
+    t.upsert(second)
+    return t.read()
 
 
 @register("keep_versions")
@@ -457,8 +479,8 @@ def keep_versions(spark: SparkSession, sf: str) -> DataFrame:
 # --- index lookups on the stored postings ----------------------------------------------
 
 def _postings_store(spark: SparkSession, sf: str):
-    from termlens.operators.store import TableStore
-    st = TableStore(spark)
+    from termlens.operators.store import ResultStore
+    st = ResultStore(spark)
     st.write_postings(_pruned(spark, sf, "both").select("term", "doc_id", "w"))
     return st
 
@@ -467,7 +489,7 @@ def _postings_store(spark: SparkSession, sf: str):
 def term_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """K5: postings of the indexed term with the highest df (ties: smallest term)."""
     st = _postings_store(spark, sf)
-    top = (st.read("postings").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    top = (st.postings.read().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
            .orderBy(F.desc("df"), "term").limit(1).collect()[0]["term"])
     return st.lookup_term(top).select("term", "doc_id", "w")
 
@@ -491,7 +513,7 @@ def term_prefix_scan(spark: SparkSession, sf: str) -> DataFrame:
 def term_doc_map(spark: SparkSession, sf: str) -> DataFrame:
     """K7: term -> map(doc_id -> W) (posting lists chunked), flattened back to rows."""
     st = _postings_store(spark, sf)
-    p = st.read("postings").select("term", "doc_id", "w")
+    p = st.postings.read().select("term", "doc_id", "w")
     n = p.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     nested = I.nested_index(p.join(n, "term"))
     maps = nested.select("term", F.map_from_entries("postings").alias("docs"))
@@ -571,10 +593,9 @@ def incremental_index(spark: SparkSession, sf: str) -> DataFrame:
     """The English documents arrive first, then every document (English
     ones again, unchanged, as updates); the pruned index read from the
     maintained state equals a full rebuild."""
-    from termlens.operators.store import TableStore
-    from termlens.streaming.incremental import apply_batch, index_postings
+    from termlens.streaming.incremental import IndexState, apply_batch, index_postings
     docs = documents(spark, sf).select("doc_id", "text", "lang")
-    st = TableStore(spark)
+    st = IndexState(spark)
     apply_batch(st, docs.where(F.col("lang") == "en"))
     apply_batch(st, docs)
     return index_postings(st).select("term", "doc_id", "w", "df")
@@ -596,7 +617,7 @@ def store_json_export(spark: SparkSession, sf: str) -> DataFrame:
     """S17 (JSON): stored JPII rows ranked per query (top 5), exported as JSON lines, read back."""
     from termlens.operators.store import export_ranked
     st = _filled_store(spark, sf)
-    s = st.read("similarity").where(F.col("mode") == "jpii").select(
+    s = st.similarity.read().where(F.col("mode") == "jpii").select(
         F.col("doc_a").alias("query_id"), F.col("doc_b").alias("doc_id"), "match_count",
         F.col("w_a").alias("w_query"), F.col("w_b").alias("w_doc"), "similarity")
     ranked = R.rank_jpii(s)

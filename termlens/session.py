@@ -4,7 +4,7 @@ On a cluster the session is created by the launcher; this module only
 fills in settings that are missing.  Durable intermediate data (stored
 tables, checkpoints) goes under ``spark.checkpoint.dir``, the shared
 folder the cluster names; a private folder is created only when that
-setting is unset, which happens in local tests.
+setting is unset under a ``local[...]`` master, as in tests.
 """
 
 from __future__ import annotations
@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not cur:
         cur = spark.sparkContext.getCheckpointDir()
     if not cur:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         cur = tempfile.mkdtemp(prefix="termlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     if not spark.sparkContext.getCheckpointDir():
@@ -62,7 +64,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return cur
 
 
-def scratch_root(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh folder under the shared checkpoint location for written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/termlens/{name or 'run'}-{uuid.uuid4().hex[:12]}"
+def scratch_root(spark: SparkSession, name: str | None = None, keep: bool = False) -> str:
+    """A fresh folder under the shared checkpoint location for written tables.
+
+    It is removed when the driver's JVM ends, unless ``keep`` is set.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/termlens/{name or 'run'}-{uuid.uuid4().hex[:12]}"
+    if not keep:
+        jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(jpath)
+        fs.deleteOnExit(jpath)
+    return path

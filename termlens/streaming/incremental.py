@@ -1,14 +1,15 @@
 """Incremental index maintenance (K13), batch and Structured Streaming.
 
-State kept in a ``TableStore``:
-  docs      (doc_id, w, computed_at)       one row per document ever seen
-  postings  (term, doc_id, w, computed_at) unpruned postings
-
-A batch of new or changed documents replaces every posting of those
-documents (anti-join on doc_id, then union) and upserts their registry
-row.  Pruning (df, N) is applied when the index is read, because a new
-document changes df and N for terms it does not even contain.  Applying a
-batch twice gives the same tables, so a retried micro-batch is harmless.
+State is two folders of delta partitions, one pair per batch:
+  postings/batch=<n>  (term, doc_id, w)   unpruned postings of the batch's documents
+  docs/batch=<n>      (doc_id, w)         the documents themselves, written last
+
+A document's current rows are those of its newest batch in ``docs``; readers
+join postings to that.  A batch therefore writes only its own rows, and
+postings whose ``docs`` partition was never written (a failure between the two
+writes) are not seen.  Writing a batch again overwrites its own partitions
+only.  Pruning (df, N) is applied when the index is read, because a new
+document changes df and N for terms it does not even contain.
 """
 
 from __future__ import annotations
@@ -18,67 +19,86 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from termlens.operators import index as I
-from termlens.operators.store import TableStore, latest, stamp
+from termlens.operators.store import KeyedTable, stamp
 from termlens.session import scratch_root
 
-DOCS_SCHEMA = "doc_id bigint, w bigint, computed_at timestamp"
-POSTINGS_SCHEMA = "term string, doc_id bigint, w bigint, computed_at timestamp"
+DOCS_SCHEMA = "doc_id bigint, w bigint, batch bigint"
+POSTINGS_SCHEMA = "term string, doc_id bigint, w bigint, batch bigint"
+SCORES_SCHEMA = ("query_id bigint, doc_id bigint, match_count bigint, w_query bigint, w_doc bigint, "
+                 "similarity double, computed_at timestamp")
 
 
-def init_index(store: TableStore) -> None:
-    """Create empty ``docs`` and ``postings`` tables if absent."""
-    if not store.exists("docs"):
-        store.create("docs", DOCS_SCHEMA)
-    if not store.exists("postings"):
-        store.create("postings", POSTINGS_SCHEMA)
+class IndexState:
+    """The delta folders of one index under ``root``."""
 
+    def __init__(self, spark: SparkSession, root: str | None = None):
+        self.spark, self.root = spark, (root or scratch_root(spark, "index")).rstrip("/")
 
-def apply_batch(store: TableStore, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Upsert a batch of documents: their postings replace any earlier ones.
+    def read(self, table: str) -> DataFrame:
+        schema = DOCS_SCHEMA if table == "docs" else POSTINGS_SCHEMA
+        path = f"{self.root}/{table}"
+        # an append without rows makes the folder of a table that was never written
+        self.spark.createDataFrame([], schema).write.mode("append").partitionBy("batch").parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
 
-    A batch should hold one row per document; if it repeats an id, one of
-    those rows wins arbitrarily.
+    def write(self, table: str, rows: DataFrame, batch: int) -> None:
+        (rows.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{self.root}/{table}"))
+
+    def scores(self) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.root}/scores", SCORES_SCHEMA, ["query_id", "doc_id"])
+
+
+def apply_batch(state: IndexState, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                batch_id: int | None = None) -> None:
+    """Add a batch of new or changed documents; their postings replace earlier ones.
+
+    If a batch repeats an id, the row with the greatest text counts.
+    ``batch_id`` (default: one more than the last) must grow from batch to
+    batch; a retry passes the same one.
     """
-    init_index(store)
-    dt = stamp(I.doc_terms(batch, id_col, text_col))
-    new_docs = dt.select("doc_id", "w", "computed_at")
-    new_post = dt.select(F.explode_outer("terms").alias("term"), "doc_id", "w", "computed_at").where(
-        F.col("term").isNotNull())
-    ids = new_docs.select("doc_id").distinct()
-    docs = latest(store.read("docs").unionByName(new_docs), ["doc_id"], ["computed_at"]).select(
-        "doc_id", "w", "computed_at")
-    kept_old = store.read("postings").join(ids, "doc_id", "left_anti")
-    post = kept_old.unionByName(new_post).select("term", "doc_id", "w", "computed_at")
-    store.write("docs", docs)
-    store.write("postings", post, sort_by=["term"])
-
-
-def index_postings(store: TableStore, policy: str = "both") -> DataFrame:
+    if batch_id is None:
+        batch_id = (state.read("docs").agg(F.max("batch")).first()[0] or 0) + 1
+    one = batch.groupBy(id_col).agg(F.max(text_col).alias(text_col))
+    terms = I.doc_terms(one, id_col, text_col)
+    post = terms.select(F.explode_outer("terms").alias("term"), "doc_id", "w").where(F.col("term").isNotNull())
+    state.write("postings", post, batch_id)
+    state.write("docs", terms.select("doc_id", "w"), batch_id)
+
+
+def current_docs(state: IndexState) -> DataFrame:
+    """(doc_id, batch): each document's newest batch."""
+    return state.read("docs").groupBy("doc_id").agg(F.max("batch").alias("batch"))
+
+
+def index_postings(state: IndexState, policy: str = "both") -> DataFrame:
     """Pruned postings of the current state; N = documents in the registry."""
-    docs = store.read("docs")
-    return I.prune(store.read("postings").select("term", "doc_id", "w"), I.corpus_size(docs), policy)
+    docs = current_docs(state)
+    post = state.read("postings").join(docs, ["doc_id", "batch"]).select("term", "doc_id", "w")
+    return I.prune(post, I.corpus_size(docs), policy)
 
 
-def start_stream(spark: SparkSession, source_dir: str, store: TableStore, schema: str,
+def start_stream(spark: SparkSession, source_dir: str, state: IndexState, schema: str,
                  checkpoint: str | None = None, max_files_per_trigger: int = 1,
                  id_col: str = "doc_id", text_col: str = "text") -> StreamingQuery:
     """Stream Parquet files of documents from ``source_dir`` into the index.
 
-    Each micro-batch runs ``apply_batch`` through ``foreachBatch``; progress
-    is tracked in ``checkpoint`` (default: under the shared checkpoint
-    folder) so a restarted query resumes after the last committed batch.
+    Each micro-batch runs ``apply_batch`` through ``foreachBatch`` under its
+    epoch as batch number; progress is tracked in ``checkpoint`` (default:
+    under the shared checkpoint folder), so a restarted query resumes after
+    the last committed batch and repeats an unfinished one under its number.
     """
-    ckpt = checkpoint or scratch_root(spark, "stream-ckpt")
+    ckpt = checkpoint or scratch_root(spark, "stream-ckpt", keep=True)
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(source_dir))
 
-    def _each(batch: DataFrame, _epoch: int) -> None:
-        apply_batch(store, batch, id_col, text_col)
+    def _each(batch: DataFrame, epoch: int) -> None:
+        apply_batch(state, batch, id_col, text_col, batch_id=epoch + 1)
 
     return src.writeStream.foreachBatch(_each).option("checkpointLocation", ckpt).start()
 
 
-def score_batch(store: TableStore, batch: DataFrame, query_terms: DataFrame,
+def score_batch(state: IndexState, batch: DataFrame, query_terms: DataFrame,
                 id_col: str = "doc_id", text_col: str = "text") -> None:
     """Score one batch of arriving documents against fixed queries (J1 + M1).
 
@@ -91,18 +111,18 @@ def score_batch(store: TableStore, batch: DataFrame, query_terms: DataFrame,
     post = I.postings(batch, id_col, text_col)
     n = F.lit(0)  # unused by the "none" policy
     s = stamp(jpii(post, n, query_terms, policy="none"))
-    store.upsert("scores", s, ["query_id", "doc_id"], ["computed_at"])
+    state.scores().upsert(s)
 
 
-def start_scoring_stream(spark: SparkSession, source_dir: str, store: TableStore, schema: str,
+def start_scoring_stream(spark: SparkSession, source_dir: str, state: IndexState, schema: str,
                          query_terms: DataFrame, checkpoint: str | None = None,
                          max_files_per_trigger: int = 1) -> StreamingQuery:
     """Stream document files and keep their scores against ``query_terms``."""
-    ckpt = checkpoint or scratch_root(spark, "score-ckpt")
+    ckpt = checkpoint or scratch_root(spark, "score-ckpt", keep=True)
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(source_dir))
 
     def _each(batch: DataFrame, _epoch: int) -> None:
-        score_batch(store, batch, query_terms)
+        score_batch(state, batch, query_terms)
 
     return src.writeStream.foreachBatch(_each).option("checkpointLocation", ckpt).start()

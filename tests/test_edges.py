@@ -113,3 +113,57 @@ def test_corpus_directory_ids_are_file_names(spark, tmp_path):
     w = {r.doc_id: r.w for r in I.doc_terms(read_corpus_dir(spark, str(d))).collect()}
     assert w == {"00001.txt": 3, "00002.txt": 0}
     assert [r.query_id for r in read_query_files(spark, str(d)).collect()].count("00001.txt") == 1
+
+
+def test_corpus_directory_keeps_files_that_are_not_utf8(spark, tmp_path):
+    from termlens.sources.corpus import read_corpus_dir
+    d = tmp_path / "books"
+    d.mkdir()
+    (d / "latin.txt").write_bytes("caf\u00e9 noir".encode("latin-1"))
+    (d / "utf.txt").write_text("caf\u00e9", encoding="utf-8")
+    got = {r.doc_id: r.text for r in read_corpus_dir(spark, str(d)).collect()}
+    assert got == {"latin.txt": "caf\ufffd noir", "utf.txt": "caf\u00e9"}
+
+
+def test_tsv_sides_with_any_ids(spark):
+    from termlens.sources import formats as FM
+    rows = [("query.txt", "00001-a.txt", 2, 3, 9, 0.2), ("q1", "q2.txt", 1, 5, 4, 0.5), ("a-b%2D", "c\td", 1, 2, 2, 1 / 3)]
+    schema = "query_id string, doc_id string, match_count long, w_query long, w_doc long, similarity double"
+    df = spark.createDataFrame(rows, schema)
+    back = FM.parse_jpii_tsv(FM.jpii_tsv_lines(df)).collect()
+    assert sorted(tuple(r) for r in back) == sorted(rows)
+    bad = spark.createDataFrame([("no fields",), ("a-b\t1\t2\tx\t0.5",), ("qa-b\t1\t2\t3\t0.5",), ("nodash\t1\t2\t3\t0.5",)], "value string")
+    assert [tuple(r) for r in FM.parse_jpii_tsv(bad).collect()] == [("a", "b", 1, 2, 3, 0.5)]
+
+
+def test_page_links_on_ordinary_html(spark):
+    from termlens.sources.corpus import page_links
+    html = """<p><a href="/a">A</a> <A class='x' HREF='b.txt'>B <i>b</i></A><a title="x>y" href=//cdn.x/z>C</a> <a name="n">no</a>
+<a href="http://o.org/p" rel="q">D</a><a href="?x=1">E</a><a href="#top">F</a><a href="mailto:m@x">Plain Text UTF-8</a>"""
+    df = spark.createDataFrame([(1, "https://h.org/dir/page?k=2#f", html), (2, "https://h.org", '<a href="y.txt">Y</a>')], "page_id long, url string, html string")
+    got = [(r.page_id, r.anchor_text, r.url) for r in page_links(df).collect()]
+    assert got == [(1, "A", "https://h.org/a"), (1, "B b", "https://h.org/dir/b.txt"), (1, "C", "https://cdn.x/z"), (1, "D", "http://o.org/p"),
+                   (1, "E", "https://h.org/dir/page?x=1"), (1, "F", "https://h.org/dir/page?k=2#top"), (1, "Plain Text UTF-8", "mailto:m@x"),
+                   (2, "Y", "https://h.org/y.txt")]
+    assert page_links(df, "Plain Text UTF-8").count() == 1
+
+
+def test_cleaners_on_hand_made_texts(spark):
+    from termlens.functions import text as T
+    d = _docs(spark, [("esc", "a\\nb \\ttab\\"), ("res", "itxe2x80x99s xe2x80x9cgoodxe2x80x9d"), ("blank", " \n\t ")])
+    from termlens.sources.corpus import clean_documents
+    got = {r.doc_id: r.text for r in clean_documents(d).collect()}
+    assert set(got) == {"esc", "res"}
+    assert "\\" not in got["esc"] and "'" in got["res"] and "xe2" not in got["res"]
+    assert T is not None
+
+
+def test_universal_terms_are_pruned(spark):
+    d = _docs(spark, [("a", "all red"), ("b", "all red blue"), ("c", "all green")])
+    n = I.corpus_size(d)
+    kept = {p: {r.term for r in I.prune(I.postings(d), n, p).collect()} for p in ("both", "universal", "single", "none")}
+    everything = {r.term for r in I.postings(d).collect()}
+    assert kept["none"] == everything
+    df = {t: sum(t in x.split() for x in ("all red", "all red blue", "all green")) for t in everything}
+    assert kept["universal"] == {t for t in everything if df[t] < 3} and kept["single"] == {t for t in everything if df[t] > 1}
+    assert kept["both"] == {t for t in everything if 1 < df[t] < 3}

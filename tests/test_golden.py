@@ -67,7 +67,7 @@ def test_jpii_m1_and_ranking(golden):
 
 def test_jpii_m3(golden):
     docs, q = golden
-    s = S.jpii_idf(I.postings(docs), I.corpus_size(docs), S.query_terms(q))
+    s = S.jpii_idf(I.postings(docs), I.corpus_size(docs), S.query_terms(q), lo=0.05, hi=0.95)
     got = {r.doc_id: (r.w_query, r.similarity) for r in s.collect()}
     assert got == {"00001.txt": (3, 1 / 6), "00002.txt": (3, 2 / 7),
                    "00003.txt": (3, 2 / 5), "00005.txt": (3, 2 / 4)}
@@ -100,3 +100,16 @@ def test_n_counts_empty_documents(golden):
     pruned = I.prune(I.postings(docs), I.corpus_size(docs), "both")
     assert pruned.select(I.indexed_doc_count(pruned).alias("n")).first().n == 4
     assert pruned.where(F.col("doc_id") == "00004.txt").count() == 0
+
+
+def test_index_lines_have_one_form_at_every_chunk_size(golden):
+    docs, _ = golden
+    pruned = I.prune(I.postings(docs), I.corpus_size(docs), "both")
+    whole = {r.term: r.line.split("\t")[1:] for r in index_text_lines(I.nested_index(pruned)).collect()}
+    for size in (1, 2):
+        parts = sorted((r.term, r.chunk, r.line.split("\t")[1:]) for r in index_text_lines(I.nested_index(pruned, chunk_docs=size)).collect())
+        joined = {}
+        for term, _, entries in parts:
+            assert len(entries) <= size
+            joined.setdefault(term, []).extend(entries)
+        assert joined == whole

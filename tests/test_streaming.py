@@ -6,8 +6,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from termlens.operators import index as I
-from termlens.operators.store import TableStore
-from termlens.streaming.incremental import apply_batch, index_postings, start_stream
+from termlens.streaming.incremental import IndexState, apply_batch, index_postings, start_stream
 
 
 def _full(spark, rows):
@@ -17,12 +16,12 @@ def _full(spark, rows):
 
 
 def test_batch_upsert_replaces_changed_document(spark, tmp_path):
-    st = TableStore(spark, str(tmp_path / "s"))
+    st = IndexState(spark, str(tmp_path / "s"))
     b1 = [(1, "red fox jumps"), (2, "red dog sleeps"), (3, "blue cat")]
     apply_batch(st, spark.createDataFrame(b1, "doc_id long, text string"))
     b2 = [(3, "blue fox sleeps"), (4, "red cat"), (5, "")]
     apply_batch(st, spark.createDataFrame(b2, "doc_id long, text string"))
-    apply_batch(st, spark.createDataFrame(b2, "doc_id long, text string"))  # retried batch
+    apply_batch(st, spark.createDataFrame(b2, "doc_id long, text string"), batch_id=2)  # retried batch
     final = [(1, "red fox jumps"), (2, "red dog sleeps"), (3, "blue fox sleeps"), (4, "red cat"), (5, "")]
     got = sorted(tuple(r) for r in index_postings(st).select("term", "doc_id", "w", "df").collect())
     assert got == _full(spark, final)
@@ -35,7 +34,7 @@ def test_stream_of_files(spark, tmp_path):
     for i, b in enumerate(batches):
         t = pa.table({"doc_id": [r[0] for r in b], "text": [r[1] for r in b]})
         pq.write_table(t, str(src / f"part-{i}.parquet"))
-    st = TableStore(spark, str(tmp_path / "s"))
+    st = IndexState(spark, str(tmp_path / "s"))
     q = start_stream(spark, str(src), st, "doc_id long, text string", checkpoint=str(tmp_path / "ck"))
     q.processAllAvailable()
     q.stop()
@@ -53,9 +52,31 @@ def test_scoring_stream_matches_batch_scores(spark, tmp_path):
         pq.write_table(pa.table({"doc_id": [r[0] for r in b], "text": [r[1] for r in b]}),
                        str(src / f"part-{i}.parquet"))
     qt = S.query_terms(spark.createDataFrame([(10, "red dog"), (11, "fox")], "query_id long, text string"))
-    st = TableStore(spark, str(tmp_path / "s"))
+    st = IndexState(spark, str(tmp_path / "s"))
     q = start_scoring_stream(spark, str(src), st, "doc_id long, text string", qt, checkpoint=str(tmp_path / "ck"))
     q.processAllAvailable()
     q.stop()
-    got = sorted((r.query_id, r.doc_id, r.match_count, r.similarity) for r in st.read("scores").collect())
+    got = sorted((r.query_id, r.doc_id, r.match_count, r.similarity) for r in st.scores().read().collect())
     assert got == [(10, 1, 1, 1 / 4), (10, 2, 1, 1 / 4), (10, 3, 2, 1.0), (11, 1, 1, 1 / 3)]
+
+
+def test_batch_with_repeated_ids_equals_a_rebuild(spark, tmp_path):
+    st = IndexState(spark, str(tmp_path / "s"))
+    rows = [(1, "red fox"), (1, "red dog"), (2, "red cat"), (2, "red cat"), (3, "fox dog")]
+    apply_batch(st, spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted(tuple(r) for r in index_postings(st).select("term", "doc_id", "w", "df").collect())
+    assert got == _full(spark, [(1, "red fox"), (2, "red cat"), (3, "fox dog")])
+
+
+def test_batch_writes_only_its_rows_and_recovers(spark, tmp_path):
+    st = IndexState(spark, str(tmp_path / "s"))
+    apply_batch(st, spark.createDataFrame([(1, "red fox"), (2, "red dog"), (3, "fox")], "doc_id long, text string"))
+    old = {p: p.stat().st_mtime_ns for p in (tmp_path / "s").rglob("batch=1/*.parquet")}
+    full = sorted(tuple(r) for r in index_postings(st).collect())
+    two = spark.createDataFrame([(2, "blue fox")], "doc_id long, text string")
+    st.write("postings", I.postings(two), 2)  # the job ended between the two writes
+    assert sorted(tuple(r) for r in index_postings(st).collect()) == full
+    apply_batch(st, two, batch_id=2)
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "s").rglob("batch=1/*.parquet")} == old
+    got = sorted(tuple(r) for r in index_postings(st).select("term", "doc_id", "w", "df").collect())
+    assert got == _full(spark, [(1, "red fox"), (2, "blue fox"), (3, "fox")])
