@@ -34,7 +34,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
     texts = docs.select("doc_id", "text")
-    model = toxicity.fit(texts.join(labels, "doc_id"))
+    model = toxicity.fit(texts, labels)
     return _without(docs, toxicity.scores(texts, model).where("score >= 0.5").select("doc_id"))
 
 

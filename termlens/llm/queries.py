@@ -24,7 +24,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text by a model of the labelled rows whose crc32(doc_id) mod 5 is not 0."""
     docs = _docs(spark, sf_dir)
     labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.fit(docs.join(labels, "doc_id").where(id_remainder("doc_id", 5) != 0))
+    model = toxicity.fit(docs, labels.where(id_remainder("doc_id", 5) != 0))
     return toxicity.scores(docs, model).select(
         "doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
