@@ -28,8 +28,6 @@ def main() -> None:
 
     spark = get_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="termlens-bench")
 
-    from pyspark.sql import functions as F
-
     from termlens.operators import index as I
     from termlens.operators import ranking as R
     from termlens.operators import similarity as S
@@ -53,25 +51,24 @@ def main() -> None:
         return R.rank_jpii(s)
 
     def q_pairwise(sf):
-        """All pairs sharing a kept term with IDF in [0.5, 0.95], ranked top-5."""
-        d = documents(spark, sf)
-        return R.rank_pairs(S.pairwise(I.postings(d), I.corpus_size(d), lo=0.5, hi=0.95))
+        """Pairs over kept terms with IDF in [0.05, 0.95], ranked top-5 (falling thresholds)."""
+        return P.pairwise_search(documents(spark, sf))
 
     def q_near_duplicates(sf):
         """All pairs with pruned Jaccard >= 0.8 (prefix-filter join)."""
         return P.near_duplicates(documents(spark, sf), 0.8)
 
-    def q_pairwise_count(sf):
-        """P2 scale: number of pairs sharing a kept term (IDF band [0.5, 0.95])."""
+    def q_pairwise_threshold(sf):
+        """Every pair with similarity >= 0.5 over kept terms with IDF in [0.05, 0.95]."""
         d = documents(spark, sf)
-        return S.pairwise(I.postings(d), I.corpus_size(d), lo=0.5, hi=0.95).agg(F.count(F.lit(1)).alias("n"))
+        return S.pairwise_threshold(I.postings(d), I.corpus_size(d), 0.5, lo=0.05, hi=0.95)
 
     queries = {
         "index_build": q_index_build,
         "jpii_search": q_jpii_search,
         "jpii_idf_search": q_jpii_idf,
         "pairwise_search": q_pairwise,
-        "pairwise_all_pairs": q_pairwise_count,
+        "pairwise_threshold": q_pairwise_threshold,
         "near_duplicates": q_near_duplicates,
     }
 

@@ -140,9 +140,12 @@ def _copy_groups(doc_sets: DataFrame) -> DataFrame:
     group aggregate is partial before its shuffle and the join back is split
     by AQE when one group is very large.
     """
-    groups = doc_sets.groupBy("w", "ts").agg(F.min("doc_id").alias("gid"), F.count(F.lit(1)).alias("copies"))
-    return reuse(doc_sets.join(groups, ["w", "ts"]).select(
-        "doc_id", "gid", "w", "copies", F.size("ts").cast("bigint").alias("n")))
+    # 128 hash bits of the set stand for it in the shuffles, not the set itself
+    keyed = doc_sets.select("doc_id", "w", F.size("ts").cast("bigint").alias("n"), F.xxhash64("ts").alias("h1"),
+                            F.xxhash64(F.lit(1), F.reverse("ts")).alias("h2"))
+    key = ["w", "n", "h1", "h2"]
+    groups = keyed.groupBy(*key).agg(F.min("doc_id").alias("gid"), F.count(F.lit(1)).alias("copies"))
+    return reuse(keyed.join(groups, key).select("doc_id", "gid", "w", "copies", "n"))
 
 
 def _expand_copies(rep_pairs: DataFrame, members: DataFrame, block_docs: int,
@@ -196,7 +199,11 @@ def pairwise(post: DataFrame, n_docs: Column, policy: str = "both", lo: float |
     """P2 core (J2/A8/M2): pruned Jaccard of every document pair sharing a kept term.
 
     Terms are pruned by df (``policy``) and then by the IDF band [lo, hi]
-    with N' = documents in the pruned index (pass lo=None to skip F4).
+    with N' = documents in the pruned index (pass lo=None to skip F4).  The
+    band's default upper end 0.95 removes nothing until N' exceeds 2^20, then
+    it removes every term of two documents: the rule of F4, not a saving.
+    All pairs are quadratic in the documents; ``pairwise_threshold`` and
+    ``search.pairwise_search`` give the similar ones without forming them.
     Output: doc_a < doc_b, match_count, w_a, w_b, similarity.
     """
     kept = _pair_terms(post, n_docs, policy, lo, hi)
@@ -224,9 +231,8 @@ def pairwise_weighted(post: DataFrame, n_docs: Column, policy: str = "both",
             (F.col("match_count") * F.least("w_a", "w_b")).cast("bigint").alias("sum_min"),
             (F.col("match_count") * F.greatest("w_a", "w_b")).cast("bigint").alias("sum_max"))
         return agg.withColumn("similarity", ratio("sum_min", "sum_max"))
-    extra = (weight,)
-    pairs = term_pairs(kept, block_docs, extra=extra)
-    wa, wb = (F.col("w_a"), F.col("w_b")) if weight == "w" else (F.col(f"{weight}_a"), F.col(f"{weight}_b"))
+    pairs = term_pairs(kept, block_docs, extra=(weight,))
+    wa, wb = F.col(f"{weight}_a"), F.col(f"{weight}_b")
     agg = pairs.groupBy("doc_a", "doc_b", "w_a", "w_b").agg(
         F.count(F.lit(1)).alias("match_count"),
         F.sum(F.least(wa, wb)).cast("bigint").alias("sum_min"),
@@ -245,7 +251,7 @@ def _pair_terms(post: DataFrame, n_docs: Column, policy: str, lo: float | None,
 
 
 def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str = "both",
-                       block_docs: int = BLOCK_DOCS) -> DataFrame:
+                       block_docs: int = BLOCK_DOCS, lo: float | None = None, hi: float | None = None) -> DataFrame:
     """All pairs with pruned Jaccard >= t (0 < t <= 1), exactly.
 
     Prefix filtering: terms are ordered globally by (df, term); document d
@@ -253,17 +259,20 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
     n_d - ceil(t * w_d) + 1 terms.  sim >= t implies m >= t * max(w_a, w_b),
     so two qualifying documents share a prefix term; the prefix self-join
     therefore finds every result pair.  Candidates also pass the length
-    filter min(w) >= t * max(w) and are verified by exact set intersection
+    filter min(w) >= t * max(w) and the positional filter: at the first term
+    that a pair shares, neither document may have fewer terms left than the
+    match count needs.  They are verified by exact set intersection
     over integer term ids (hashes proven collision-free on the vocabulary).
     Exact copies (same W and kept set) are joined once through one
     representative and expanded afterwards, so intermediate data stays
     proportional to the result even when one text has very many copies.
-    Output as ``pairwise`` (without the IDF band: df pruning only).
+    With ``lo``/``hi`` only terms in that IDF band count as matches (F4).
+    Output as ``pairwise``.
     """
     if not 0.0 < t <= 1.0:
         raise ValueError("threshold t must be in (0, 1]")
     spark = post.sparkSession
-    kept = I.prune(post, n_docs, policy)
+    kept = _pair_terms(post, n_docs, policy, lo, hi)
     # Integer term ids for the joins and the set intersections: xxhash64 of
     # the term, used only after one aggregate proves it is injective on the
     # kept vocabulary (else the strings themselves are the ids), so the
@@ -289,11 +298,14 @@ def pairwise_threshold(post: DataFrame, n_docs: Column, t: float, policy: str =
     need = F.ceil(F.lit(t) * F.col("w") - F.lit(1e-9)).cast("int")
     plen = F.size("items") - need + 1
     prefix = (rdocs.where(plen > 0)
-              .select("doc_id", "w", F.explode(F.slice("items", 1, plen)).alias("it"))
-              .select(F.col("it.tid").alias("tid"), "doc_id", "w", F.col("it.df").alias("df")))
+              .select("doc_id", "w", F.size("items").alias("size"), F.posexplode(F.slice("items", 1, plen)).alias("pos", "it"))
+              .select(F.col("it.tid").alias("tid"), "doc_id", "w", (F.col("size") - F.col("pos")).alias("rest")))
+    # blocks follow the number of documents that hold the term in their prefix, not its df
+    held = prefix.groupBy("tid").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    enough = F.least("rest_a", "rest_b") >= F.lit(t / (1 + t)) * (F.col("w_a") + F.col("w_b")) - F.lit(1e-6)
     cand = (
-        term_pairs(prefix, block_docs, keys=("tid",))
-        .where(F.least("w_a", "w_b") >= F.lit(t) * F.greatest("w_a", "w_b") - F.lit(1e-9))
+        term_pairs(prefix.join(held, "tid"), block_docs, extra=("rest",), keys=("tid",))
+        .where((F.least("w_a", "w_b") >= F.lit(t) * F.greatest("w_a", "w_b") - F.lit(1e-9)) & enough)
         .select("doc_a", "doc_b", "w_a", "w_b").distinct()
     )
     # Verification is CPU work per candidate; AQE sizes partitions by bytes,

@@ -189,8 +189,7 @@ def weighted_tf_jaccard(spark: SparkSession, sf: str) -> DataFrame:
 def pairwise_top10(spark: SparkSession, sf: str) -> DataFrame:
     """The 10 most similar pairs (similarity desc, then pair ids)."""
     docs = documents(spark, sf)
-    pairs = S.pairwise(I.postings(docs), I.corpus_size(docs))
-    return R.top_by_similarity(pairs, 10).select("rank", "doc_a", "doc_b", "similarity", "match_count")
+    return P.top_pairs(docs, 10).select("rank", "doc_a", "doc_b", "similarity", "match_count")
 
 
 @register("pairwise_ranked")

@@ -3,7 +3,7 @@
 Each function takes DataFrames and returns a lazy DataFrame; nothing is
 collected.  These take documents and tokenize them inside the plan; to run
 many searches over one corpus, store the postings once
-(``TableStore.write_postings``) and call the operators of
+(``ResultStore.write_postings``) and call the operators of
 ``operators.similarity`` on the stored postings instead.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from termlens.operators import index as I
 from termlens.operators import ranking as R
 from termlens.operators import similarity as S
+from termlens.operators.joins import reuse
 
 
 def jpii_search(docs: DataFrame, queries: DataFrame, k: int = 5, version: int = 3,
@@ -35,9 +36,32 @@ def jpii_scores(docs: DataFrame, queries: DataFrame, policy: str = "both",
 
 def pairwise_search(docs: DataFrame, k: int = 5, lo: float | None = 0.05,
                     hi: float | None = 0.95) -> DataFrame:
-    """Index -> IDF band -> pair self-join -> Jaccard -> global top-k."""
-    pairs = S.pairwise(I.postings(docs), I.corpus_size(docs), lo=lo, hi=hi)
-    return R.rank_pairs(pairs, k)
+    """Index -> IDF band -> Jaccard -> global top-k, without forming all pairs.
+
+    The threshold join runs with falling thresholds until k ranked pairs lie
+    above one: the first sort key is the rounded similarity, so pairs below a
+    threshold cannot outrank k pairs that are half a rounding step above it.
+    Only when the lowest threshold gives too few are all pairs scored.
+    """
+    post, n = reuse(I.postings(docs)), I.corpus_size(docs)
+    for t in (0.9, 0.7, 0.5, 0.3):
+        pairs = reuse(S.pairwise_threshold(post, n, t, lo=lo, hi=hi))
+        sure = R.layer1_filter(pairs, 0.1, q="w_a").where(F.col("similarity") >= t + 0.005)
+        if sure.limit(k).count() >= k:
+            return R.rank_pairs(pairs, k)
+        pairs.unpersist()
+    return R.rank_pairs(S.pairwise(post, n, lo=lo, hi=hi), k)
+
+
+def top_pairs(docs: DataFrame, k: int = 10, lo: float | None = 0.05, hi: float | None = 0.95) -> DataFrame:
+    """The k pairs with the greatest similarity, then by ids; thresholds fall until k pairs reach one."""
+    post, n = reuse(I.postings(docs)), I.corpus_size(docs)
+    for t in (0.9, 0.7, 0.5, 0.3):
+        pairs = reuse(S.pairwise_threshold(post, n, t, lo=lo, hi=hi))
+        if pairs.limit(k).count() >= k:
+            return R.top_by_similarity(pairs, k)
+        pairs.unpersist()
+    return R.top_by_similarity(S.pairwise(post, n, lo=lo, hi=hi), k)
 
 
 def near_duplicates(docs: DataFrame, t: float = 0.8) -> DataFrame:
