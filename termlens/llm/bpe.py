@@ -36,7 +36,7 @@ from .common import rows_of
 # Unicode White_Space beyond ASCII, in the \s of the pre-tokenizer's pattern (fixed values).
 _WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
-CACHE_PIECES = 600_000  # fragments kept per Python worker
+CACHE_PIECES = 1_000_000  # fragments kept per Python worker
 CACHE_BYTES = 40  # longer ones are not kept
 
 
