@@ -2,14 +2,14 @@
 
 Words are lower-cased, stripped of edge signs and hashed to ``2 ** feature_bits``
 features.  Document frequencies are counted over all documents and items.
-Benchmark items are cut into overlapping passages; their TF-IDF rows form the
+Benchmark items are cut into half-overlapping passages; their TF-IDF rows form the
 matrix (frequencies as their square roots) whose randomised SVD (random projection, power steps with QR, all
 products summed over distributed rows) gives the latent space.  It spans the
 whole row space while there are fewer passages than ``rank``; beyond that it
 keeps the ``rank`` leading directions, and cosines are scaled so that a
 passage's cosine with itself stays 1.
 
-A document is read in the same passages.  A passage whose weight on features
+A document is read in passages of that length, every ``step`` words.  A passage whose weight on features
 of the benchmark is too small for any cosine of ``min_cosine`` is passed over
 (Cauchy-Schwarz); the others are projected, and the items
 with a cosine of at least ``LATENT_SLACK * min_cosine`` (against the passage's
@@ -172,7 +172,7 @@ def _tfidf(f: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return u, v / max(float(np.sqrt(v @ v)), 1e-12)
 
 
-def build(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", feature_bits: int = 18, length: int = 16, step: int = 5, rank: int = 160,
+def build(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", feature_bits: int = 18, length: int = 16, step: int = 5, rank: int = 128,
           min_cosine: float = 0.6, verbatim: float = 0.8, paraphrase: float = 0.5, answer: float = 0.75, max_items: int = 20_000) -> Index:
     items = benchmark.select(F.col(id_col).alias("id"), "text").limit(max_items + 1).collect()
     if len(items) > max_items:
@@ -185,7 +185,7 @@ def build(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", featur
     used = np.unique(np.concatenate([np.empty(0, np.int64), *words]))
     column = np.full(1 << feature_bits, -1, np.int64)
     column[used] = np.arange(len(used))
-    cut = [(k, *_tfidf(w[s:e], idf)) for k, w in enumerate(words) for s, e in passages(len(w), length, step)]
+    cut = [(k, *_tfidf(w[s:e], idf)) for k, w in enumerate(words) for s, e in passages(len(w), length, length // 2)]
     if cut:
         spark = docs.sparkSession
         rows = spark.createDataFrame([(column[u].tolist(), v.tolist()) for _, u, v in cut], "cols array<int>, vals array<double>")
