@@ -7,8 +7,9 @@ scripts and elements whose class, id or role names an advert, a notice, a
 sidebar or reader comments do not, wherever they stand.  On a page with an
 article only the article's unmarked rest is kept.
 
-Pages without one are judged by their site's style tree: the blocks of all
-pages of a host are merged by path.  A path that m pages share has
+What the marks leave, inside articles too, is judged by the site's style tree:
+the blocks of all pages of a host are merged by path.  A path that m pages
+share has
 
 * content importance: 1 minus the mean entropy (base m) of its words over the
   pages; words spread evenly over all pages say nothing about any one,
@@ -16,9 +17,16 @@ pages of a host are merged by path.  A path that m pages share has
   blocks have, though not less than its content importance,
 
 combined as (1 - g ** l) * content + g ** l * presentation for l inline styles
-(g = 0.9).  Paths under ``least`` are removed from every page of the host; a
-path seen on one page only stays.  The tree is built by grouped sums on
-(host, path, word), so a host with a third of all pages is many partial sums.
+(g = 0.9).  Inside an article or main the equal blocks of a path are leaves of
+their own from three words on (a table repeats single ones), since a notice may
+be a paragraph like the others; a leaf on n of the m pages, more than half of them,
+has importance 1 - log(n) / log(m); one on fewer is text that pages share.  There the mark
+counts as ``prior`` pages of importance 1.  Branches under ``least`` are removed
+from every page of the host, with two exceptions inside articles: a path that
+holds more than half of a page's marked text is its body, and a page that would
+lose more than half of that text is a copy of others and stays whole.  A path
+seen on one page only stays.  The tree is built by grouped sums on (host, path,
+word or leaf), so a host with a third of all pages is many partial sums.
 
 Marks come first because menus and adverts may differ on every page; entropy
 alone would keep them.  Defined results: null or empty html gives an empty
@@ -186,60 +194,92 @@ def _host():
     return F.lower(F.regexp_extract(F.col("url"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-def style_tree(pages: DataFrame, g: float = 0.9) -> DataFrame:
-    """``pages(site, html)`` -> (site, path, n_pages, importance) of the unmarked branches of pages without an article."""
-    schema = pa.schema([("site", pa.string()), ("path", pa.int64()), ("kind", pa.int32()), ("item", pa.int64()), ("n", pa.float64()),
-                        ("nlogn", pa.float64()), ("pages", pa.int64())])
+def _leaf(path: int, text: str) -> int:
+    """The leaf of a marked block: its path and its text."""
+    return xxhash.xxh3_64_intdigest(f"{path}>{text}") >> 1
+
+
+def style_tree(pages: DataFrame, g: float = 0.9, prior: float = 2.0) -> DataFrame:
+    """``pages(site, html)`` -> (site, branch, importance) of the paths without a noise mark and of the repeated leaves of marked ones."""
+    schema = pa.schema([("site", pa.int64()), ("path", pa.int64()), ("kind", pa.int32()), ("item", pa.int64()), ("n", pa.float64()),
+                        ("nlogn", pa.float64()), ("l", pa.int64()), ("keep", pa.int32())])
 
     def run(batches):
-        for site, html in rows_of(batches, "site", "html"):
-            found, article = blocks(html)
-            if article:
-                continue
-            by: dict[int, Counter] = {}
-            style: dict[int, str] = {}
-            for text, mark, path, styles in found:
-                if mark == OPEN:
-                    by.setdefault(path, Counter()).update(text.split())
-                    style[path] = style.get(path, "") + "/" + styles
-            rows = []
-            for path, words in by.items():
-                rows += [(site, path, 0, xxhash.xxh3_64_intdigest(w) >> 1, float(n), n * math.log(n), 1) for w, n in words.items()]
-                rows.append((site, path, 1, xxhash.xxh3_64_intdigest(style[path]) >> 1, 1.0, 0.0, 1 + style[path].count(" ")))
-            yield from emit(rows, schema, 8192)
+        def rows():
+            for site, html in rows_of(batches, "site", "html"):
+                by: dict[int, Counter] = {}
+                style: dict[int, str] = {}
+                marked: dict[int, set[int]] = {}
+                for text, mark, path, styles in blocks(html)[0]:
+                    if mark != NOISE:
+                        by.setdefault(path, Counter()).update(text.split())
+                        style[path] = style.get(path, "") + "/" + styles
+                    if mark == KEEP:
+                        marked.setdefault(path, set()).update([_leaf(path, text)] if text.count(" ") > 1 else [])
+                for path, words in by.items():
+                    for w, n in words.items():
+                        yield site, path, 0, xxhash.xxh3_64_intdigest(w) >> 1, float(n), n * math.log(n), 0, 0
+                    yield site, path, 1, xxhash.xxh3_64_intdigest(style[path]) >> 1, 1.0, 0.0, 1 + style[path].count(" "), int(path in marked)
+                    for leaf in marked.get(path, ()):
+                        yield site, path, 2, leaf, 1.0, 0.0, 0, 1
+
+        yield from emit(rows(), schema, 8192)
 
     items = pages.select("site", "html").where("html is not null").mapInArrow(
-        run, "site string, path bigint, kind int, item bigint, n double, nlogn double, pages bigint")
-    sums = items.groupBy("site", "path", "kind", "item").agg(F.sum("n").alias("n"), F.sum("nlogn").alias("nlogn"), F.max("pages").alias("l"))
-    # of a word: entropy over pages; of a style: its part of the entropy over styles (see below)
+        run, "site bigint, path bigint, kind int, item bigint, n double, nlogn double, l bigint, keep int")
+    sums = items.groupBy("site", "path", "kind", "item").agg(F.sum("n").alias("n"), F.sum("nlogn").alias("nlogn"), F.max("l").alias("l"), F.max("keep").alias("keep"))
+    # of a word: entropy over pages; of a style: its part of the entropy over styles; a leaf's sum is its number of pages
+    sums = written(sums.where("kind < 2 or n > 1"), "style_sums")
     paths = sums.groupBy("site", "path").agg(
         F.avg(F.when(F.col("kind") == 0, F.log("n") - F.col("nlogn") / F.col("n"))).alias("words"),
         F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("n_pages"),
         F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("styles"),
-        F.max(F.when(F.col("kind") == 1, F.col("l"))).alias("l"))
+        F.max(F.when(F.col("kind") == 1, F.col("l"))).alias("l"),
+        F.max("keep").alias("keep")).where("n_pages > 1")
     base = F.log("n_pages")
     content = 1 - F.coalesce(F.col("words"), F.lit(0.0)) / base
     shown = (base - F.col("styles") / F.col("n_pages")) / base
     weight = F.pow(F.lit(g), F.col("l"))
-    return paths.select("site", "path", "n_pages", F.when(F.col("n_pages") > 1, (1 - weight) * content + weight * F.greatest(shown, content)).otherwise(1.0).alias("importance"))
+    both = (1 - weight) * content + weight * F.greatest(shown, content)
+    leaves = sums.where("kind = 2").select("site", "path", F.col("item").alias("leaf"), F.col("n").alias("seen"))
+    leaves = leaves.join(paths.select("site", "path", "n_pages"), ["site", "path"]).where("2 * seen > n_pages")
+
+    def with_mark(importance):
+        return (F.col("n_pages") * importance + prior) / (F.col("n_pages") + prior)
+
+    return paths.select("site", F.col("path").alias("branch"), F.when(F.col("keep") == 1, with_mark(both)).otherwise(both).alias("importance")).unionByName(
+        leaves.select("site", F.col("leaf").alias("branch"), with_mark(1 - F.log("seen") / F.log("n_pages")).alias("importance")))
+
+
+def kept_blocks(html: str | None, gone: set[int]) -> list[str]:
+    """The blocks of a page that its marks and its site's tree leave."""
+    found, article = blocks(html)
+    if not article:
+        return [t for t, mark, path, _ in found if mark == OPEN and path not in gone]
+    texts = [(t, path) for t, mark, path, _ in found if mark == KEEP]
+    if not gone:
+        return [t for t, _ in texts]
+    size = Counter()
+    for t, path in texts:
+        size[path] += len(t)
+    whole = sum(size.values())
+    left = [t for t, path in texts if (path not in gone or 2 * size[path] > whole) and _leaf(path, t) not in gone]
+    return left if 2 * sum(map(len, left)) >= whole else [t for t, _ in texts]
 
 
 def extract(pages: DataFrame, least: float = 0.2) -> DataFrame:
     """``pages(page_id, url, html)`` -> (page_id, url, text)."""
     # a page without a host is a site of its own; its branches are seen once and stay
-    sited = pages.select(F.col("page_id").cast("bigint"), "url", "html", F.when(F.length(_host()) > 0, _host()).alias("site"))
-    tree = written(style_tree(sited.where("site is not null")).where(F.col("importance") < least).select("site", "path"), "style_tree")
-    drop = tree.groupBy("site").agg(F.sort_array(F.collect_list("path")).alias("gone"))  # templates of one site
+    sited = pages.select(F.col("page_id").cast("bigint"), "url", "html", F.when(F.length(_host()) > 0, F.xxhash64(_host())).alias("site"))
+    tree = written(style_tree(sited.where("site is not null")).where(F.col("importance") < least).select("site", "branch"), "style_tree")
+    drop = tree.groupBy("site").agg(F.sort_array(F.collect_list("branch")).alias("gone"))  # templates of one site
 
     def run(batches):
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
         def rows():
             for page, url, html, gone in rows_of(batches, "page_id", "url", "html", "gone"):
-                found, article = blocks(html)
-                gone = set(gone or ())
-                kept = [t for t, mark, path, _ in found if (mark == KEEP if article else mark == OPEN and path not in gone)]
-                yield page, url, "\n".join(kept)
+                yield page, url, "\n".join(kept_blocks(html, set(gone or ())))
 
         yield from emit(rows(), schema, 1024, lambda r: len(r[2]))
 

@@ -59,3 +59,19 @@ def test_given_pages(spark):
         parts = re.split(r"</?(?:p|h1|h2|ul|li|div)>", inner)
         want = [" ".join(unescape(re.sub(r"<[^>]*>", lambda m: " " if m[0].startswith("<br") else "", p)).split()) for p in parts]
         assert r.text == "\n".join(w for w in want if w) and r.n_chars == len(r.text)
+
+
+def test_repeated_branches_inside_articles(spark):
+    """What a host's articles repeat goes, as an element or as one paragraph among others; copied pages and other hosts keep their text."""
+    def words(k):
+        return " ".join(f"word{k}x{j}" for j in range(30))
+
+    rows = [(k, f"http://s.example.com/{k}", f"<article><h1>title {k}</h1><p>{words(k)}</p><p>{words(k + 500)}</p>"
+             f"<p>Try our app, 9 days free.</p><div class=qz>Read also <b>this</b> story</div></article>") for k in range(20)]
+    rows += [(100 + k, f"http://copies.example.com/{k}", f"<main><p>{words(7)}</p><p>{words(8)}</p></main>") for k in range(20)]
+    rows += [(200, "http://one.example.com/", rows[0][2])]
+    out = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(20):
+        assert out[k] == f"title {k}\n{words(k)}\n{words(k + 500)}"
+        assert out[100 + k] == f"{words(7)}\n{words(8)}"
+    assert out[200].endswith("Try our app, 9 days free.\nRead also this story")
