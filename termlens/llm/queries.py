@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, embeddings, html, lm, secrets, simhash, substring, tokenfiles, toxicity
+from . import bpe, decontam, embeddings, html, lm, rankbpe, secrets, simhash, substring, tokenfiles, toxicity
 from .common import id_remainder, read, scratch
 from .sql import SQL  # noqa: F401
 
@@ -89,4 +89,12 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.index(spark, out)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op4_decontamination, op5_secrets, op6_simhash, op7_lm, op8_embeddings, op9_html, op10_tokens)}
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every text with the rank file (perfect hash, then heap merges), decode it again; digests of both."""
+    t = rankbpe.decode(rankbpe.encode(_docs(spark, sf_dir), packed=True).drop("text"))
+    return t.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+                    F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op4_decontamination, op5_secrets, op6_simhash, op7_lm, op8_embeddings, op9_html,
+                                   op10_tokens, op11_bpe)}
