@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, embeddings, html, lm, rankbpe, secrets, simhash, substring, tokenfiles, toxicity
+from . import bpe, decontam, embeddings, html, lexical, lm, rankbpe, secrets, simhash, substring, tokenfiles, toxicity
 from .common import id_remainder, read, scratch
 from .sql import SQL  # noqa: F401
 
@@ -96,5 +96,10 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for every benchmark item."""
+    return lexical.search(lexical.build(_docs(spark, sf_dir)), read(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op4_decontamination, op5_secrets, op6_simhash, op7_lm, op8_embeddings, op9_html,
-                                   op10_tokens, op11_bpe)}
+                                   op10_tokens, op11_bpe, op12_search)}

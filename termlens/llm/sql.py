@@ -31,4 +31,22 @@ SELECT e.vec_id, CAST(coalesce(deg.n, 0) AS BIGINT) AS n_links, least.c AS compo
 FROM embeddings e JOIN least ON least.x = e.vec_id LEFT JOIN deg ON deg.x = e.vec_id
 """
 
-SQL = {"op1_substring": OP1, "op8_embeddings": OP8}
+_FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12 = rf"""
+WITH t AS (SELECT doc_id, regexp_extract_all({_FOLD.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+d AS (SELECT doc_id, len(ts) AS n FROM t WHERE len(ts) > 0),
+g AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM d),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS term FROM t) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+q AS (SELECT item_id, term, count(*) AS c FROM (
+        SELECT item_id, unnest(regexp_extract_all({_FOLD.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM f, g),
+s AS (SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // ll)))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN p USING (term) JOIN d USING (doc_id), g GROUP BY ALL)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
+
+SQL = {"op1_substring": OP1, "op8_embeddings": OP8, "op12_search": OP12}
