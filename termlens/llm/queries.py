@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, embeddings, html, lexical, lm, rankbpe, secrets, simhash, substring, tokenfiles, toxicity
+from . import bpe, collocation, decontam, embeddings, html, lexical, lm, rankbpe, secrets, simhash, substring, tokenfiles, toxicity
 from .common import id_remainder, read, scratch
 from .sql import SQL  # noqa: F401
 
@@ -101,5 +101,10 @@ def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(lexical.build(_docs(spark, sf_dir)), read(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 best phrases of two to five words that occur a hundred times or more."""
+    return collocation.collocations(read(spark, sf_dir, "documents"), min_count=100, top=2000)
+
+
 QUERIES = {f.__name__: f for f in (op1_substring, op2_toxicity, op3_bpe, op4_decontamination, op5_secrets, op6_simhash, op7_lm, op8_embeddings, op9_html,
-                                   op10_tokens, op11_bpe, op12_search)}
+                                   op10_tokens, op11_bpe, op12_search, op13_collocations)}

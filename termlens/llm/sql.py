@@ -49,4 +49,25 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 WHERE rank <= 10
 """
 
-SQL = {"op1_substring": OP1, "op8_embeddings": OP8, "op12_search": OP12}
+OP13 = rf"""
+WITH w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_FOLD.format('text')}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w), (SELECT unnest(range(1, 6)) AS m)
+      WHERE i + m - 1 <= len(ws) GROUP BY ALL),
+c AS (SELECT * FROM g WHERE m >= 2 AND f >= 100),
+cut AS (SELECT lang, phrase, f, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM (SELECT *, string_split(phrase, ' ') AS ws FROM c))),
+s AS (SELECT cut.lang, cut.phrase, cut.f AS a, cut.k, x.f AS l, y.f AS r, n,
+             CAST((1000::HUGEINT * cut.f * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+      FROM cut JOIN g x ON x.lang = cut.lang AND x.phrase = cut.x JOIN g y ON y.lang = cut.lang AND y.phrase = cut.y JOIN total ON total.lang = cut.lang),
+one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS rn FROM s) WHERE rn = 1),
+kept AS (SELECT * FROM one WHERE NOT EXISTS (
+           SELECT 1 FROM c WHERE c.lang = one.lang AND len(c.phrase) > len(one.phrase) AND 100 * c.f >= 100 * one.a
+           AND contains(' ' || c.phrase || ' ', ' ' || one.phrase || ' ')))
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000
+"""
+
+SQL = {"op1_substring": OP1, "op8_embeddings": OP8, "op12_search": OP12, "op13_collocations": OP13}
