@@ -6,17 +6,16 @@ are counted; Spark's ROLLUP then sums them over successively shorter prefixes,
 and the count of a phrase of k words is the sum over the windows that begin
 with it.  No n-gram length is exploded on its own.
 
-Exact pruning keeps the windows small.  Words are counted first; a word of fewer
-than ``min_count`` occurrences is in no candidate and in no part of one, so it
-ends a window like a piece does.  The words above it travel as a bitmap of fixed
-size (``FILTER_BITS``): false positives only leave a window longer than needed.
-Windows leave a task counted, as 64-bit word hashes, whose being different for
-all words of a language is proven first (else another salt is taken), and are
-dealt out by their first two words.  There, sums over the first two, three and
-four words cut each window behind its last frequent prefix, and what is left is
-rolled up.  Windows that begin with two words of more than 1/1024 of all words
-each are dealt out by further words, so a hot pair is not one task's work; their
-pair sum is then only known after the roll-up.
+Windows leave a task counted.  A word travels as a 64-bit hash, whose being
+different for all words of a language is proven first (else another salt is
+taken), or, if it is one of at most 2^20 most frequent words, as its place in a
+table of those; three such places fit one number.  Windows are dealt out by their
+first two words.  There, sums over the first two, three and four words cut each
+window behind its last frequent prefix, and only what is left is rolled up: a
+phrase below ``min_count`` is in no candidate and in no part of one.  Windows that
+begin with two words of more than 1/1024 of all words each are dealt out by
+further words, so a hot pair is not one task's work; their pair sum is then only
+known after the roll-up.
 
 Scores are exact: products are decimals of 38 digits.
 
@@ -40,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import rows_of, written
 
 ORDER = 5  # words of the longest phrase
-FILTER_BITS = 25  # 2^25 bits for the frequent words, at every size of the vocabulary
+TABLE_BITS = 20  # the most frequent words get short numbers: fewer than 2^20 at every size of the vocabulary
 HOT_SHARE = 1024  # a word is hot from 1/1024 of all words on, so there are at most so many
 RANK_BUCKETS = 64
 CHUNK_WORDS = 3 << 20  # words that a task holds before it counts their windows
@@ -123,25 +122,28 @@ def _hash(word: Column, salt: str) -> Column:
 
 
 def _salt(words: DataFrame) -> str:
-    """A salt under which no two words of a language share a hash, and none has the padding's 0."""
+    """A salt under which no two words of a language share a hash, and none is a short number."""
     for k in range(100):
         salt = f"{k}:"
         same = words.select("lang", _hash(F.col("word"), salt).alias("h")).groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n"))
-        if not same.where("n > 1 OR h = 0").limit(1).count():
+        if not same.where((F.col("n") > 1) | F.col("h").between(0, 1 << TABLE_BITS)).limit(1).count():
             return salt
     raise ValueError("no salt separates the words")
 
 
-def _filter(frequent: DataFrame) -> np.ndarray:
-    """A bitmap of 2^FILTER_BITS bits, two set per frequent word; at most 2^(FILTER_BITS - 6) rows reach the driver."""
-    mask = (1 << FILTER_BITS) - 1
-    at = F.explode(F.array(F.col("h").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("h", 64 - FILTER_BITS)))
-    cells = frequent.select(at.alias("p")).groupBy(F.shiftright("p", 6).alias("c")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(p & 63 AS INT))")).alias("b"))
-    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
-    for r in cells.collect():
-        out[r.c] = r.b & 0xFFFFFFFFFFFFFFFF
-    return out
+def _table(words: DataFrame, salt: str) -> np.ndarray:
+    """The hashes, ascending, of the most frequent words: those above a count that fewer than 2^TABLE_BITS words reach."""
+    step = F.floor(F.log2("n") * 8).cast("int")
+    sizes = words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect()  # a few hundred
+    held, least = 0, None
+    for r in sizes:
+        held += r.words
+        if held >= 1 << TABLE_BITS:
+            break
+        least = r.step
+    if least is None:
+        return np.empty(0, dtype=np.int64)
+    return np.unique(words.where(step >= least).select(_hash(F.col("word"), salt).alias("h")).toArrow().column("h").to_numpy())
 
 
 def _distinct(cols: list[np.ndarray], n_names: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,29 +162,25 @@ def _distinct(cols: list[np.ndarray], n_names: int) -> tuple[np.ndarray, np.ndar
     return order[first], np.diff(np.append(first, len(order)))
 
 
-def windows(docs: DataFrame, salt: str, bitmap: np.ndarray, hot: list[int], lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, w1..w5, deal, n): counted windows of word hashes, padded with 0.
+def windows(docs: DataFrame, salt: str, table: np.ndarray, hot: list[int], lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """(lang, w1, w2, w3, w4, w5, deal, n): counted windows, padded with 0; short tails are packed into w3, w4 and w5 being null.
 
     ``deal`` is 0 where the first two words are not both hot.  Else its last two bits say that the first three (1),
     four (2) or five (3) words determine it, the last of them being the first word that is not hot.
     """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((bitmap, np.array(sorted(hot), dtype=np.int64)))
+    sent = docs.sparkSession.sparkContext.broadcast((table, np.array(sorted(hot), dtype=np.int64)))
 
     def run(batches):
         import xxhash
 
-        bits, hot_words = sent.value
-        mark, mask = salt.encode(), np.uint64((1 << FILTER_BITS) - 1)
+        short, hot_words = sent.value
+        mark = salt.encode()
         for lang, words in _chunks(batches, lang_col, text_col):
-            digest = np.array([0, *(xxhash.xxh64_intdigest(mark + w, 42) for w in list(words.number)[1:])], dtype=np.uint64)
-            keep = np.ones(len(digest), dtype=bool)
-            for p in (digest & mask, digest >> np.uint64(64 - FILTER_BITS)):
-                keep &= (bits[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
-            keep[0] = False
-            number = (np.cumsum(keep) * keep).astype(np.int32)  # 1.. for words that may be frequent, 0 for those that end a window
-            name = np.append(np.uint64(0), digest[keep]).view(np.int64)
-            seq = np.append(number[np.concatenate(words.parts)], np.zeros(ORDER, dtype=np.int32))
+            name = np.array([0, *(xxhash.xxh64_intdigest(mark + w, 42) for w in list(words.number)[1:])], dtype=np.uint64).view(np.int64)
+            if len(short):
+                at = np.minimum(np.searchsorted(short, name), len(short) - 1)
+                name = np.where(short[at] == name, at + 1, name)
+            seq = np.append(np.concatenate(words.parts), np.zeros(ORDER, dtype=np.int32))
             at = np.flatnonzero(seq)
             cols = [seq[at]]
             for k in range(1, ORDER):
@@ -190,20 +188,33 @@ def windows(docs: DataFrame, salt: str, bitmap: np.ndarray, hot: list[int], lang
             rows, n = _distinct(cols, len(name))
             is_hot = np.isin(name, hot_words) & (name != 0)
             for a in range(0, len(n), 1 << 16):
-                w = [c[rows[a:a + (1 << 16)]] for c in cols]
+                local = [c[rows[a:a + (1 << 16)]] for c in cols]
+                w = [name[x] for x in local]
                 deal = np.zeros(len(w[0]), dtype=np.int64)
-                warm = is_hot[w[0]]
+                warm = is_hot[local[0]]
                 for k in range(1, ORDER - 1):
-                    warm = warm & is_hot[w[k]]
-                    deal = np.where(warm, (((deal >> 2) * 1_000_003 + name[w[k + 1]]) << 2) | k, deal)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(deal), pa.string()), *(pa.array(name[x]) for x in w), pa.array(deal), pa.array(n[a:a + len(deal)])],
-                                                 names=["lang", *W, "deal", "n"])
+                    warm = warm & is_hot[local[k]]
+                    deal = np.where(warm, (((deal >> 2) * 1_000_003 + w[k + 1]) << 2) | k, deal)
+                small = np.logical_and.reduce([(x >= 0) & (x <= 1 << TABLE_BITS) for x in w[2:]])
+                packed = np.where(small, w[2] | w[3] << _ID_BITS | w[4] << (2 * _ID_BITS), w[2])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(deal), pa.string()), pa.array(w[0]), pa.array(w[1]), pa.array(packed), pa.array(w[3], mask=small),
+                     pa.array(w[4], mask=small), pa.array(deal), pa.array(n[a:a + len(deal)])], names=["lang", *W, "deal", "n"])
 
     return docs.select(lang_col, text_col).mapInArrow(run, f"lang string, {', '.join(f'{w} long' for w in W)}, deal long, n long")
 
 
+def _unpacked(counted: DataFrame) -> DataFrame:
+    mask, packed = F.lit((1 << _ID_BITS) - 1), F.col("w4").isNull()
+
+    def word(k: int) -> Column:
+        return F.when(packed, F.shiftright("w3", (k - 3) * _ID_BITS).bitwiseAND(mask)).otherwise(F.col(f"w{k}")).alias(f"w{k}")
+
+    return counted.select("lang", "w1", "w2", word(3), word(4), word(5), "deal", "n")
+
+
 def prefixes(counted: DataFrame, min_count: int) -> DataFrame:
-    """(lang, p, f): phrases of two to five words (``p``: their hashes) with at least ``min_count`` occurrences."""
+    """(lang, p, f): phrases of two to five words (``p``: their words' numbers) with at least ``min_count`` occurrences."""
     key = ["lang", "w1", "w2", "deal"]
 
     def over(*more: str) -> Column:
@@ -211,7 +222,7 @@ def prefixes(counted: DataFrame, min_count: int) -> DataFrame:
 
     # one exchange and one sort serve all three sums; a sum over fewer words than ``deal`` depends on is not whole and
     # cuts nothing, the roll-up has the whole one
-    t = counted.repartition(*key).sortWithinPartitions(*key, "w3", "w4")
+    t = _unpacked(counted.repartition(*key)).sortWithinPartitions(*key, "w3", "w4")
     depth = F.col("deal").bitwiseAND(F.lit(3))
     go2 = (F.col("s2") >= min_count) | (depth > 0)
     go3 = (F.col("s3") >= min_count) | (depth > 1)
@@ -232,10 +243,13 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, lang_co
     words = word_counts(docs, lang_col, text_col)
     salt = _salt(words)
     total = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    frequent = written(words.where(F.col("n") >= min_count).select("lang", "word", _hash(F.col("word"), salt).alias("h"), F.col("n").alias("f")), "frequent")
+    table = _table(words, salt)
+    short = docs.sparkSession.createDataFrame(pa.table({"h": table, "v": np.arange(1, len(table) + 1)}), "h long, v long")
+    frequent = words.where(F.col("n") >= min_count).select("lang", "word", _hash(F.col("word"), salt).alias("h"), F.col("n").alias("f"))
+    frequent = written(frequent.join(F.broadcast(short), "h", "left").select("lang", "word", F.coalesce("v", "h").alias("h"), "f"), "frequent")
     share = words.agg(F.sum("n")).first()[0] or 0
     hot = [r.h for r in frequent.where(F.col("f") * HOT_SHARE >= share).select("h").collect()]  # at most HOT_SHARE rows
-    found = written(prefixes(windows(docs, salt, _filter(frequent), hot, lang_col, text_col), min_count), "phrases")
+    found = written(prefixes(windows(docs, salt, table, hot, lang_col, text_col), min_count), "phrases")
 
     counts = found.unionByName(frequent.select("lang", F.array("h").alias("p"), "f"))
     cuts = found.withColumn("k", F.explode(F.sequence(F.lit(1), F.size("p") - 1)))
@@ -252,7 +266,7 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, lang_co
     covered = parts.groupBy("lang", "p").agg(F.max("f").alias("longer"))
     kept = scored.join(covered, ["lang", "p"], "left").where(F.coalesce(100 * F.col("longer") < 100 * F.col("a"), F.lit(True)))
 
-    # the words behind the hashes, then the ranking: within buckets first, so no task ranks all of a language
+    # the words behind the numbers, then the ranking: within buckets first, so no task ranks all of a language
     spelled = kept.select("lang", "p", F.posexplode("p").alias("at", "h")).join(frequent.select("lang", "h", "word"), ["lang", "h"])
     spelled = spelled.groupBy("lang", "p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda s: s["word"]), " ").alias("phrase"))
     rows = kept.join(spelled, ["lang", "p"]).select("lang", "phrase", "a", F.col("c.l").alias("l"), F.col("c.r").alias("r"), "n", F.col("c.score").alias("score"))

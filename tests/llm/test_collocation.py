@@ -68,10 +68,29 @@ def test_hot_pairs_are_dealt_out_and_stay_whole(spark):
     df = spark.createDataFrame(docs, "lang string, text string")
     assert sorted(map(tuple, collocation.collocations(df, 5, 50).collect())) == plain(docs, 5, 50)
     words = collocation.word_counts(df)
-    frequent = words.where("n >= 5").withColumn("h", collocation._hash(words["word"], "0:"))
-    hot = [r.h for r in frequent.where("n > 100").collect()]
-    w = collocation.windows(df, "0:", collocation._filter(frequent), hot).where("deal <> 0")
+    table = collocation._table(words, "0:")
+    assert len(table) == words.count()
+    by_hash = {h: v for v, h in enumerate(table.tolist(), 1)}
+    hot = [by_hash[r.h] for r in words.where("n > 100").select(collocation._hash(words["word"], "0:").alias("h")).collect()]
+    w = collocation.windows(df, "0:", table, hot).where("deal <> 0")
     assert w.select("w1", "w2", "deal").distinct().count() > w.select("w1", "w2").distinct().count()
+    assert w.where("w4 IS NOT NULL OR w5 IS NOT NULL").count() == 0
+
+
+def test_words_outside_the_table_travel_as_hashes(spark):
+    df = spark.createDataFrame(list(texts(4, 200, 60)), "lang string, text string")
+    words = collocation.word_counts(df)
+    every = collocation._table(words, "0:")
+    for table in (every, every[::3], every[:0]):
+        w = collocation._unpacked(collocation.windows(df, "0:", table, []))
+        got = Counter({r[0]: r[1] for r in w.groupBy("w1").sum("n").collect()})
+        value = {h: v for v, h in enumerate(table.tolist(), 1)}
+        want = Counter()
+        for r in words.select("n", collocation._hash(words["word"], "0:").alias("h")).collect():
+            want[value.get(r.h, r.h)] += r.n
+        assert got == want
+        tails = [Counter({r[0]: r[1] for r in w.where(f"{c} <> 0").groupBy(c).sum("n").collect()}) for c in ("w3", "w5")]
+        assert all(set(t) <= set(want) and all(t[k] <= want[k] for k in t) for t in tails) and sum(tails[0].values()) > 100
 
 
 def test_distinct_rows_by_packed_and_plain_keys():
