@@ -8,7 +8,7 @@ with it.  No n-gram length is exploded on its own.
 
 Windows leave a task counted.  A word travels as a 64-bit hash, whose being
 different for all words of a language is proven first (else another salt is
-taken), or, if it is one of at most 2^20 most frequent words, as its place in a
+taken), or, if it is one of at most 2^19 most frequent words, as its place in a
 table of those; three such places fit one number.  Windows are dealt out by their
 first two words.  There, sums over the first two, three and four words cut each
 window behind its last frequent prefix, and only what is left is rolled up: a
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import rows_of, written
 
 ORDER = 5  # words of the longest phrase
-TABLE_BITS = 20  # the most frequent words get short numbers: fewer than 2^20 at every size of the vocabulary
+TABLE_BITS = 19  # the most frequent words get short numbers: fewer than 2^19 at every size of the vocabulary
 HOT_SHARE = 1024  # a word is hot from 1/1024 of all words on, so there are at most so many
 RANK_BUCKETS = 64
 CHUNK_WORDS = 3 << 20  # words that a task holds before it counts their windows
@@ -162,6 +162,25 @@ def _distinct(cols: list[np.ndarray], n_names: int) -> tuple[np.ndarray, np.ndar
     return order[first], np.diff(np.append(first, len(order)))
 
 
+def _short(h: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The hashes, those in ``table`` replaced by their places in it, from 1."""
+    if not len(table):
+        return h
+    at = np.minimum(np.searchsorted(table, h), len(table) - 1)
+    return np.where(table[at] == h, at + 1, h)
+
+
+def _numbered(words: DataFrame, salt: str, table: np.ndarray) -> DataFrame:
+    """(lang, word, h, f) with the numbers by which words travel."""
+    sent = words.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        for b in batches:
+            yield b.set_column(2, "h", pa.array(_short(b.column("h").to_numpy(), sent.value)))
+
+    return words.select("lang", "word", _hash(F.col("word"), salt).alias("h"), F.col("n").alias("f")).mapInArrow(run, "lang string, word string, h long, f long")
+
+
 def windows(docs: DataFrame, salt: str, table: np.ndarray, hot: list[int], lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, w1, w2, w3, w4, w5, deal, n): counted windows, padded with 0; short tails are packed into w3, w4 and w5 being null.
 
@@ -177,9 +196,7 @@ def windows(docs: DataFrame, salt: str, table: np.ndarray, hot: list[int], lang_
         mark = salt.encode()
         for lang, words in _chunks(batches, lang_col, text_col):
             name = np.array([0, *(xxhash.xxh64_intdigest(mark + w, 42) for w in list(words.number)[1:])], dtype=np.uint64).view(np.int64)
-            if len(short):
-                at = np.minimum(np.searchsorted(short, name), len(short) - 1)
-                name = np.where(short[at] == name, at + 1, name)
+            name = _short(name, short)
             seq = np.append(np.concatenate(words.parts), np.zeros(ORDER, dtype=np.int32))
             at = np.flatnonzero(seq)
             cols = [seq[at]]
@@ -244,9 +261,7 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, lang_co
     salt = _salt(words)
     total = words.groupBy("lang").agg(F.sum("n").alias("n"))
     table = _table(words, salt)
-    short = docs.sparkSession.createDataFrame(pa.table({"h": table, "v": np.arange(1, len(table) + 1)}), "h long, v long")
-    frequent = words.where(F.col("n") >= min_count).select("lang", "word", _hash(F.col("word"), salt).alias("h"), F.col("n").alias("f"))
-    frequent = written(frequent.join(F.broadcast(short), "h", "left").select("lang", "word", F.coalesce("v", "h").alias("h"), "f"), "frequent")
+    frequent = written(_numbered(words.where(F.col("n") >= min_count), salt, table), "frequent")
     share = words.agg(F.sum("n")).first()[0] or 0
     hot = [r.h for r in frequent.where(F.col("f") * HOT_SHARE >= share).select("h").collect()]  # at most HOT_SHARE rows
     found = written(prefixes(windows(docs, salt, table, hot, lang_col, text_col), min_count), "phrases")
