@@ -204,6 +204,10 @@ SQL["pairwise_weighted"] = f"""WITH {pair_ctes()}
 SELECT doc_a, doc_b, w_a, w_b, match_count, sum_min, sum_max,
        CASE WHEN sum_max > 0 THEN sum_min::DOUBLE / sum_max::DOUBLE ELSE 0.0 END AS similarity FROM pr"""
 
+SQL["pairwise_weighted_t"] = f"""WITH {pair_ctes()}
+SELECT doc_a, doc_b, w_a, w_b, match_count, sum_min, sum_max, sum_min::DOUBLE / sum_max::DOUBLE AS similarity
+FROM pr WHERE sum_min::DOUBLE / sum_max::DOUBLE >= 0.98"""
+
 SQL["weighted_tf_jaccard"] = f"""WITH {doc_index_ctes()}, {_NP},
 {tokens_cte('tk', 'documents', 'doc_id')},
 tf AS (SELECT id AS doc_id, term, count(*) AS tf FROM tk GROUP BY 1, 2),
@@ -304,6 +308,32 @@ pw AS (SELECT * FROM st WHERE mode = 'pairwise'),
 top AS (SELECT d FROM (SELECT doc_a AS d FROM pw UNION ALL SELECT doc_b FROM pw) e GROUP BY d ORDER BY count(*) DESC, d LIMIT 1)
 SELECT * FROM pw WHERE doc_a IN (SELECT d FROM top) OR doc_b IN (SELECT d FROM top)"""
 
+SQL["pipeline_jpii_idf"] = f"""WITH {jpii_ctes()}, {_QSTATS},
+qk AS (SELECT * FROM qs WHERE idf BETWEEN 0.3 AND 0.95),
+qw2 AS (SELECT query_id, count(*) AS wq2 FROM qk GROUP BY query_id),
+m2 AS (SELECT qk.query_id, kept.doc_id, kept.w, count(*) AS match_count
+       FROM qk JOIN kept USING (term) GROUP BY 1, 2, 3)
+SELECT 'jpii_idf' AS mode, m2.query_id AS doc_a, m2.doc_id AS doc_b, m2.match_count, qw2.wq2 AS w_a, m2.w AS w_b,
+       {jaccard_sql('m2.match_count', 'qw2.wq2', 'm2.w')} AS similarity
+FROM m2 JOIN qw2 USING (query_id)"""
+
+SQL["pipeline_pairwise_idf"] = f"""WITH {pair_ctes(0.3, 0.95)}
+SELECT 'pairwise_idf' AS mode, doc_a, doc_b, match_count, w_a, w_b, sum_min, sum_max, sum_min::DOUBLE / sum_max::DOUBLE AS similarity
+FROM pr WHERE sum_min::DOUBLE / sum_max::DOUBLE >= 0.99"""
+
+SQL["index_term_lookup"] = f"""WITH {doc_index_ctes()},
+top AS (SELECT term FROM kept GROUP BY term, df ORDER BY df DESC, term LIMIT 1)
+SELECT dt.term, dt.doc_id, dt.w, df.df FROM dt JOIN df USING (term) WHERE term IN (SELECT term FROM top)"""
+
+SQL["index_prefix_scan"] = f"""WITH {doc_index_ctes()},
+head AS (SELECT term FROM df WHERE starts_with(term, 'th') ORDER BY term LIMIT 50)
+SELECT dt.term, dt.doc_id, dt.w, df.df FROM dt JOIN df USING (term) WHERE term IN (SELECT term FROM head)"""
+
+SQL["results_of_document"] = f"""WITH {pair_ctes(None)},
+nd AS (SELECT * FROM pj WHERE similarity >= 0.8),
+top AS (SELECT d FROM (SELECT doc_a AS d FROM nd UNION ALL SELECT doc_b FROM nd) e GROUP BY d ORDER BY count(*) DESC, d LIMIT 1)
+SELECT 'pairwise' AS mode, nd.* FROM nd WHERE doc_a IN (SELECT d FROM top) OR doc_b IN (SELECT d FROM top)"""
+
 SQL["jpii_exclude_self"] = f"""WITH {jpii_ctes()}
 SELECT * FROM jp WHERE query_id <> doc_id"""
 

@@ -178,6 +178,14 @@ def pairwise_weighted(spark: SparkSession, sf: str) -> DataFrame:
     return S.pairwise_weighted(I.postings(docs), I.corpus_size(docs))
 
 
+@register("pairwise_weighted_t")
+def pairwise_weighted_t(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs with sum(min W)/sum(max W) >= 0.98 over shared kept terms, band [0.05, 0.95], by weight bands."""
+    from termlens.operators.weighted import pairwise_weighted_threshold
+    docs = documents(spark, sf)
+    return pairwise_weighted_threshold(S._pair_terms(I.postings(docs), I.corpus_size(docs), "both", 0.05, 0.95), 0.98)
+
+
 @register("weighted_tf_jaccard")
 def weighted_tf_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     """M4 with term-frequency weights: sum(min tf)/sum(max tf) over shared kept terms."""
@@ -213,10 +221,8 @@ def near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("recommend_per_doc")
 def recommend_per_doc(spark: SparkSession, sf: str) -> DataFrame:
-    """For every document its 5 most similar partners among all pairs."""
-    docs = documents(spark, sf)
-    pairs = S.pairwise(I.postings(docs), I.corpus_size(docs))
-    return P.recommend_per_doc(pairs, 5).select("doc_id", "rank", "other", "similarity", "match_count")
+    """For every document its 5 most similar partners (a threshold of its own for each document)."""
+    return P.best_partners(documents(spark, sf), 5)
 
 
 # --- text formats ----------------------------------------------------------------
@@ -519,6 +525,58 @@ def term_doc_map(spark: SparkSession, sf: str) -> DataFrame:
     return maps.select("term", F.explode("docs").alias("doc_id", "w"))
 
 
+# --- stored index and result table ---------------------------------------------------------
+
+def _index(spark: SparkSession, sf: str):
+    from termlens.operators.stored import StoredIndex
+    # a term in more than 500 documents is hot: both kinds of tables hold terms at every size
+    return StoredIndex.create(documents(spark, sf), hot_docs=500)
+
+
+@register("pipeline_jpii_idf")
+def pipeline_jpii_idf(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark queries against the stored index, IDF band [0.3, 0.95], scores written to the result table and read back."""
+    from termlens.operators.stored import ResultTable
+    s = _index(spark, sf).jpii_idf(S.query_terms(benchmark_queries(spark, sf)), 0.3, 0.95)
+    out = ResultTable(spark)
+    out.write(s.select(F.col("query_id").alias("doc_a"), F.col("doc_id").alias("doc_b"), "match_count", F.col("w_query").alias("w_a"),
+                       F.col("w_doc").alias("w_b"), "similarity"), "jpii_idf")
+    return out.read("jpii_idf")
+
+
+@register("pipeline_pairwise_idf")
+def pipeline_pairwise_idf(spark: SparkSession, sf: str) -> DataFrame:
+    """Weighted pairs of similarity >= 0.99 over the stored index, IDF band [0.3, 0.95], written to the result table and read back."""
+    from termlens.operators.stored import ResultTable
+    out = ResultTable(spark)
+    out.write(_index(spark, sf).pairwise_weighted(0.3, 0.95, 0.99), "pairwise_idf", extra=("sum_min", "sum_max"))
+    return out.read("pairwise_idf")
+
+
+@register("index_term_lookup")
+def index_term_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """K5: postings of the stored term with the most documents, read through buckets, Bloom filters and statistics."""
+    ix = _index(spark, sf)
+    top = ix._kept(ix.terms()).orderBy(F.desc("df"), "term").first()
+    return ix.lookup(top.term if top else "").select("term", "doc_id", "w", "df")
+
+
+@register("index_prefix_scan")
+def index_prefix_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """K6: the postings of the first 50 stored terms that start with 'th', from the files that hold them."""
+    return _index(spark, sf).scan("th", 50).select("term", "doc_id", "w", "df")
+
+
+@register("results_of_document")
+def results_of_document(spark: SparkSession, sf: str) -> DataFrame:
+    """K8: stored near-duplicate pairs of the document that most pairs hold, found under that document."""
+    from termlens.operators.stored import ResultTable
+    out = ResultTable(spark)
+    out.write(near_duplicates(spark, sf), "pairwise")
+    top = out._all().where("mode = 'pairwise'").groupBy("doc").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "doc").first()
+    return out.of_document("pairwise", top.doc if top else -1)
+
+
 # --- corpus preparation and sources ------------------------------------------------------
 
 @register("text_clean")
