@@ -68,7 +68,7 @@ def stamp(df: DataFrame) -> DataFrame:
 # --- keyed tables ----------------------------------------------------------------
 
 class KeyedTable:
-    """Rows of ``schema`` at ``path``, one current row per ``keys`` by the greatest ``order``.
+    """Rows of ``schema`` at ``path``: per ``keys`` the ``versions`` rows (W9; default one) of the greatest ``order``.
 
     ``partition_by`` columns become folders; inside them rows go to
     ``buckets`` folders by the hash of ``bucket_by`` (default: the keys).
@@ -76,9 +76,10 @@ class KeyedTable:
 
     def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str],
                  order: Sequence[str] = ("computed_at",), partition_by: Sequence[str] = (),
-                 bucket_by: Sequence[str] | None = None, buckets: int = 8):
+                 bucket_by: Sequence[str] | None = None, buckets: int = 8, versions: int = 1):
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.order = list(keys), list(order)
+        self.versions = versions
         if not set(partition_by) <= set(keys):
             raise ValueError("partition columns must be part of the key")
         self.parts, self.bucket_by, self.buckets = list(partition_by), list(bucket_by or keys), buckets
@@ -112,7 +113,10 @@ class KeyedTable:
                 here = here & F.col(c).eqNullSafe(F.lit(t[c]))
             at = at | here
         merged = self._all().where(at).unionByName(delta)
-        out = latest(merged, [*self.keys, "bucket"], [*self.order, "removed"])
+        if self.versions == 1:
+            out = latest(merged, [*self.keys, "bucket"], [*self.order, "removed"])
+        else:  # a repeated row is one version; each task sends at most ``versions`` rows of a key to the merge
+            out = keep_versions(merged.distinct(), [*self.keys, "bucket"], self.order, self.versions)
         (out.select(*self._stored.names).repartition(*places).sortWithinPartitions(*self.bucket_by)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*places).parquet(self.path))
 
@@ -122,8 +126,8 @@ class KeyedTable:
 
     def delete(self, doomed: DataFrame) -> None:
         """Remove the rows whose key is in ``doomed`` (marked as removed now)."""
-        if self.order != ["computed_at"]:
-            raise ValueError("delete needs a table ordered by computed_at")
+        if self.order != ["computed_at"] or self.versions > 1:
+            raise ValueError("delete needs a table of one version, ordered by computed_at")
         gone = doomed.select(*self.keys).distinct().withColumn("computed_at", F.current_timestamp()).withColumn("removed", F.lit(True))
         for f in self.schema:
             if f.name not in gone.columns:

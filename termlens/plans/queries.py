@@ -316,6 +316,16 @@ def cells_import_totals(spark: SparkSession, sf: str) -> DataFrame:
     ).withColumn("lines", n_lines)
 
 
+@register("cells_import")
+def cells_import(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lines written as a cell table in one read; its totals, and the cells and row keys of the table."""
+    from termlens.sources.imports import import_cells, read_cells
+    path = _scratch(spark, "cells")
+    totals = import_cells(_cell_input(spark, sf), path)
+    table_rows = read_cells(path, spark).agg(F.count(F.lit(1)).alias("stored"), F.countDistinct("row_key").alias("row_keys"))
+    return table_rows.select("stored", "row_keys", *[F.lit(totals[k]).cast("bigint").alias(k) for k in ("lines", "cells", "invalid")])
+
+
 # --- query-hash scores (older keyed-store form) -------------------------------------
 
 def _hash_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -481,6 +491,19 @@ def keep_versions(spark: SparkSession, sf: str) -> DataFrame:
     return kv(ev, ["user_id", "event_type"], ["ts", "event_id"], 5)
 
 
+@register("versions_stored")
+def versions_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Events arrive in two time batches, one of them twice; the table keeps the 5 newest rows per (user_id, event_type)."""
+    from termlens.operators.store import KeyedTable
+    cols = ["user_id", "event_type", "ts", "event_id", "value"]
+    first, second = (b.select(cols) for b in _events_two_batches(spark, sf))
+    t = KeyedTable(spark, _scratch(spark, "versions"), first.schema, ["user_id", "event_type"], order=["ts", "event_id"], versions=5)
+    t.upsert(first)
+    t.upsert(second)
+    t.upsert(second)
+    return t.read()
+
+
 # --- index lookups on the stored postings ----------------------------------------------
 
 def _postings_store(spark: SparkSession, sf: str):
@@ -643,6 +666,109 @@ def corpus_sweep_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_sweep(documents(spark, sf), S.query_terms(benchmark_queries(spark, sf)))
 
 
+@register("size_sweep")
+def size_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """An eighth, a quarter, half and all of the documents (by id) under every pruning mode, in one pass."""
+    from termlens.operators.metrics import size_sweep as sweep
+    docs = documents(spark, sf)
+    n = docs.count()
+    sizes = sorted({max(1, n // d) for d in (8, 4, 2, 1)})
+    return sweep(docs, S.query_terms(benchmark_queries(spark, sf)), sizes)
+
+
+def _runs(spark: SparkSession, sf: str) -> DataFrame:
+    """A run table derived from all events: a run per (mode, size, workers, status) with whole-number measures."""
+    ev = table(spark, sf, "events").select(
+        F.col("event_type").alias("mode"), (10 * (1 + F.col("event_id") % 5)).cast("bigint").alias("books"),
+        F.pow(F.lit(2), F.col("user_id") % 3).cast("bigint").alias("reducers"),
+        F.when(F.col("event_id") % 11 == 0, "FAILED").otherwise("SUCCESS").alias("status"), "user_id", "event_id")
+    g = ev.groupBy("mode", "books", "reducers", "status").agg(
+        F.count(F.lit(1)).cast("double").alias("stage1_time"), F.countDistinct("user_id").cast("double").alias("stage2_time"),
+        F.sum("event_id").alias("input_size"), F.sum("user_id").alias("index_size"), (F.count(F.lit(1)) * 512).alias("jpii_size"),
+        (F.countDistinct("user_id") * 3).alias("similarity_pairs"))
+    total = F.col("stage1_time") + F.col("stage2_time")
+    return g.withColumn("total_time", total).withColumn("throughput", F.col("books") / total)
+
+
+def _short(df: DataFrame) -> DataFrame:
+    """Doubles to 6 decimals: the order of a sum must not decide a comparison."""
+    from termlens.functions.measures import round_half_up
+    return df.select(*[round_half_up(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@register("runs_summary")
+def runs_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Successful runs: number, times and throughput."""
+    from termlens.operators import metrics as X
+    return _short(X.summary_stats(X.success_only(_runs(spark, sf))))
+
+
+@register("runs_optimal_reducers")
+def runs_optimal_reducers(spark: SparkSession, sf: str) -> DataFrame:
+    """Per size of the successful "click" runs the number of workers with the least time."""
+    from termlens.operators import metrics as X
+    return _short(X.optimal_reducers(X.success_only(_runs(spark, sf)).where("mode = 'click'")))
+
+
+@register("runs_scaling")
+def runs_scaling(spark: SparkSession, sf: str) -> DataFrame:
+    """Per number of workers how time grows with size ("click" runs)."""
+    from termlens.operators import metrics as X
+    return _short(X.scaling(X.success_only(_runs(spark, sf)).where("mode = 'click'")))
+
+
+@register("runs_bottleneck")
+def runs_bottleneck(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean shares of the stages and the longer one."""
+    from termlens.operators import metrics as X
+    return _short(X.bottleneck(X.success_only(_runs(spark, sf))))
+
+
+@register("runs_size_analysis")
+def runs_size_analysis(spark: SparkSession, sf: str) -> DataFrame:
+    """Per size mean input, index and result sizes."""
+    from termlens.operators import metrics as X
+    return _short(X.size_analysis(X.success_only(_runs(spark, sf))))
+
+
+@register("runs_by_reducers_and_status")
+def runs_by_reducers_and_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean time per number of workers, runs per status, and the fastest run of size 30, as (report, key, value)."""
+    from termlens.operators import metrics as X
+    runs = _runs(spark, sf)
+    ok = X.success_only(runs)
+    time = X.time_by_reducers(ok).select(F.lit("time").alias("report"), F.col("reducers").cast("string").alias("key"), F.col("avg_total_time").alias("value"))
+    status = X.runs_by_status(runs).select(F.lit("status").alias("report"), F.col("status").alias("key"), F.col("runs").cast("double").alias("value"))
+    fast = X.fastest_run(ok.where("mode = 'click'"), 30).select(F.lit("fastest").alias("report"), F.col("reducers").cast("string").alias("key"), F.col("total_time").alias("value"))
+    return _short(time.unionByName(status).unionByName(fast))
+
+
+# --- pruning where universal terms exist -------------------------------------------------------
+
+def _pages_index(spark: SparkSession, sf: str, policy: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    post = I.postings(pages, "page_id", "html")
+    return I.prune(post, I.corpus_size(pages), policy).select("term", F.col("doc_id").alias("page_id"), "w", "df")
+
+
+@register("pages_postings_both")
+def pages_postings_both(spark: SparkSession, sf: str) -> DataFrame:
+    """F1 over the raw pages, where markup words occur on every page: 1 < df < N."""
+    return _pages_index(spark, sf, "both")
+
+
+@register("pages_postings_universal")
+def pages_postings_universal(spark: SparkSession, sf: str) -> DataFrame:
+    """F2 over the raw pages: df < N removes the markup words, words of one page stay."""
+    return _pages_index(spark, sf, "universal")
+
+
+@register("pages_postings_single")
+def pages_postings_single(spark: SparkSession, sf: str) -> DataFrame:
+    """F3 over the raw pages: df > 1, the markup words stay."""
+    return _pages_index(spark, sf, "single")
+
+
 # --- incremental index ------------------------------------------------------------------------
 
 @register("incremental_index")
@@ -658,6 +784,30 @@ def incremental_index(spark: SparkSession, sf: str) -> DataFrame:
     return index_postings(st).select("term", "doc_id", "w", "df")
 
 
+@register("incremental_counts")
+def incremental_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same batches, the second one written twice; df and N from the batches' signed counts."""
+    from termlens.streaming.incremental import IndexState, apply_batch, index_postings_by_counts
+    docs = documents(spark, sf).select("doc_id", "text", "lang")
+    st = IndexState(spark)
+    apply_batch(st, docs.where(F.col("lang") == "en").withColumn("text", F.concat(F.lit("earlier draft "), "text")), batch_id=1)
+    apply_batch(st, docs, batch_id=2)
+    apply_batch(st, docs, batch_id=2)
+    return index_postings_by_counts(st).select("term", "doc_id", "w", "df")
+
+
+@register("estimated_documents")
+def estimated_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """N from the sketches of two overlapping batches is within three standard errors of N from the counts."""
+    from termlens.streaming.incremental import SKETCH_ERROR, IndexState, apply_batch, doc_count, estimated_docs
+    docs = documents(spark, sf).select("doc_id", "text", "lang")
+    st = IndexState(spark)
+    apply_batch(st, docs.where(F.col("lang") == "en"))
+    apply_batch(st, docs)
+    both = spark.range(1).select(doc_count(st).alias("n_docs"), estimated_docs(st).alias("estimate"))
+    return both.select("n_docs", (F.abs(F.col("estimate") - F.col("n_docs")) <= 3 * SKETCH_ERROR * F.col("n_docs") + 1).alias("within"))
+
+
 @register("jpii_ranked_lines")
 def jpii_ranked_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Ranked output lines ``rank  doc  jaccard(.2f)  f1(.3f)  overlap(.3f)  m``."""
