@@ -7,8 +7,12 @@ built here once.
 
 from __future__ import annotations
 
-from termlens.functions.text import NON_WORD_PATTERN, SPLIT_PATTERN, STOPWORDS
+from termlens.functions.text import STOPWORDS
 
+# The white space that separates words (29 code points), and what is deleted before the split.
+SPACE = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+NON_WORD_PATTERN = rf"[^\p{{L}}\p{{N}}_{SPACE}]"
+SPLIT_PATTERN = rf"[{SPACE}]+"
 
 def _quote(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -390,10 +394,13 @@ SELECT term, doc_id, w FROM kept WHERE term IN (SELECT term FROM first)"""
 SQL["term_doc_map"] = f"""WITH {doc_index_ctes()}
 SELECT term, doc_id, w FROM kept"""
 
-_WS = f"[{SPLIT_PATTERN[1:-2]}]+"
+_WS = SPLIT_PATTERN
+# Licence markers, and mis-encoded quotes and dashes with their replacements.
 _BS = r"\*\*\* ?START OF (THE|THIS) PROJECT GUTENBERG EBOOK[^*]*\*\*\*"
 _BE = r"\*\*\* ?END OF (THE|THIS) PROJECT GUTENBERG EBOOK[^*]*\*\*\*"
 
+_RESIDUE = (("xe2x80x9c", " "), ("xe2x80x9d", " "), ("xe2x80x94", " "), ("xe2x80x99", "'"), ("xe2x80x98", "'"))
+
 
 def _ws_norm(x: str) -> str:
     return f"trim(regexp_replace({x}, '{_WS}', ' ', 'g'), ' ')"
@@ -405,8 +412,7 @@ def clean_sql(x: str) -> str:
     s3 = _ws_norm(s2)
     s4 = f"regexp_replace({s3}, '\\\\[nrt]?', '', 'g')"
     s5 = s4
-    for bad, good in (("xe2x80x9c", " "), ("xe2x80x9d", " "), ("xe2x80x94", " "),
-                      ("xe2x80x99", "'"), ("xe2x80x98", "'")):
+    for bad, good in _RESIDUE:
         s5 = f"replace({s5}, '{bad}', '{good.replace(chr(39), chr(39) * 2)}')"
     return _ws_norm(s5)
 
