@@ -8,9 +8,12 @@ ends of pre-tokens whatever stands around them (an ASCII letter or digit on
 the left, or white space after anything else); each such fragment is
 pre-tokenized alone, and its pre-tokens are cut at every other forced pair.
 
-Fragments go through the vocabulary's merges (the library's BPE model) once
-and are kept in a bounded table per Python worker.  Strings of added tokens
-("<|endoftext|>") are found before all this, as the library does.
+The texts of an Arrow batch are cut together, a run of about ``RUN_CHARS``
+characters at a time, and each distinct fragment of a run is looked up once.  New
+ones are merged as lines of one text by the merges' ranks, or, if they hold other
+than Latin characters or are long, by the library's BPE model through their own
+forced cuts, and are kept in a bounded table per Python worker.  Strings of added tokens ("<|endoftext|>") are found before all this, as
+the library does.
 
 Defined results: a null text encodes as an empty one (no ids, decoded ""); a
 text of one enormous word is cut wherever the pair table allows and merged
@@ -32,12 +35,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import rows_of
+from .rankbpe import Spans, _runs
 
 # Unicode White_Space beyond ASCII, in the \s of the pre-tokenizer's pattern (fixed values).
 _WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# The pre-tokenizer's pattern (fixed value), and the fragments whose classes no Unicode version changes: ASCII and Latin letters.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_LINE = re.compile("[ ]?[!-~\u00c0-\u00ff\u0100-\u017f](?:[ -~\u00c0-\u00ff\u0100-\u017f]*[!-~\u00c0-\u00ff\u0100-\u017f])?")
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
 CACHE_PIECES = 1_000_000  # fragments kept per Python worker
 CACHE_BYTES = 40  # longer ones are not kept
+RUN_CHARS = 1 << 20
 
 
 def byte_chars() -> list[str]:
@@ -80,6 +88,7 @@ class ForcedCutBPE:
         for token, i in self.added.items():
             self.token_bytes[i] = token.encode()
         self.inside = inside
+        self._ranked(spec["model"]["merges"], vocab)
         self._joined = [bytes(row) for row in inside]  # joined[a][b]: 1 if the pair may be merged over
         space = np.zeros(256, dtype=bool)
         space[[*range(9, 14), 32]] = True
@@ -148,6 +157,89 @@ class ForcedCutBPE:
             found = [x or self._cache.get(f) or self._encode_fragment(f) for f, x in zip(frags, found, strict=True)]
         return np.frombuffer(b"".join(found), dtype="<u4")
 
+    def encode_texts(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Token ids of whole texts, whose fragments are looked up together."""
+        out: list[np.ndarray] = [np.empty(0, dtype="<u4")] * len(texts)
+        for wide in (False, True):
+            which = [k for k, t in enumerate(texts) if t and bool(_WIDE_SPACE.search(t)) == wide and not any(m in t for m in self._marks)]
+            if which:
+                for k, ids in zip(which, self._together([texts[k].encode() for k in which], self._cut_wide if wide else self._cut), strict=True):
+                    out[k] = ids
+        for k, t in enumerate(texts):
+            if t and any(m in t for m in self._marks):
+                out[k] = self.encode(t)
+        return out
+
+    def _together(self, texts: list[bytes], table: np.ndarray) -> list[np.ndarray]:
+        """Ids of non-empty texts without added tokens."""
+        raw = b"".join(texts)
+        a = np.frombuffer(raw, dtype=np.uint8)
+        pair = a[:-1].astype(np.uint16) << 8
+        pair |= a[1:]
+        size = np.array([len(t) for t in texts], dtype=np.int64)
+        text_at = np.cumsum(size) - size
+        begins = np.zeros(len(a), dtype=bool)
+        begins[1:] = table[pair]
+        begins[text_at] = True
+        at = np.flatnonzero(begins)
+        end = np.append(at[1:], len(raw))
+        one, same = Spans(np.frombuffer(raw + bytes(16), dtype=np.uint8), at, end).distinct(np.arange(len(at)))
+        frags = [raw[b:e] for b, e in zip(at[one].tolist(), end[one].tolist(), strict=True)]
+        own = list(map(self._cache.get, frags))
+        self._fill(frags, own)
+        n = np.array([len(x) for x in own], dtype=np.int64) >> 2
+        count = n[same]
+        done = np.cumsum(count)
+        step = (np.cumsum(n) - n)[same] - (done - count)
+        ids = np.frombuffer(b"".join(own), dtype="<u4")[np.repeat(step, count) + np.arange(int(done[-1]))]
+        upto = np.append(0, done)
+        first, last = np.searchsorted(at, text_at), np.searchsorted(at, text_at + size)
+        return [ids[b:e] for b, e in zip(upto[first].tolist(), upto[last].tolist(), strict=True)]
+
+    def _fill(self, frags: list[bytes], own: list[bytes | None]) -> None:
+        """Ids of the fragments that the table does not have.
+
+        Latin ones that begin and end with something other than white space (but for one leading blank) are merged as
+        lines of one text: a line feed beside them is a forced cut, and its id ends a fragment's ids.
+        """
+        new = [k for k, x in enumerate(own) if x is None]
+        lines = [k for k in new if len(frags[k]) <= CACHE_BYTES and _LINE.fullmatch(frags[k].decode())] if self._by_rank is not None else []
+        if lines:
+            ranks = np.array(self._by_rank.encode_ordinary(b"\n".join([frags[k] for k in lines]).decode()), dtype=np.int64)
+            stop = np.append(np.flatnonzero(ranks == 10), len(ranks))  # a byte's rank is the byte
+            if len(stop) != len(lines):
+                raise ValueError("a line feed is not a token of its own")
+            flat, at = self._id_of_rank[ranks].tobytes(), 0
+            for k, end in zip(lines, stop.tolist(), strict=True):
+                own[k] = flat[4 * at:4 * end]
+                at = end + 1
+            if len(self._cache) + len(lines) > CACHE_PIECES:
+                self._cache.clear()
+            self._cache.update((frags[k], own[k]) for k in lines)
+        for k in new:
+            if own[k] is None:
+                own[k] = self._encode_fragment(frags[k])
+
+    def _ranked(self, merges: list, vocab: dict[str, int]) -> None:
+        """The merges as ranks of what they make, for an encoder that merges by rank; it is used only where that is the same.
+
+        It is if every merge makes another token and every token's bytes merge to that token: then two neighbours that
+        form a token by other than its own merge cannot both be there when its rank is due.
+        """
+        import tiktoken
+
+        ranks = {bytes([b]): b for b in range(256)}
+        ids = [vocab[c] for c in self.chars]
+        pairs = [m if isinstance(m, (list, tuple)) else m.split(" ") for m in merges]
+        for k, (x, y) in enumerate(pairs):
+            ranks[bytes(self._to_byte[c] for c in x + y)] = 256 + k
+            ids.append(vocab[x + y])
+        whole = all(len(t := self._model.tokenize(x + y)) == 1 and t[0].id == vocab[x + y] for x, y in pairs)
+        self._by_rank = None
+        if whole and len(ranks) == len(ids):
+            self._by_rank = tiktoken.Encoding("merges", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self._id_of_rank = np.array(ids, dtype="<u4")
+
     def decode(self, ids) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", errors="replace")
 
@@ -175,23 +267,20 @@ def id_lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def with_ids(batches, path: str, text_col: str, ids_col: str, end_id: int | None = None, max_ids: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches with the ids of each text added, in pieces of at most about ``max_ids`` ids."""
+def with_ids(batches, path: str, text_col: str, ids_col: str, end_id: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches with the ids of each text added, a batch per run of texts."""
     enc = encoder(path)
     end = np.array([] if end_id is None else [end_id], dtype="<u4")
     for batch in batches:
-        text = batch.column(batch.schema.get_field_index(text_col))
         rest = batch.drop_columns([ids_col]) if ids_col in batch.schema.names else batch
-        parts: list[np.ndarray] = []
-        held = at = 0
-        for k, (t,) in enumerate(rows_of([batch], text_col)):
-            ids = enc.encode(t)
-            parts.append(np.concatenate([ids, end]) if len(end) else ids)
-            held += len(parts[-1])
-            if held >= max_ids or k == len(text) - 1:
-                piece = rest.slice(at, k + 1 - at)
-                yield pa.RecordBatch.from_arrays([*piece.columns, id_lists(parts)], names=[*piece.schema.names, ids_col])
-                parts, held, at = [], 0, k + 1
+        at = 0
+        for texts in _runs(rows_of([batch], text_col), RUN_CHARS):
+            parts = enc.encode_texts(texts)
+            if len(end):
+                parts = [np.concatenate([ids, end]) for ids in parts]
+            piece = rest.slice(at, len(texts))
+            at += len(texts)
+            yield pa.RecordBatch.from_arrays([*piece.columns, id_lists(parts)], names=[*piece.schema.names, ids_col])
 
 
 def encode(df: DataFrame, path: str | None = None, text_col: str = "text", ids_col: str = "ids") -> DataFrame:

@@ -41,6 +41,13 @@ def test_random_texts(lib, text):
     assert bpe.encoder(bpe.vocabulary_path()).encode(text).tolist() == lib.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*" \n\t\r'sdtmlrevaE,.!?-19é\xa0\x1c　日²★𐍈<|>", "<|endoftext|>", "  ", " the", "n't"]), max_size=30).map("".join), max_size=4))
+def test_texts_encoded_together(lib, texts):
+    got = bpe.encoder(bpe.vocabulary_path()).encode_texts([None, *texts])
+    assert [x.tolist() for x in got] == [[], *(lib.encode(t, add_special_tokens=False).ids for t in texts)]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 50256), max_size=20))
 def test_decoding_of_any_ids(lib, ids):
