@@ -13,16 +13,19 @@ A document is read in passages of that length, every ``step`` words.  A passage
 of the benchmark is too small for any cosine of ``min_cosine`` is passed over
 (Cauchy-Schwarz); the others are projected, and the items
 with a cosine of at least ``LATENT_SLACK * min_cosine`` (against the passage's
-full norm) are candidates.  An item shorter than a passage is found while the
-words around it do not outweigh it.  A candidate region is compared with the item's words by longest
+full norm) are candidates.  Items shorter than a passage are looked for in the same
+way in narrower windows, the narrowest of ``WIDTHS`` that holds the item; those of at
+most ``SHORT`` words count as contained if a stretch of their own length and a quarter covers ``verbatim`` of
+their words in order.  For the others a candidate region is compared with the item's words by longest
 common subsequence.  The item counts as contained if the subsequence covers
 ``verbatim`` of its words, or ``paraphrase`` of them while ``answer`` of its
 answer is there too: its rarest quarter of words, the part that a rewording
 has to keep.
 
-The benchmark is the stated query set: items, passages and latent vectors are
-sent to all tasks after a check that they are at most ``max_items`` items
-(more raise an error; split the benchmark then).  Defined results: null and
+The benchmark is the stated query set, searched in blocks of ``block_items``:
+a block's items, passages and latent vectors are sent to all tasks.  Texts are
+cut into words and hashed once; the packed features are written and read by
+the count and by the search of every block.  Defined results: null and
 empty texts contain nothing; items without words match nothing; repeated rows
 and items are judged each; several items in one document give a row each; a
 null doc_id gives rows with a null id; empty tables give no rows; very long
@@ -31,19 +34,24 @@ texts are read whole, passage by passage; other columns are not read.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import emit, rows_of
+from .common import emit, rows_of, written
 
 _EDGE = ".,;:!?\"'()[]{}<>|*_%&#$…«»¿¡-"
 _KNOWN = 400_000
+FEATURE_BITS = 18
+WIDTHS = (1, 2, 3, 4, 6, 8, 12)  # windows for items that are shorter than a passage
+SHORT = 8  # items of at most so many words have to be there word for word
+SVD_TASKS = 64  # a block of the benchmark is small; so are the sums of so many tasks
+GROUP_WORDS = 1 << 17  # words searched at a time
 LATENT_SLACK = 0.75  # cosines in the latent space scatter around the true ones
 
 
@@ -82,30 +90,40 @@ def passages(n: int, length: int, step: int) -> list[tuple[int, int]]:
     return [(s, s + length) for s in [*range(0, n - length, step), n - length]]
 
 
-def document_frequencies(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
-    """(documents that hold each feature, documents), over all rows."""
+def feature_rows(docs: DataFrame, bits: int = FEATURE_BITS) -> DataFrame:
+    """(doc_id, f): the features of every whole text in order, as packed 32-bit integers; written once and read by all passes."""
+    schema = pa.schema([("doc_id", pa.int64()), ("f", pa.binary())])
+
+    def run(batches):
+        table = feature_table(bits)
+        yield from emit(((d, features(t, table).astype("<i4").tobytes()) for d, t in rows_of(batches, "doc_id", "text")),
+                        schema, 4096, size=lambda r: len(r[1]))
+
+    return written(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, f binary"), "features", "lz4")
+
+
+def document_frequencies(rows: DataFrame, bits: int = FEATURE_BITS) -> tuple[np.ndarray, int]:
+    """(documents that hold each feature, documents), over all ``feature_rows``.
+
+    A task sends a row for each feature it met, so at most ``2 ** bits``; their sums are a plain aggregate."""
     size = 1 << bits
 
     def run(batches):
-        df, n, table = np.zeros(size, np.int64), 0, feature_table(bits)
-        for (text,) in rows_of(batches, "text"):
-            held = np.unique(np.fromiter(map(table.__getitem__, set((text or "").lower().split())), np.int64))
-            df[held[held >= 0]] += 1
+        df, n = np.zeros(size, np.int64), 0
+        for (f,) in rows_of(batches, "f"):
+            df[np.unique(np.frombuffer(f, "<i4"))] += 1
             n += 1
         if n:
-            for k in range(0, size, 1 << 14):
-                yield pa.RecordBatch.from_pydict({"k": pa.array([k]), "df": pa.array([df[k:k + (1 << 14)].astype("<i8").tobytes()], pa.binary()),
-                                                  "n": pa.array([n])})
-
-    def add(t: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), "<i8") for x in t.column("df"))
-        return pa.table({"k": [t.column("k")[0].as_py()], "df": pa.array([total.tobytes()], pa.binary()), "n": [sum(t.column("n").to_pylist())]})
+            held = np.flatnonzero(df)
+            for at in range(0, len(held), 1 << 14):
+                k = held[at:at + (1 << 14)]
+                yield pa.RecordBatch.from_pydict({"k": pa.array(k.astype(np.int32)), "n": pa.array(df[k])})
+            yield pa.RecordBatch.from_pydict({"k": pa.array([-1], pa.int32()), "n": pa.array([n])})
 
-    out, n = np.zeros(size, np.int64), 0
-    for r in docs.select("text").mapInArrow(run, "k bigint, df binary, n bigint").groupBy("k").applyInArrow(add, "k bigint, df binary, n bigint").collect():
-        out[r.k:r.k + (1 << 14)] = np.frombuffer(bytes(r.df), "<i8")
-        n = r.n
-    return out, n
+    sums = rows.select("f").mapInArrow(run, "k int, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size + 1, np.int64)  # the last place, -1, is the number of documents
+    out[sums.column("k").to_numpy()] = sums.column("n").to_numpy()
+    return out[:-1], int(out[-1])
 
 
 def randomised_svd(rows: DataFrame, n_columns: int, rank: int, steps: int = 2, seed: int = 3) -> np.ndarray:
@@ -145,21 +163,29 @@ def randomised_svd(rows: DataFrame, n_columns: int, rank: int, steps: int = 2, s
     return (q @ u[:, keep])[:, ::-1]
 
 
+@dataclass
+class Part:
+    """The items that are looked for in windows of one width."""
+
+    width: int
+    step: int
+    held: np.ndarray  # by feature: whether one of these items holds it
+    latent: np.ndarray  # unit-passage vectors in the latent space
+    owner: np.ndarray  # item of each passage
+
+
 @dataclass
 class Index:
     """What a task needs to search texts for the benchmark."""
 
-    bits: int
-    length: int
-    step: int
     idf: np.ndarray  # by feature
     column: np.ndarray  # by feature: its row in ``axes``, -1 if no item holds it
     axes: np.ndarray
-    latent: np.ndarray  # unit-passage vectors in the latent space
-    owner: np.ndarray  # item of each passage
+    parts: list[Part]
     items: list[np.ndarray]
     rare: list[np.ndarray]
     ids: list
+    length: int
     min_cosine: float
     verbatim: float
     paraphrase: float
@@ -172,34 +198,40 @@ def _tfidf(f: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return u, v / max(float(np.sqrt(v @ v)), 1e-12)
 
 
-def build(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", feature_bits: int = 18, length: int = 16, step: int = 5, rank: int = 128,
-          min_cosine: float = 0.6, verbatim: float = 0.8, paraphrase: float = 0.5, answer: float = 0.75, max_items: int = 20_000) -> Index:
-    items = benchmark.select(F.col(id_col).alias("id"), "text").limit(max_items + 1).collect()
-    if len(items) > max_items:
-        raise ValueError(f"more than {max_items} benchmark items; search them in parts")
-    items.sort(key=lambda r: (r.id is None, r.id, r.text or ""))
-    df, n = document_frequencies(docs, feature_bits)
+def build(spark: SparkSession, items: list[tuple[object, str | None]], df: np.ndarray, n: int, length: int = 16, step: int = 5, rank: int = 128,
+          min_cosine: float = 0.6, verbatim: float = 0.8, paraphrase: float = 0.5, answer: float = 0.75) -> Index:
+    """Index of one block of benchmark ``items`` (id, text), by the document frequencies of ``n`` documents."""
+    bits = (len(df) - 1).bit_length()
     idf = np.log((n + 1) / (df + 1.0)) + 0.1
-    table = feature_table(feature_bits)
-    words = [features(r.text, table) for r in items]
+    table = feature_table(bits)
+    words = [features(text, table) for _, text in items]
     used = np.unique(np.concatenate([np.empty(0, np.int64), *words]))
-    column = np.full(1 << feature_bits, -1, np.int64)
+    column = np.full(1 << bits, -1, np.int64)
     column[used] = np.arange(len(used))
     cut = [(k, *_tfidf(w[s:e], idf)) for k, w in enumerate(words) for s, e in passages(len(w), length, length // 2)]
     if cut:
-        spark = docs.sparkSession
         rows = spark.createDataFrame([(column[u].tolist(), v.tolist()) for _, u, v in cut], "cols array<int>, vals array<double>")
-        axes = randomised_svd(rows.repartition(max(1, min(spark.sparkContext.defaultParallelism, len(cut) // 64))), len(used), min(rank, len(cut), len(used)))
+        tasks = max(1, min(spark.sparkContext.defaultParallelism, len(cut) // 64, SVD_TASKS))
+        axes = randomised_svd(rows.repartition(tasks), len(used), min(rank, len(cut), len(used)))
         latent = np.array([v @ axes[column[u]] for _, u, v in cut])
         latent /= np.maximum((latent * latent).sum(axis=1, keepdims=True), 1e-4)  # a passage's cosine with itself is 1 at any rank
     else:
         axes, latent = np.zeros((0, 1)), np.zeros((0, 1))
+    owner = np.array([k for k, _, _ in cut], np.int64)
+    widths = [w for w in WIDTHS if w < length] + [length]
+    place = np.searchsorted(widths[:-1], [len(w) for w in words])  # the narrowest window that holds the whole item
+    parts = []
+    for k, width in enumerate(widths):
+        mine = np.isin(owner, np.flatnonzero(place == k))
+        if mine.any():
+            held = np.zeros(len(df), bool)
+            held[np.concatenate([words[i] for i in np.unique(owner[mine])])] = True
+            parts.append(Part(width, step if width == length else max(1, width // 4), held, latent[mine].astype(np.float32), owner[mine]))
     rare = []
     for w in words:
         u = np.unique(w)
         rare.append(u[np.argsort(-idf[u], kind="stable")[:max(1, len(u) // 4)]])
-    return Index(feature_bits, length, step, idf, column, axes.astype(np.float32), latent.astype(np.float32), np.array([k for k, _, _ in cut], np.int64),
-                 words, rare, [r.id for r in items], min_cosine, verbatim, paraphrase, answer)
+    return Index(idf, column, axes.astype(np.float32), parts, words, rare, [i for i, _ in items], length, min_cosine, verbatim, paraphrase, answer)
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -218,71 +250,80 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
 
 
 class Searcher:
+    """Searches the features of many texts at once: ``f`` in a row, ``bounds`` where each text starts and the last one ends."""
+
     def __init__(self, ix: Index):
-        self.ix, self.table = ix, feature_table(ix.bits)
-        self.longest = max((len(w) for w in ix.items), default=0)
+        self.ix = ix
+        self.weight = ix.idf ** 2
+
+    def near(self, f: np.ndarray, bounds: np.ndarray, part: Part) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, start, words, norm) of the passages with enough weight on the part's features."""
+        n = np.diff(bounds)
+        count = np.where(n > 0, -(-np.maximum(n - part.width, 0) // part.step) + 1, 0)
+        doc = np.repeat(np.arange(len(n)), count)
+        k = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+        width = np.minimum(part.width, n)[doc]
+        start = bounds[doc] + np.minimum(k * part.step, n[doc] - width)  # the last one ends at the end
+        weight = self.weight[f]
+        inside = np.concatenate([[0], np.cumsum(np.where(part.held[f], weight, 0))])
+        every = np.concatenate([[0], np.cumsum(weight)])
+        norm2 = every[start + width] - every[start]
+        # no cosine can be larger than this share allows; the slack covers the rounding of long sums
+        at = np.flatnonzero(inside[start + width] - inside[start] >= self.ix.min_cosine ** 2 * norm2 * (1 - 1e-4))
+        return doc[at], start[at], width[at], np.sqrt(norm2[at]).astype(np.float32)
 
-    def candidates(self, f: np.ndarray):
-        """(item, start, end) of the passages near an item's passage."""
+    def candidates(self, f: np.ndarray, bounds: np.ndarray, part: Part):
+        """(text, item, start) of the passages near an item's passage."""
         ix = self.ix
-        n = len(f)
-        if not n or not len(ix.latent):
-            return
-        starts = np.array([s for s, _ in passages(n, ix.length, ix.step)])
-        width = min(ix.length, n)
-        weight = ix.idf[f] ** 2
-        inside = np.concatenate([[0], np.cumsum(np.where(ix.column[f] >= 0, weight, 0))])
-        every = np.concatenate([[0], np.cumsum(weight)])
-        share = inside[starts + width] - inside[starts]
-        norm2 = every[starts + width] - every[starts]
-        near = share >= ix.min_cosine ** 2 * norm2 * (1 - 1e-9)  # no cosine can be larger than this share allows
-        starts, norm = starts[near], np.sqrt(norm2[near]).astype(np.float32)
-        for block in range(0, len(starts), 1024):
-            s = starts[block:block + 1024]
-            rows = np.sort(f[s[:, None] + np.arange(width)], axis=1)
+        doc, start, width, norm = self.near(f, bounds, part)
+        span = np.arange(part.width)
+        for lo in range(0, len(start), 1024):
+            s, w = start[lo:lo + 1024], width[lo:lo + 1024]
+            rows = np.where(span < w[:, None], f[np.minimum(s[:, None] + span, len(f) - 1)], -1)  # -1: beyond a short text
+            rows.sort(axis=1)
             new = np.ones(rows.shape, bool)
             new[:, 1:] = rows[:, 1:] != rows[:, :-1]
-            of, at = np.nonzero(new)
-            tf = np.diff(np.append(of * width + at, rows.size))
-            first = rows[new]
-            known = ix.column[first] >= 0
-            v = (np.sqrt(tf) * ix.idf[first]).astype(np.float32)[known] / norm[block:block + 1024][of[known]]
+            at = np.flatnonzero(new)
+            tf = np.diff(np.append(at, rows.size))
+            first = rows.ravel()[at]
+            known = (first >= 0) & part.held[first]
+            first, of = first[known], at[known] // part.width
+            v = (np.sqrt(tf[known]) * ix.idf[first]).astype(np.float32) / norm[lo:lo + 1024][of]
             x = np.zeros((len(s), ix.axes.shape[1]), np.float32)
-            parts = v[:, None] * ix.axes[ix.column[first[known]]]
-            edge = np.flatnonzero(np.r_[True, np.diff(of[known]) > 0]) if len(v) else np.empty(0, np.int64)
-            if len(edge):
-                x[of[known][edge]] = np.add.reduceat(parts, edge, axis=0)
-            hit, passage = np.nonzero(x @ ix.latent.T >= LATENT_SLACK * ix.min_cosine)
-            yield from zip(ix.owner[passage].tolist(), s[hit].tolist(), strict=True)
-
-    def found(self, text: str | None) -> list[tuple[object, float]]:
-        """(item id, share of the item's words in order) of every item that the text contains."""
-        ix, f = self.ix, features(text, self.table)
-        by: dict[int, list[int]] = {}
-        for item, s in self.candidates(f):
-            by.setdefault(item, []).append(s)
-        out = []
-        for item, at in sorted(by.items()):
-            w = ix.items[item]
-            margin = len(w) + ix.length
-            best, end = 0.0, -1
-            at = sorted(set(at))
-            k = 0
-            while k < len(at):  # regions of candidate passages that the item's length holds together
-                lo = max(0, at[k] - margin)
-                while k + 1 < len(at) and at[k + 1] - lo <= 4 * margin:
-                    k += 1
-                end = min(len(f), at[k] + ix.length + margin)
-                k += 1
-                region = f[lo:end]
-                share = common_subsequence(w, region) / len(w)
-                tight = share >= ix.paraphrase and self._tight(w, region)
-                if tight and (share >= ix.verbatim or np.isin(ix.rare[item], region).mean() >= ix.answer):
-                    best = max(best, share)
-            if best:
-                out.append((ix.ids[item], best))
+            if len(v):
+                edge = np.flatnonzero(np.r_[True, np.diff(of) > 0])
+                x[of[edge]] = np.add.reduceat(v[:, None] * ix.axes[ix.column[first]], edge, axis=0)
+            hit, passage = np.nonzero(x @ part.latent.T >= LATENT_SLACK * ix.min_cosine)
+            yield from zip(doc[lo:lo + 1024][hit].tolist(), part.owner[passage].tolist(), s[hit].tolist(), strict=True)
+
+    def found(self, f: np.ndarray, bounds: np.ndarray) -> list[tuple[int, object, float]]:
+        """(text, item id, share of the item's words in order) of every item that a text contains."""
+        ix, out = self.ix, []
+        for part in ix.parts:
+            by: dict[tuple[int, int], set[int]] = {}
+            for doc, item, s in self.candidates(f, bounds, part):
+                by.setdefault((doc, item), set()).add(s - int(bounds[doc]))
+            judge = self._short_share if part.width <= SHORT else self._share
+            for (doc, item), at in by.items():
+                w, text = ix.items[item], f[bounds[doc]:bounds[doc + 1]]
+                best = max(judge(w, text[lo:hi], ix.rare[item]) for lo, hi in _regions(sorted(at), len(w) + part.width, part.width, len(text)))
+                if best:
+                    out.append((doc, ix.ids[item], best))
         return out
 
+    def _share(self, w: np.ndarray, region: np.ndarray, rare: np.ndarray) -> float:
+        """The item's share in the region, 0 if it is not contained."""
+        ix = self.ix
+        share = common_subsequence(w, region) / len(w)
+        tight = share >= ix.paraphrase and self._tight(w, region)
+        return share if tight and (share >= ix.verbatim or np.isin(rare, region).mean() >= ix.answer) else 0.0
+
+    def _short_share(self, w: np.ndarray, region: np.ndarray, rare: np.ndarray) -> float:
+        """The same for an item shorter than a passage: word for word, in a stretch of its own length and a quarter."""
+        size = min(len(region), len(w) + len(w) // 4)
+        best = max(common_subsequence(w, region[s:s + size]) for s in range(len(region) - size + 1)) / len(w)
+        return best if best >= self.ix.verbatim else 0.0
+
     def _tight(self, w: np.ndarray, region: np.ndarray) -> bool:
         """Whether a stretch of at most twice the item's length holds the subsequence; else words are strewn by chance."""
         size = 2 * len(w)
@@ -295,13 +336,59 @@ def passages_at(n: int, length: int, step: int) -> list[int]:
     return [s for s, _ in passages(n, length, step)]
 
 
-def contained(docs: DataFrame, index: Index) -> DataFrame:
-    """``docs(doc_id, text)`` -> (doc_id, item_id, share), a row for every item that a document contains."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+def _regions(at: list[int], margin: int, width: int, n: int):
+    """Stretches of a text of n words that hold the candidate passages ``at`` and the item's length around them."""
+    k = 0
+    while k < len(at):
+        lo = max(0, at[k] - margin)
+        while k + 1 < len(at) and at[k + 1] - lo <= 4 * margin:
+            k += 1
+        yield lo, min(n, at[k] + width + margin)
+        k += 1
+
+
+def contained(rows: DataFrame, index: Index) -> DataFrame:
+    """``feature_rows`` -> (doc_id, item_id, share), a row for every item of the index that a document contains."""
+    shared = rows.sparkSession.sparkContext.broadcast(index)
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64())])
 
+    def groups(batches):
+        ids, texts, held = [], [], 0
+        for d, f in rows_of(batches, "doc_id", "f"):
+            ids.append(d)
+            texts.append(np.frombuffer(f, "<i4"))
+            held += len(texts[-1])
+            if held >= GROUP_WORDS:
+                yield ids, texts
+                ids, texts, held = [], [], 0
+        if ids:
+            yield ids, texts
+
     def run(batches):
         search = Searcher(shared.value)
-        yield from emit(((d, i, s) for d, t in rows_of(batches, "doc_id", "text") for i, s in search.found(t)), schema)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, item_id bigint, share double")
+        def found():
+            for ids, texts in groups(batches):
+                bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+                for doc, item, share in search.found(np.concatenate(texts), bounds):
+                    yield ids[doc], item, share
+
+        yield from emit(found(), schema)
+
+    return rows.mapInArrow(run, "doc_id bigint, item_id bigint, share double")
+
+
+def search(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", block_items: int = 20_000, **settings) -> DataFrame:
+    """``docs(doc_id, text)`` against ``benchmark(id_col, text)`` -> (doc_id, item_id, share).
+
+    The benchmark passes through the driver in blocks of ``block_items``; ``settings`` are those of ``build``."""
+    spark = docs.sparkSession
+    rows = feature_rows(docs)
+    df, n = document_frequencies(rows)
+    items = ((r.id, r.text) for r in benchmark.select(F.col(id_col).cast("bigint").alias("id"), "text").orderBy("id", "text").toLocalIterator())
+    block = list(islice(items, block_items))
+    out = contained(rows, build(spark, block, df, n, **settings))
+    while block := list(islice(items, block_items)) if len(block) == block_items else []:
+        # each block's rows are written before the next block's index is made
+        out = written(out, "items_found").unionAll(written(contained(rows, build(spark, block, df, n, **settings)), "items_found"))
+    return out

@@ -39,8 +39,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, item_id, share) for every benchmark item that a document contains; clean documents have no row."""
-    docs = _docs(spark, sf_dir)
-    return decontam.contained(docs, decontam.build(docs, read(spark, sf_dir, "benchmark")))
+    return decontam.search(_docs(spark, sf_dir), read(spark, sf_dir, "benchmark"))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import random
 
 import numpy as np
-import pytest
 
 from termlens.llm import decontam as D
 
@@ -60,13 +59,39 @@ def test_planted_leaks(spark):
              (904, "the " * 20000 + items[5][1] + " a" * 9000)]
     df = spark.createDataFrame([(*x, 1) for x in docs + extra], "doc_id long, text string, item_id int")
     bench = spark.createDataFrame([(*x, "q") for x in items] + [(77, None, "q"), (78, " . ", "q")], "item_id long, text string, doc_id string")
-    got = [(r.doc_id, r.item_id) for r in D.contained(df, D.build(df, bench)).collect()]
+    got = [(r.doc_id, r.item_id) for r in D.search(df, bench).collect()]
     exact = {(d, k) for d, k, reworded in want if not reworded}
     loose = {(d, k) for d, k, reworded in want if reworded}
     assert exact <= set(got) and len(loose & set(got)) >= 0.8 * len(loose)
     assert got.count((902, 4)) == 2 and {(None, 3), (903, 0), (903, 1), (904, 5)} <= set(got)
     assert not [x for x in got if x[0] is not None and x[0] < 200 and x not in exact | loose]
     empty = df.limit(0)
-    assert D.contained(empty, D.build(empty, bench)).count() == 0 and D.contained(df, D.build(df, bench.limit(0))).count() == 0
-    with pytest.raises(ValueError):
-        D.build(df, bench, max_items=3)
+    assert D.search(empty, bench).count() == 0 and D.search(df, bench.limit(0)).count() == 0
+    blocks = [(r.doc_id, r.item_id) for r in D.search(df, bench, block_items=12).collect()]
+    assert exact <= set(blocks) and blocks.count((902, 4)) == 2 and not set(blocks) - set(got) - loose
+
+
+def test_short_items(spark):
+    """Items of every length below a passage's, word for word inside longer texts."""
+    r = random.Random(5)
+    vocab = [f"{r.choice('bcdfgklmnprst')}{r.choice('aeiou')}{k}" for k in range(1500)]
+    sent = lambda n: [vocab[min(1499, int(r.expovariate(0.004)))] for _ in range(n)]
+    items, docs, want = [], [], set()
+    for n in range(1, 17):
+        for _ in range(12):
+            k = len(items)
+            words = sent(n)
+            items.append((k, " ".join(words)))
+            text = sent(200)
+            at = r.randrange(201)
+            docs.append((k, " ".join(text[:at] + words + text[at:])))
+            want.add((k, k))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in D.search(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert want <= got
+    for d, k in got - want:  # the rest are there in full, up to a fifth of the words, close together
+        w, text = items[k][1].split(), docs[d][1].split()
+        size = len(w) + len(w) // 4
+        ids = {x: i for i, x in enumerate(dict.fromkeys(w + text))}
+        a, b = (np.array([ids[x] for x in ws]) for ws in (w, text))
+        assert len(w) <= D.SHORT and any(D.common_subsequence(a, b[s:s + size]) >= 0.8 * len(w) for s in range(len(b) - size + 1))
