@@ -46,8 +46,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    index = decontam.build(docs.select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
-    return _without(docs, decontam.contained(docs, index).select("doc_id"))
+    return _without(docs, decontam.search(docs.select("doc_id", "text"), read(spark, sf_dir, "benchmark")).select("doc_id"))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
