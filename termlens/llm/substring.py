@@ -8,15 +8,17 @@ whose remainder modulo ``period`` is in a difference cover.  For any two
 starts i and j there is a k < period for which i + k and j + k are both cover
 positions, so every window that two documents share holds an anchor of
 ``window - period + 1`` words at the same place in both.  Steps, each over
-blocks of documents (a hash of doc_id):
+blocks of documents (a hash of doc_id and text):
 
 1. each block sends its distinct anchor hashes to hash buckets;
 2. a bucket returns to each block those that another document has too;
 3. windows over such anchors are extended to the full length, hashed (96
    bits) and sent to buckets with the smallest id that holds them;
-4. a bucket returns to each block the windows that another block's smaller id
-   owns; the block removes those, and those that one of its own documents
-   with a smaller id holds.
+4. a bucket returns to each block the windows (all 96 bits) that another
+   block's smaller id owns; the block removes those, and those that one of its
+   own documents with a smaller id holds.
+
+Windows are compared by 96 bits made from 64-bit word hashes, not by their words.
 
 Blocks and buckets grow in number with the corpus, not in size.  A window that
 a third of all documents hold is one entry per block in its bucket.  The text
@@ -24,8 +26,8 @@ is shuffled once (the exchange is shared by steps 1, 3 and 4).
 
 Defined results: a null text has no words; a text shorter than a window keeps
 all its words; words are kept unchanged; repeated rows of one id do not remove
-each other's words; a row with a null id keeps all its words and removes
-nobody's; an empty table gives an empty table; other columns are not read.
+each other's words (only rows of equal id and text share a block for sure); a row
+with a null id keeps all its words, removes nobody's and joins no block; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,19 +38,41 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-U64 = np.uint64
-_KNOWN = 400_000  # word hashes kept per Python worker
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _KNOWN:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+from .common import emit, rows_of
 
-
-_words = _WordHashes()
+U64 = np.uint64
+_DEEP = 64  # longer words (in bytes) are hashed one by one
+_PLACES = np.random.default_rng(11).integers(0, 1 << 64, _DEEP * 256, dtype=U64)  # a number for each byte at each place of a word
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_PART = 1 << 20
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text: the sum of its bytes' numbers by their place in the word."""
+    out, at = [], 0
+    while at < len(text):
+        end = min(len(text), at + _PART)
+        while end < len(text) and not _SPACE[text[end]]:  # a part ends between words
+            end += 1
+        out.append(_part_hashes(text[at:end]))
+        at = end
+    return np.concatenate([np.empty(0, U64), *out])
+
+
+def _part_hashes(text: bytes) -> np.ndarray:
+    b = np.frombuffer(text, np.uint8)
+    at = np.flatnonzero(~_SPACE[b])
+    if not len(at):
+        return np.empty(0, U64)
+    first = np.flatnonzero(np.r_[True, np.diff(at) > 1])
+    size = np.diff(np.r_[first, len(at)])
+    place = np.arange(len(at)) - np.repeat(first, size)
+    h = np.add.reduceat(_PLACES[(np.minimum(place, _DEEP - 1) << 8) | b[at]], first)
+    for k in np.flatnonzero(size > _DEEP).tolist():
+        s = int(at[first[k]])
+        h[k] = xxhash.xxh3_64_intdigest(text[s:s + int(size[k])])
+    return h
 
 
 def difference_cover(period: int) -> list[int]:
@@ -93,10 +117,6 @@ class Windows:
         self.cover = np.zeros(period, bool)
         self.cover[difference_cover(period)] = True
 
-    @staticmethod
-    def hashes(words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(_words.__getitem__, words), U64, len(words))
-
     def anchors(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(starts, hashes with the lowest bit cleared) of a document's anchors."""
         at = np.arange(max(0, len(w) - self.anchor + 1))
@@ -123,7 +143,7 @@ class Windows:
 def _docs(table: pa.Table):
     ids, text = table.column("doc_id"), table.column("text")
     for k in range(table.num_rows):
-        yield ids[k].as_py(), (text[k].as_py() or "").encode().split()
+        yield ids[k].as_py(), (text[k].as_py() or "").encode()
 
 
 def _found(x: np.ndarray, among: np.ndarray) -> np.ndarray:
@@ -134,6 +154,23 @@ def _found(x: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[np.minimum(k, len(among) - 1)] == x
 
 
+def _pairs_found(x: np.ndarray, second, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs (x, second) are among the pairs (a, b); ``second(positions)`` gives the second half where the first is found."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    out = _found(x, a)
+    at = np.flatnonzero(out)
+    y, k = second(at), np.searchsorted(a, x[at])
+    out[at] = False
+    while len(at):
+        hit = b[k] == y
+        out[at[hit]] = True
+        more = ~hit & (k + 1 < len(a))
+        more[more] = a[k[more] + 1] == x[at[more]]
+        at, y, k = at[more], y[more], k[more] + 1
+    return out
+
+
 def _least(keys: tuple[np.ndarray, ...], ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Distinct keys (sorted by the first), and the smallest and largest id of each."""
     order = np.lexsort((ids, *keys[::-1]))
@@ -163,9 +200,12 @@ def _pieces(block: int, hashes: np.ndarray, n_buckets: int, columns: list[np.nda
     return pa.table(data)
 
 
-def _back(rows: list[tuple[int, np.ndarray]]) -> pa.Table:
-    rows = [(b, x.tobytes()) for b, x in rows if len(x)]
-    return pa.table({"block": pa.array([b for b, _ in rows], pa.int64()), "h": pa.array([x for _, x in rows], pa.binary())})
+def _back(rows: list[tuple]) -> pa.Table:
+    """(block, arrays...) -> a row for each block that has entries."""
+    n = len(rows[0]) if rows else 2
+    rows = [(b, *(x.tobytes() for x in xs)) for b, *xs in rows if len(xs[0])]
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * n
+    return pa.table({"block": pa.array(cols[0], pa.int64()), **{f"h{k}": pa.array(x, pa.binary()) for k, x in enumerate(cols[1:])}})
 
 
 def dedup(docs: DataFrame, window: int = 13, period: int = 7, block_bytes: int = 6 << 20, bucket_anchors: int = 1 << 20) -> DataFrame:
@@ -177,15 +217,16 @@ def dedup(docs: DataFrame, window: int = 13, period: int = 7, block_bytes: int =
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_blocks = max(64, -(-total // block_bytes))
     n_buckets = max(64, int(total / 6 * geo.cover.mean() / bucket_anchors) + 1)
-    blocks = docs.select(F.col("doc_id").cast("bigint"), "text").withColumn(
-        "block", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(n_blocks)).cast("bigint"))
+    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
+    blocks = docs.where("doc_id is not null").withColumn(
+        "block", F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(n_blocks)).cast("bigint"))
+    result = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
     def anchors(table: pa.Table) -> pa.Table:
         block, hs, ids = table.column("block")[0].as_py(), [], []
-        for d, words in _docs(table):
-            if d is not None:
-                hs.append(geo.anchors(geo.hashes(words))[1])
-                ids.append(np.full(len(hs[-1]), d, np.int64))
+        for d, text in _docs(table):
+            hs.append(geo.anchors(word_hashes(text))[1])
+            ids.append(np.full(len(hs[-1]), d, np.int64))
         (h,), lo, hi = _least((_bytes(hs, U64),), _bytes(ids, np.int64))
         return _pieces(block, h, n_buckets, [h | (lo < hi).astype(U64)])
 
@@ -204,11 +245,9 @@ def dedup(docs: DataFrame, window: int = 13, period: int = 7, block_bytes: int =
 
     def extended(_, left: pa.Table, right: pa.Table) -> pa.Table:
         k1, k2, ids, block = [], [], [], left.column("block")[0].as_py() if left.num_rows else 0
-        among = np.sort(_bytes([np.frombuffer(x.as_py(), U64) for x in right.column("h")], U64))
-        for d, words in _docs(left) if len(among) else ():
-            if d is None:
-                continue
-            w = geo.hashes(words)
+        among = np.sort(_bytes([np.frombuffer(x.as_py(), U64) for x in right.column("h0")], U64))
+        for d, text in _docs(left) if len(among) else ():
+            w = word_hashes(text)
             at, h = geo.anchors(w)
             starts = geo.over(len(w), at[_found(h, among)])
             k1.append(_window_hashes(w, starts, window, 2) if len(starts) else np.empty(0, U64))
@@ -227,41 +266,59 @@ def dedup(docs: DataFrame, window: int = 13, period: int = 7, block_bytes: int =
         least = np.empty(len(order), np.int64)
         least[order] = ids[order][np.flatnonzero(new)][np.cumsum(new) - 1] if len(order) else ids
         gone, at, out = least < ids, 0, []
-        for blk, p in zip(of, a, strict=True):
-            out.append((blk, p[gone[at:at + len(p)]]))
+        for blk, p, q in zip(of, a, b, strict=True):
+            here = gone[at:at + len(p)]
+            out.append((blk, p[here], q[here]))
             at += len(p)
         return _back(out)
 
     def removed(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        gone = np.sort(_bytes([np.frombuffer(x.as_py(), U64) for x in right.column("h")], U64))
-        every, ids = [], []
-        for d, words in _docs(left):  # windows that several of the block's documents hold
-            every.append(_window_hashes(geo.hashes(words), None, window, 2) if d is not None else np.empty(0, U64))
-            ids.append(np.full(len(every[-1]), d or 0, np.int64))
-        sizes = [len(x) for x in every]
-        k, ids = _bytes(every, U64), _bytes(ids, np.int64)
-        order = np.argsort(k, kind="stable")
-        new = np.ones(len(k), bool)
-        new[1:] = k[order][1:] != k[order][:-1]
-        at = np.flatnonzero(new)
-        least = np.empty(len(k), np.int64)
-        if len(k):
-            least[order] = np.minimum.reduceat(ids[order], at)[np.cumsum(new) - 1]
-        drop = _found(k, gone) | (least < ids)
-        rows, at = [], 0
-        for (d, words), n in zip(_docs(left), sizes, strict=True):
-            out = geo.covered(len(words), np.flatnonzero(drop[at:at + n]))
-            at += n
-            kept = b" ".join([x for x, o in zip(words, out.tolist(), strict=True) if not o]) if out.any() else b" ".join(words)
-            rows.append((d, len(words), int(out.sum()), kept.decode()))
+        words = [word_hashes(text) for _, text in _docs(left)]
+        every = [_window_hashes(w, None, window, 2) for w in words]
+        starts = np.cumsum([0] + [len(x) for x in every])
+        k = _bytes(every, U64)
+
+        def document(at):
+            return np.searchsorted(starts, at, side="right") - 1
+
+        def second(at):  # the other hash word of the windows at these (ascending) positions
+            cuts = np.searchsorted(at, starts)
+            return _bytes([_window_hashes(w, at[lo:hi] - s, window, 3).astype(np.uint32)
+                           for w, s, lo, hi in zip(words, starts[:-1], cuts[:-1], cuts[1:], strict=True) if hi > lo], np.uint32)
+
+        drop = _pairs_found(k, second, _bytes([np.frombuffer(x.as_py(), U64) for x in right.column("h0")], U64),
+                            _bytes([np.frombuffer(x.as_py(), np.uint32) for x in right.column("h1")], np.uint32))
+        order = np.argsort(k)  # windows that occur several times in the block: its smallest id keeps them
+        same = k[order][1:] == k[order][:-1]
+        at = np.sort(order[np.r_[False, same] | np.r_[same, False]]) if len(k) else order
+        k1, k2, ids = k[at], second(at), left.column("doc_id").to_numpy()[document(at)] if len(at) else at
+        (_, _), lo, _hi = _least((k1, k2), ids)
+        order = np.lexsort((k2, k1))
+        new = np.ones(len(at), bool)
+        new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
+        drop[at[order]] |= lo[np.cumsum(new) - 1] < ids[order]
+
+        rows = []
+        for (d, text), w, s, e in zip(_docs(left), words, starts[:-1], starts[1:], strict=True):
+            gone = geo.covered(len(w), np.flatnonzero(drop[s:e]))
+            kept = [x for x, o in zip(text.split(), gone.tolist(), strict=True) if not o] if gone.any() else text.split()
+            rows.append((d, len(w), int(gone.sum()), b" ".join(kept).decode()))
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-        return pa.table({"doc_id": pa.array(cols[0], pa.int64()), "n_words": pa.array(cols[1], pa.int64()),
-                         "n_removed": pa.array(cols[2], pa.int64()), "kept": pa.array(cols[3], pa.string())})
+        return pa.table([pa.array(c, f.type) for c, f in zip(cols, result, strict=True)], schema=result)
+
+    def untouched(batches):
+        def rows():
+            for (text,) in rows_of(batches, "text"):
+                words = (text or "").encode().split()
+                yield None, len(words), 0, b" ".join(words).decode()
+
+        yield from emit(rows(), result, 256, size=lambda r: len(r[3]))
 
     by_block = blocks.groupBy("block")
     sent = by_block.applyInArrow(anchors, "bucket bigint, block bigint, c0 binary")
-    back = sent.groupBy("bucket").applyInArrow(shared, "block bigint, h binary")
+    back = sent.groupBy("bucket").applyInArrow(shared, "block bigint, h0 binary")
     wide = by_block.cogroup(back.groupBy("block")).applyInArrow(extended, "bucket bigint, block bigint, c0 binary, c1 binary, c2 binary")
-    gone = wide.groupBy("bucket").applyInArrow(owned_elsewhere, "block bigint, h binary")
-    return by_block.cogroup(gone.groupBy("block")).applyInArrow(
-        removed, "doc_id bigint, n_words bigint, n_removed bigint, kept string")
+    gone = wide.groupBy("bucket").applyInArrow(owned_elsewhere, "block bigint, h0 binary, h1 binary")
+    columns = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
+    return by_block.cogroup(gone.groupBy("block")).applyInArrow(removed, columns).unionAll(
+        docs.where("doc_id is null").mapInArrow(untouched, columns))

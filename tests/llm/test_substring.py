@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
+
 from termlens.llm import substring
 
 
@@ -58,6 +60,37 @@ def test_against_brute_force(spark):
     assert substring.dedup(df.limit(0)).count() == 0
 
 
+def test_word_hashes(monkeypatch):
+    rng = random.Random(9)
+    monkeypatch.setattr(substring, "_PART", 50)
+    by_hash = {}
+    for _ in range(300):
+        words = ["".join(rng.choice("abé\u3000") for _ in range(rng.choice([1, 2, 3, 70, 130]))).encode() for _ in range(rng.randrange(0, 12))]
+        text = rng.choice([b"", b"\n "]) + rng.choice([b" ", b"\t\r", b"\x0b"]).join(words) + rng.choice([b"", b"  "])
+        h = substring.word_hashes(text).tolist()
+        assert len(h) == len(words)
+        for w, x in zip(words, h, strict=True):
+            assert by_hash.setdefault(x, w) == w
+    assert len(set(by_hash.values())) == len(by_hash)
+
+
+def test_pairs_found_with_equal_first_halves():
+    rng = random.Random(10)
+    draw = lambda n, t: np.array([rng.randrange(5) for _ in range(n)], t)
+    for n, m in ((0, 5), (5, 0), (40, 12), (200, 9)):
+        x, y, a, b = draw(n, np.uint64), draw(n, np.uint32), draw(m, np.uint64), draw(m, np.uint32)
+        got = substring._pairs_found(x, lambda at, y=y: y[at], a, b)
+        assert got.tolist() == [p in set(zip(a.tolist(), b.tolist(), strict=True)) for p in zip(x.tolist(), y.tolist(), strict=True)]
+
+
+def test_null_ids_and_repeated_rows(spark):
+    rows = corpus(6, 15)
+    rows += [(None, rows[0][1])] * 40 + [(rows[1][0], rows[2][1])] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in substring.dedup(df, block_bytes=400).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, brute(rows)))
+
+
 def test_digests(spark, tmp_path):
     from termlens.llm.queries import op1_substring
 
