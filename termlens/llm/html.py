@@ -194,6 +194,9 @@ def _host():
     return F.lower(F.regexp_extract(F.col("url"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
+WORD_SHIFT = 16  # the tree tells words apart by 48 bits of their hashes: they go into mean entropies only
+
+
 def _leaf(path: int, text: str) -> int:
     """The leaf of a marked block: its path and its text."""
     return xxhash.xxh3_64_intdigest(f"{path}>{text}") >> 1
@@ -218,7 +221,7 @@ def style_tree(pages: DataFrame, g: float = 0.9, prior: float = 2.0) -> DataFram
                         marked.setdefault(path, set()).update([_leaf(path, text)] if text.count(" ") > 1 else [])
                 for path, words in by.items():
                     for w, n in words.items():
-                        yield site, path, 0, xxhash.xxh3_64_intdigest(w) >> 1, float(n), n * math.log(n), 0, 0
+                        yield site, path, 0, xxhash.xxh3_64_intdigest(w) >> WORD_SHIFT, float(n), n * math.log(n), 0, 0
                     yield site, path, 1, xxhash.xxh3_64_intdigest(style[path]) >> 1, 1.0, 0.0, 1 + style[path].count(" "), int(path in marked)
                     for leaf in marked.get(path, ()):
                         yield site, path, 2, leaf, 1.0, 0.0, 0, 1
@@ -229,19 +232,21 @@ def style_tree(pages: DataFrame, g: float = 0.9, prior: float = 2.0) -> DataFram
         run, "site bigint, path bigint, kind int, item bigint, n double, nlogn double, l bigint, keep int")
     sums = items.groupBy("site", "path", "kind", "item").agg(F.sum("n").alias("n"), F.sum("nlogn").alias("nlogn"), F.max("l").alias("l"), F.max("keep").alias("keep"))
     # of a word: entropy over pages; of a style: its part of the entropy over styles; a leaf's sum is its number of pages
-    sums = written(sums.where("kind < 2 or n > 1"), "style_sums")
-    paths = sums.groupBy("site", "path").agg(
-        F.avg(F.when(F.col("kind") == 0, F.log("n") - F.col("nlogn") / F.col("n"))).alias("words"),
-        F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("n_pages"),
-        F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("styles"),
-        F.max(F.when(F.col("kind") == 1, F.col("l"))).alias("l"),
-        F.max("keep").alias("keep")).where("n_pages > 1")
+    kind = [F.col("kind") == k for k in range(3)]
+    second = sums.where("kind < 2 or n > 1").groupBy("site", "path", F.when(kind[2], F.col("item")).alias("leaf")).agg(
+        F.avg(F.when(kind[0], F.log("n") - F.col("nlogn") / F.col("n"))).alias("words"),
+        F.sum(F.when(kind[1], F.col("n"))).alias("n_pages"),
+        F.sum(F.when(kind[1], F.col("n") * F.log("n"))).alias("styles"),
+        F.max(F.when(kind[1], F.col("l"))).alias("l"),
+        F.max("keep").alias("keep"), F.sum(F.when(kind[2], F.col("n"))).alias("seen"))
+    second = written(second, "style_sums")  # a row for each path and each repeated leaf
+    paths = second.where("leaf is null and n_pages > 1").drop("leaf", "seen")
     base = F.log("n_pages")
     content = 1 - F.coalesce(F.col("words"), F.lit(0.0)) / base
     shown = (base - F.col("styles") / F.col("n_pages")) / base
     weight = F.pow(F.lit(g), F.col("l"))
     both = (1 - weight) * content + weight * F.greatest(shown, content)
-    leaves = sums.where("kind = 2").select("site", "path", F.col("item").alias("leaf"), F.col("n").alias("seen"))
+    leaves = second.where("leaf is not null").select("site", "path", "leaf", "seen")
     leaves = leaves.join(paths.select("site", "path", "n_pages"), ["site", "path"]).where("2 * seen > n_pages")
 
     def with_mark(importance):
