@@ -11,10 +11,9 @@ trigram model times the channel.  A token without such signs has one path only
 and stays as it is.
 
 Score.  The restored text's words, and their first four to six letters, are
-presence features.  The most telling ones of a labelled sample (by chi-square)
-get weights by L2-regularised logistic regression.  The character model is
-counted on the words of the same sample.  ``sample_rows`` bounds the sample:
-the labelled rows with the smallest hash of their id.
+presence features.  The most telling ones (by chi-square over all labelled
+rows) get weights by L2-regularised logistic regression over all labelled
+rows.  The character model is counted on the words of the same rows.
 
 Only the text enters a score.  Defined results: null and empty texts get the
 score of no feature; repeated rows the same score; without labelled rows of
@@ -32,9 +31,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termlens.operators.joins import small_side
+
 from .common import emit, rows_of, written
 
 # What a sign or digit may stand for besides itself (fixed values).
@@ -171,55 +175,25 @@ class Model:
         return score
 
 
-def _logistic(rows: list[np.ndarray], y: np.ndarray, n: int, l2: float = 0.3, steps: int = 600) -> tuple[np.ndarray, float]:
-    """Weights of presence features by full-batch gradient steps (Nesterov, diagonal scaling)."""
-    size = np.array([len(r) for r in rows])
-    col = np.concatenate([np.empty(0, np.int64), *rows]).astype(np.int64)
-    row = np.repeat(np.arange(len(rows)), size)
-    scale = 0.25 * np.bincount(col, minlength=n) * max(1.0, float(size.mean())) + l2
-    w, v, b, vb = np.zeros(n), np.zeros(n), 0.0, 0.0
-    for _ in range(steps):
-        lw, lb = w + 0.9 * v, b + 0.9 * vb
-        z = lb + np.bincount(row, weights=lw[col], minlength=len(rows))
-        e = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
-        v = 0.9 * v - (np.bincount(col, weights=e[row], minlength=n) + l2 * lw) / scale
-        vb = 0.9 * vb - e.sum() / (0.25 * len(rows) * max(1.0, float(size.mean())))
-        w, b = w + v, b + vb
-    z = b + np.bincount(row, weights=w[col], minlength=len(rows))
-    return w, float(b) - _cut(z, y)
-
-
-def _cut(z: np.ndarray, y: np.ndarray) -> float:
-    """The cut between the two classes with the fewest errors: the middle of the widest gap that has so few."""
-    order = np.argsort(z, kind="stable")
-    z, y = z[order], y[order]
-    wrong = np.concatenate([[0], np.cumsum(y)]) + (len(y) - y.sum()) - np.concatenate([[0], np.cumsum(1 - y)])
-    inner = np.arange(1, len(z))  # cuts between z[k - 1] and z[k]
-    if not len(inner):
-        return 0.0
-    best = inner[wrong[inner] == wrong[inner].min()]
-    k = best[np.argmax(z[best] - z[best - 1])]
-    return float(z[k - 1] + z[k]) / 2
-
+def fit(docs: DataFrame, labels: DataFrame, n_features: int = 3_000, min_docs: int = 3, l2: float = 0.3) -> Model:
+    """Learn from ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``: every labelled row of a text.
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, n_features: int = 3_000, min_docs: int = 3) -> Model:
-    """Learn from ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``: the ``sample_rows`` labels with the smallest id hash.
-
-    Only the sampled ids and labels (a bounded number) are sent to the scan of the texts; the sampled texts are written once."""
+    The labelled texts are written once, then their restored words; counts are added up per task and summed by Spark."""
     spark = docs.sparkSession
-    ids = (labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
-           .withColumn("h", F.xxhash64("doc_id", F.lit(11))).orderBy("h", "doc_id", "toxic").limit(sample_rows))
-    sample = written(docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id", "toxic")), "doc_id"), "toxicity_sample")
+    ids = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("y")).distinct()
+    texts = written(docs.select("doc_id", "text").join(small_side(ids, 1_000_000), "doc_id").select("text", "y"), "toxicity_texts")
 
     def counted(batches):
         """Plain words and their number, for the character model."""
         n = Counter()
         for (text,) in rows_of(batches, "text"):
             n.update(t for raw in (text or "").lower().split() if (t := raw.strip(_EDGE)).isalpha() and not _SIGNS.search(raw))
-        # every word, once per task
+            if len(n) >= _KEPT:
+                yield from emit(n.items(), pa.schema([("word", pa.string()), ("n", pa.int64())]), 8192)
+                n.clear()
         yield from emit(n.items(), pa.schema([("word", pa.string()), ("n", pa.int64())]), 8192)
 
-    words = sample.select("text").mapInArrow(counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    words = texts.select("text").mapInArrow(counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
     def trigrams(batches):
         n = Counter()
@@ -235,35 +209,86 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, n_feature
     chars = _from_trigrams({r.gram: r.n for r in table})
     shared = spark.sparkContext.broadcast(chars)
 
-    def features(batches):
+    def restored(batches):
         restore = Restorer(shared.value)
-        rows = ((d, int(y), sorted({g for w in restore.words(t) for g in grams(w)})) for d, t, y in rows_of(batches, "doc_id", "text", "toxic"))
-        yield from emit(rows, pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("f", pa.list_(pa.string()))]), 256)
+        rows = ((y, " ".join(sorted(restore.words(t)))) for t, y in rows_of(batches, "text", "y"))
+        yield from emit(rows, pa.schema([("y", pa.int32()), ("words", pa.string())]), 256)
 
-    found = sample.select(F.col("doc_id").cast("bigint"), "text", F.col("toxic").cast("int")).mapInArrow(
-        features, "doc_id bigint, y int, f array<string>").persist()
+    found = written(texts.mapInArrow(restored, "y int, words string"), "toxicity_words")
     sums = found.agg(F.count("*"), F.sum("y")).first()
     n, pos = sums[0], sums[1] or 0
-    if not n or pos in (0, n):
-        found.unpersist()
-        return Model(chars, {}, math.log((pos + 0.5) / (n - pos + 0.5)))
-    df = found.select("y", F.explode("f").alias("g")).groupBy("g").agg(F.sum("y").alias("a"), F.count("*").alias("d")).where(F.col("d") >= min_docs)
+    odds = math.log((pos + 0.5) / (n - pos + 0.5))
+    if pos in (0, n):
+        return Model(chars, {}, odds)
+
+    def presence(batches):
+        """Rows and toxic rows that hold a feature."""
+        have, bad, known = Counter(), Counter(), {}
+
+        def added():
+            yield from emit(((g, bad[g], d) for g, d in have.items()), pa.schema([("g", pa.string()), ("a", pa.int64()), ("d", pa.int64())]), 8192)
+
+        for y, some in rows_of(batches, "y", "words"):
+            some = some.split()
+            for w in some:
+                if w not in known:
+                    known[w] = grams(w)
+            hit = {g for w in some for g in known[w]}
+            have.update(hit)
+            if y:
+                bad.update(hit)
+            if len(have) >= _KEPT:
+                yield from added()
+                have.clear()
+                bad.clear()
+                known.clear()
+        yield from added()
+
+    df = (found.mapInArrow(presence, "g string, a bigint, d bigint").groupBy("g").agg(F.sum("a").alias("a"), F.sum("d").alias("d"))
+          .where(F.col("d") >= min_docs))
     lift = F.col("a") - F.col("d") * F.lit(pos / n)
     chi = lift * lift / (F.col("d") * F.lit(pos / n * (1 - pos / n)) * (1 - F.col("d") / F.lit(n + 1)))
     top = [r.g for r in df.withColumn("chi", chi).where("chi > 6").orderBy(F.desc("chi"), "g").limit(n_features).collect()]
-    index = {g: k for k, g in enumerate(top)}
-    mine = spark.sparkContext.broadcast(index)
+    if not top:
+        return Model(chars, {}, odds)
+    mine = spark.sparkContext.broadcast(frozenset(top))
 
     def chosen(batches):
-        ix = mine.value
-        rows = ((y, [ix[g] for g in f if g in ix]) for y, f in rows_of(batches, "y", "f"))
-        yield from emit(rows, pa.schema([("y", pa.int32()), ("k", pa.list_(pa.int32()))]), 1024)
-
-    data = found.select("doc_id", "y", "f").mapInArrow(chosen, "y int, k array<int>").collect()
-    found.unpersist()
-    data.sort(key=lambda r: (r.y, r.k))  # sums do not depend on the order of tasks
-    w, b = _logistic([np.array(r.k, np.int64) for r in data], np.array([r.y for r in data], float), len(top))
-    return Model(chars, {g: float(x) for g, x in zip(top, w, strict=True)}, b)
+        keep, known = mine.value, {}
+
+        def of(word):
+            f = known.get(word)
+            if f is None:
+                if len(known) >= _KEPT:
+                    known.clear()
+                f = known[word] = tuple(g for g in grams(word) if g in keep)
+            return f
+
+        rows = ((float(y), sorted({g for w in t.split() for g in of(w)})) for y, t in rows_of(batches, "y", "words"))
+        yield from emit(rows, pa.schema([("y", pa.float64()), ("g", pa.list_(pa.string()))]), 1024)
+
+    vectors = CountVectorizerModel.from_vocabulary(top, inputCol="g", outputCol="features").setBinary(True).setMinTF(0)
+    data = vectors.transform(found.mapInArrow(chosen, "y double, g array<string>")).select("y", "features").persist()
+    linear = LogisticRegression(labelCol="y", regParam=l2 / n, standardization=False, maxIter=200, tol=1e-9).fit(data)
+    cut = _cut(linear.transform(data).select("y", vector_to_array("rawPrediction")[1].alias("z")))
+    data.unpersist()
+    return Model(chars, {g: float(x) for g, x in zip(top, linear.coefficients.toArray(), strict=True)}, float(linear.intercept) - cut)
+
+
+def _cut(rows: DataFrame, per_unit: int = 256) -> float:
+    """The cut of ``rows(y, z)`` between the two classes with the fewest errors: the middle of the widest gap that has so few.
+
+    Gaps are looked for between the cells of a grid over z (at most 1,000 x ``per_unit`` cells, whatever the rows)."""
+    z = F.least(F.greatest("z", F.lit(-500.0)), F.lit(500.0))
+    cells = (rows.select("y", z.alias("z")).groupBy(F.floor(F.col("z") * per_unit).alias("cell"))
+             .agg(F.min("z").alias("lo"), F.max("z").alias("hi"), F.sum("y").alias("pos"), F.count("*").alias("n")).orderBy("cell").collect())
+    if len(cells) < 2:
+        return 0.0
+    lo, hi, pos, n = (np.array([r[c] for r in cells], float) for c in ("lo", "hi", "pos", "n"))
+    wrong = np.cumsum(pos)[:-1] + (n - pos).sum() - np.cumsum(n - pos)[:-1]  # of the cut behind each cell but the last
+    best = np.flatnonzero(wrong == wrong.min())
+    k = best[np.argmax(lo[best + 1] - hi[best])]
+    return float(hi[k] + lo[k + 1]) / 2
 
 
 def _from_trigrams(tri: dict[str, int]) -> CharModel:

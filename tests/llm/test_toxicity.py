@@ -7,6 +7,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from termlens.llm import toxicity as T
 from termlens.llm.queries import op2_toxicity
@@ -97,3 +98,16 @@ def test_without_both_classes(spark, labels):
     m = T.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
     out = T.scores(spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string"), m).collect()
     assert len(out) == 2 and len({r.score for r in out}) == 1 and T.scores(df.limit(0), m).count() == 0
+
+
+def test_learns_from_every_labelled_row(spark):
+    """13,000 labelled rows; a word that only six toxic ones hold, whatever the hash of their ids, has a weight."""
+    n = 13_000
+    by_hash = [r.id for r in spark.range(n).orderBy(F.xxhash64("id", F.lit(11))).collect()]
+    few = {**dict.fromkeys(by_hash[:6], "wretch"), **dict.fromkeys(by_hash[-6:], "knave")}
+    docs = spark.createDataFrame([(d, "the " + few.get(d, "idiot" if d % 9 == 0 else "other") + " end") for d in range(n)], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(d in few or d % 9 == 0)) for d in range(n)], "doc_id long, toxic int")
+    m = T.fit(docs, labels)
+    score = m.scorer()
+    assert m.weights["w:wretch"] > 0 and m.weights["w:knave"] > 0
+    assert score("the knave") > 0.5 and score("the wretch") > 0.5 and score("an idiot") > 0.5 and score("the other") < 0.5
