@@ -100,3 +100,21 @@ def test_postings_lookups(spark, tmp_path):
     q = spark.createDataFrame([("bean",), ("zebra",)], "term string")
     assert [r.term for r in st.multiget_terms(q).collect()] == ["bean"]
     assert sorted(r.term for r in st.all_terms().collect()) == ["apple", "avocado", "bean"]
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    """One term holds most rows: its bucket is cut into files of the advised size, with every row once."""
+    st = ResultStore(spark, str(tmp_path / "s"))
+    rows = spark.range(60_000).selectExpr("if(id % 10 = 0, concat('t', id), 'hot') as term", "id as doc_id", "id % 7 as w")
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "65536", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16384"}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        st.write_postings(rows)
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+    got = st.postings.read().select("term", "doc_id", "w")
+    assert got.count() == 60_000 and got.exceptAll(rows).count() == 0
+    files = [r.n for r in got.where("term = 'hot'").groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(files) > 2 and max(files) < 30_000
