@@ -47,6 +47,9 @@ SPLIT_PATTERN = r"[" + WHITESPACE_CLASS + r"]+"
 # whitespace, so splitting on runs of non-word characters is the same split
 # with a much cheaper character class.
 WORD_BREAK_PATTERN = r"[^\p{L}\p{N}_]+"
+# The deleted class as Java tests it fastest: the common characters, listed one by one, are looked up in a table
+# before any Unicode category, and a run of characters is one match.
+DROP_RUN_PATTERN = r"[^ abcdefghijklmnopqrstuvwxyz0123456789_\p{L}\p{N}" + WHITESPACE_CLASS + r"]+"
 
 # Mis-encoded quote and dash residues and their replacements.
 FUNNY_TOKENS = (
@@ -68,7 +71,7 @@ def _col(c: str | Column) -> Column:
 
 def normalize_for_terms(text: str | Column) -> Column:
     """T1 first half: lowercase, then delete every non-word, non-space char."""
-    return F.regexp_replace(F.lower(_col(text)), NON_WORD_PATTERN, "")
+    return F.regexp_replace(F.lower(_col(text)), DROP_RUN_PATTERN, "")
 
 
 def raw_tokens(text: str | Column) -> Column:
