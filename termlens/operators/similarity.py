@@ -119,10 +119,10 @@ def query_term_stats(post: DataFrame, n_docs: Column, qt: DataFrame, lo: float =
     Terms absent from the (pruned) index are absent here, as with a
     multi-get of missing row keys.  IDF uses N' = documents in the index.
     """
-    pruned = I.prune(post, n_docs, policy)
-    n_prime = I.indexed_doc_count(pruned)
+    kept = reuse(I.kept_terms(post, n_docs, policy))
+    n_prime = I.count_indexed_docs(post, kept)
     _, terms_b, small = _query_side(qt.select("query_id", "term"), max_rows)
-    tdf = pruned.join(terms_b, "term", "left_semi").select("term", "df").distinct()
+    tdf = kept.join(terms_b, "term", "left_semi")
     tdf = tdf.withColumn("idf", normalized_idf("df", n_prime))
     # tdf has at most one row per query term, so it is bounded by the check above.
     return (
