@@ -12,12 +12,13 @@ if its probability reaches the threshold.
 
 Labelled findings for training: candidates inside a rule's span are secrets;
 candidates that are numbers, dotted numbers, addresses or dates, and long plain words, are not;
-others are not used.  At most ``sample`` findings of either label are taken,
-those with the smallest hash; contexts are hidden at random so that the
-candidate's own characters count.  A fifth of them is kept apart: a scale and
-an offset of the logit are fitted on it, and the threshold is the highest one
-that keeps ``recall`` of its secrets.  Everything else runs
-over all rows and whole texts.
+others are not used.  All distinct findings of all rows are taken; contexts are
+hidden at random so that the candidate's own characters count.  They are dealt by
+hash into shares of about ten times ``sample``: each share trains a copy of the
+network, the copies are averaged by their findings, and a second round starts
+from the average.  Both labels weigh the same.  A fifth of the findings is kept apart: a scale and
+an offset of the logit are fitted on all of it, and the threshold is the highest one
+that keeps ``recall`` of its secrets, to a ``1 / CELLS`` of a logit.
 
 Defined results: a null text is empty and has no spans; ties at one start
 are ordered assign, access, hex, net; repeated rows get equal results; without
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import emit, rows_of
+from .common import emit, rows_of, written
 
 KINDS = ("assign", "access", "hex", "net")
 # Rules of the contract (fixed patterns).
@@ -52,6 +53,7 @@ _DIGIT = re.compile(r"[0-9]")
 BEFORE, HEAD, TAIL, AFTER = 24, 32, 16, 12
 WIDTH = BEFORE + HEAD + TAIL + AFTER
 SHORT = 16  # most candidates are at most so long
+ROUNDS, CELLS = 2, 1024  # averaged rounds of training; cells of a logit in the calibration
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -127,6 +129,10 @@ def windows(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return np.concatenate([piece(start - BEFORE, BEFORE, start), piece(start, HEAD, end), piece(tail, TAIL, end), piece(end, AFTER, end + AFTER)], axis=1)
 
 
+def _logistic(z):
+    return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+
+
 class Net:
     """Embedding, one convolution, region maxima and a mean, one logistic output; all in numpy."""
 
@@ -194,10 +200,10 @@ class Net:
         mean = (own.sum(axis=1) + (pad - a - SHORT) * empty) / (b - a)
         return np.concatenate([act[:, :a].max(axis=1), np.maximum(own.max(axis=1), empty), after.max(axis=1), mean], axis=1)
 
-    def _gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    def _gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1) -> dict[str, np.ndarray]:
         cols, act, arg, feat, z = self._forward(x)
         f = self.FILTERS
-        d = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / len(y)
+        d = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * weight / len(y)
         g = {"o": feat.T @ d, "c": np.array([d.sum()])}
         df = d[:, None] * self.p["o"]
         da = np.zeros_like(act)
@@ -206,20 +212,22 @@ class Net:
         s, e = self.regions[1]
         da[:, s:e] += df[:, None, 3 * f:] / (e - s)
         da *= act > 0
-        g["w"] = np.einsum("nlc,nlf->cf", cols, da, optimize=True)
+        g["w"] = cols.reshape(-1, cols.shape[2]).T @ da.reshape(-1, f)
         g["b"] = da.sum(axis=(0, 1))
         dc = (da @ self.p["w"].T).reshape(len(x), -1, self.SPAN, self.EMBED)
-        de = np.zeros((len(x), WIDTH, self.EMBED))
+        de = np.zeros((len(x), WIDTH, self.EMBED), da.dtype)
         for k in range(self.SPAN):
             de[:, k:k + dc.shape[1]] += dc[:, :, k]
-        g["e"] = np.zeros_like(self.p["e"])
-        np.add.at(g["e"], x, de)
+        flat = x.ravel()
+        g["e"] = np.stack([np.bincount(flat, de[..., k].ravel(), len(self.p["e"])) for k in range(self.EMBED)], axis=1)
         return g
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 10, rate: float = 0.01, seed: int = 6) -> None:
-        """Adam over mini-batches; each context is hidden in a third of the draws."""
+    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 10, rate: float = 0.01, seed: int = 6, weight: np.ndarray | None = None) -> None:
+        """Adam over mini-batches, in single precision; each context is hidden in a third of the draws."""
         self.tables = None
         r = np.random.default_rng(seed)
+        self.p = {k: p.astype(np.float32) for k, p in self.p.items()}
+        y, weight = y.astype(np.float32), np.ones(len(y), np.float32) if weight is None else weight.astype(np.float32)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(p) for k, p in self.p.items()}
         t = 0
@@ -227,32 +235,40 @@ class Net:
             order = r.permutation(len(x))
             for at in range(0, len(x), 128):
                 pick = order[at:at + 128]
-                xb = x[pick].copy()
+                xb = x[pick].astype(np.int64)
                 xb[r.random(len(pick)) < 0.33, :BEFORE] = 0
                 xb[r.random(len(pick)) < 0.33, -AFTER:] = 0
                 t += 1
-                for k, g in self._gradients(xb, y[pick]).items():
+                for k, g in self._gradients(xb, y[pick], weight[pick]).items():
                     m[k] = 0.9 * m[k] + 0.1 * g
                     v[k] = 0.999 * v[k] + 0.001 * g * g
-                    self.p[k] = self.p[k] - rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.999 ** t)) + 1e-8)
+                    self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.999 ** t)) + 1e-8)).astype(np.float32)
+        self.p = {k: p.astype(float) for k, p in self.p.items()}
 
     def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float) -> None:
-        """Scale and offset of the logit by Newton steps on held-back findings, then the threshold."""
+        """Scale, offset and threshold by held-back findings."""
         z = self.logits(x)
+        self.settle(z, z, y, np.ones(len(z)), recall)
+
+    def settle(self, z: np.ndarray, low: np.ndarray, y: np.ndarray, n: np.ndarray, recall: float) -> None:
+        """Scale and offset of the logit by Newton steps, then the threshold, from cells of ``n`` findings: mean and lowest logit, label."""
         a, b = 1.0, 0.0
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(a * z + b, -50, 50)))
-            w = p * (1 - p) + 1e-9
-            g = np.array([((p - y) * z).sum() + 0.1 * (a - 1), (p - y).sum() + 0.1 * b])
+            w = n * (p * (1 - p) + 1e-9)
+            g = np.array([(n * (p - y) * z).sum() + 0.1 * (a - 1), (n * (p - y)).sum() + 0.1 * b])
             h = np.array([[(w * z * z).sum() + 0.1, (w * z).sum()], [(w * z).sum(), w.sum() + 0.1]])
             step = np.linalg.solve(h, g)
             a, b = a - step[0], b - step[1]
         self.scale, self.offset = max(a, 1e-3), b
-        p = np.sort(self.probabilities(x[y == 1]))
-        self.threshold = float(p[int((1 - recall) * len(p))])
+        low, n = low[y == 1], n[y == 1]
+        order = np.argsort(low, kind="stable")
+        seen = np.cumsum(n[order])
+        least = low[order][np.searchsorted(seen, int((1 - recall) * seen[-1]), side="right")]
+        self.threshold = float(_logistic(least * self.scale + self.offset))
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.logits(x), -50, 50)))
+        return _logistic(self.logits(x))
 
 
 def findings(text: str):
@@ -269,32 +285,76 @@ def findings(text: str):
             yield window(text, s, e), 0
 
 
+def _inputs(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDTH)
+
+
 def fit(docs: DataFrame, sample: int = 3000, recall: float = 0.98) -> Net | None:
-    """Train on at most ``sample`` findings of each label from all of ``docs(doc_id, text)``."""
+    """Train on all distinct findings of ``docs(doc_id, text)``, in shares of about ten times ``sample``."""
+    spark = docs.sparkSession
 
     def run(batches):
-        seen: dict[int, dict[bytes, int]] = {0: {}, 1: {}}
-        for (text,) in rows_of(batches, "text"):
-            for x, y in findings(text or ""):
-                held = seen[y]
-                held[x] = xxhash.xxh3_64_intdigest(x) >> 1
-                if len(held) > 4 * sample:  # keeps the smallest hashes of this task
-                    seen[y] = dict(sorted(held.items(), key=lambda i: i[1])[:sample])
-        for y, held in seen.items():
-            yield from emit(((h, y, x) for x, h in sorted(held.items(), key=lambda i: i[1])[:sample]),
-                            pa.schema([("h", pa.int64()), ("y", pa.int32()), ("x", pa.binary())]))
-
-    found = docs.select("text").mapInArrow(run, "h bigint, y int, x binary").persist()
-    rows = [r for y in (0, 1) for r in found.where(F.col("y") == y).select("h", "y", "x").distinct().orderBy("h", "x").limit(sample).collect()]
-    found.unpersist()
-    x = np.array([np.frombuffer(bytes(r.x), np.uint8) for r in rows], dtype=np.int64).reshape(-1, WIDTH)
-    y = np.array([r.y for r in rows], float)
-    held = np.array([r.h % 5 == 0 for r in rows], bool)
-    if min((y[~held] == 1).sum(), (y[~held] == 0).sum(), (y[held] == 1).sum(), (y[held] == 0).sum()) < 1:
+        def rows():
+            seen = set()
+            for (text,) in rows_of(batches, "text"):
+                for f in findings(text or ""):
+                    if f not in seen:
+                        if len(seen) >= 50_000:
+                            seen.clear()
+                        seen.add(f)
+                        yield xxhash.xxh3_64_intdigest(f[0]) >> 1, f[1], f[0]
+
+        yield from emit(rows(), pa.schema([("h", pa.int64()), ("y", pa.int32()), ("x", pa.binary())]), 8192)
+
+    found = written(docs.select("text").mapInArrow(run, "h bigint, y int, x binary").distinct(), "secrets_findings")
+    held = F.col("h") % 5 == 0
+    number = {(r.held, r.y): r.n for r in found.groupBy(held.alias("held"), "y").agg(F.count("*").alias("n")).collect()}
+    if len(number) < 4:
         return None
+    plain, secret = number[False, 0], number[False, 1]
+    shares = max(1, round((plain + secret) / (10 * sample)))
+    epochs = max(1, min(5, 60_000 // (plain + secret)))  # of a round; few findings are seen more often
+    times = max(1, min(64, plain // (16 * secret)))  # secrets are shown so often in an epoch
+    weigh = np.array([0.5 / plain, 0.5 / (secret * times)]) * (plain + secret * times)
     net = Net()
-    net.train(x[~held], y[~held])
-    net.calibrate(x[held], y[held], recall)
+    for turn in range(ROUNDS):
+        start = spark.sparkContext.broadcast(net.p)
+
+        def learn(table: pa.Table) -> pa.Table:  # sent out in the same turn
+            table = table.sort_by([("h", "ascending"), ("x", "ascending"), ("y", "ascending")])
+            x, y = _inputs(table.column("x")), table.column("y").to_numpy()
+            pick = np.repeat(np.arange(len(y)), np.where(y == 1, times, 1))
+            own = Net()
+            own.p = dict(start.value)  # noqa: B023
+            own.train(x[pick], y[pick], epochs, 0.01 / (1 + turn), 6 + turn, weigh[y[pick]])  # noqa: B023
+            return pa.table({"share": table.column("share")[:1], "n": pa.array([float(len(y))]),
+                             "p": pa.array([np.concatenate([own.p[k].ravel() for k in own.p]).tobytes()], pa.binary())})
+
+        def total(table: pa.Table) -> pa.Table:
+            table = table.sort_by("share")
+            n = table.column("n").to_numpy()
+            p = np.stack([np.frombuffer(b, float) for b in table.column("p").to_pylist()])
+            return pa.table({"share": table.column("share")[:1], "n": pa.array([n.sum()]), "p": pa.array([(n @ p).tobytes()], pa.binary())})
+
+        schema = "share bigint, n double, p binary"
+        trained = found.where(~held).withColumn("share", F.expr(f"(h div 5) % {shares}")).groupBy("share").applyInArrow(learn, schema)
+        sums = sorted(trained.groupBy(F.col("share") % 16).applyInArrow(total, schema).collect())
+        flat, at = sum(np.frombuffer(bytes(r.p), float) for r in sums) / sum(r.n for r in sums), 0
+        for k, p in net.p.items():
+            net.p[k] = flat[at:at + p.size].reshape(p.shape)
+            at += p.size
+        start.destroy()
+    shared = spark.sparkContext.broadcast(net)
+
+    def logits(batches):
+        for b in batches:
+            x, y = _inputs(b.column(b.schema.get_field_index("x"))), b.column(b.schema.get_field_index("y"))
+            yield pa.RecordBatch.from_arrays([y, pa.array(shared.value.logits(x.astype(np.int64)))], names=["y", "z"])
+
+    cell = F.floor(F.least(F.greatest("z", F.lit(-64.0)), F.lit(64.0)) * CELLS)
+    cells = (found.where(held).select("y", "x").mapInArrow(logits, "y int, z double").groupBy("y", cell.alias("cell"))
+             .agg(F.avg("z").alias("z"), F.min("z").alias("low"), F.count("*").alias("n")).orderBy("y", "cell").collect())
+    net.settle(*(np.array([r[c] for r in cells], float) for c in ("z", "low", "y", "n")), recall)
     return net
 
 

@@ -85,6 +85,20 @@ def test_network_on_held_out_findings(spark):
     assert [r.text for r in out.orderBy("doc_id").collect()] == ["an [SECRET] or", None, "an or"]
 
 
+def test_every_finding_counts(spark):
+    """More findings than ``sample`` change the model, and the threshold keeps 98 % of all held-back secrets."""
+    rows = list(enumerate(t for t in texts(600, seed=4) if t))
+    by_hash = sorted({(y, S.xxhash.xxh3_64_intdigest(x) >> 1) for _, t in rows for x, y in S.findings(t)})
+    least = {h for k in (0, 1) for h in [h for y, h in by_hash if y == k][:30]}
+    few = [r for r in rows if any(S.xxhash.xxh3_64_intdigest(x) >> 1 in least for x, _ in S.findings(r[1]))]
+    assert len(few) < len(rows) / 2
+    whole, part = (S.fit(spark.createDataFrame(r, "doc_id long, text string"), sample=30) for r in (rows, few))
+    assert not np.allclose(whole.p["w"], part.p["w"])
+    held = {x for _, t in rows for x, y in S.findings(t) if y == 1 and (S.xxhash.xxh3_64_intdigest(x) >> 1) % 5 == 0}
+    p = whole.probabilities(np.array([np.frombuffer(x, np.uint8) for x in held], dtype=np.int64))
+    assert 0.98 <= (p >= whole.threshold - 1e-9).mean() < 1 and len(held) > 60
+
+
 def test_without_findings(spark):
     df = spark.createDataFrame([(1, "no findings"), (2, None)], "doc_id long, text string")
     assert S.fit(df) is None and S.scan(df.limit(0), None).count() == 0
