@@ -47,6 +47,7 @@ LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 _FILLER = "*._-~^'`#%&,;:"
 _EDGE = ".,;:!?\"'()[]{}<>|%&#*$…«»¿¡-_"
 _SIGNS = re.compile(r"(\w)\1\1|[^\W\d_][0-9@$!|+(<€£*._~^#%&-]+[^\W\d_]|[0-9@$!|+(<€£][^\W\d_]|[^\W\d_][0-9@$|+€£]")
+_THRICE = re.compile(r"(\w)\1\1")
 _MUST_LETTERS = re.compile(r"[^\W\d_]")
 _SINGLES = re.compile(r"(?<!\S)[^\W_](?: [^\W_]){3,}(?!\S)")
 _KEPT = 300_000  # restored tokens kept per Python worker
@@ -112,34 +113,48 @@ def viterbi(token: str, model: CharModel) -> str:
     return max((s + model.logp(c, _END), r) for c, (s, r) in paths.items())[1]
 
 
+class Kept(dict):
+    """Values of a function, at most ``_KEPT`` of them."""
+
+    def __init__(self, of):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, key):
+        if len(self) >= _KEPT:
+            self.clear()
+        value = self[key] = self.of(key)
+        return value
+
+
+def tokens(text: str | None) -> set[str]:
+    """The distinct lower-case tokens of a text, runs of single letters joined."""
+    text = (text or "").lower()
+    if _SINGLES.search(text):
+        text = _SINGLES.sub(lambda m: m[0].replace(" ", ""), text)
+    return set(text.split())
+
+
 class Restorer:
     """Restores texts token by token; readings are kept in a bounded table."""
 
     def __init__(self, model: CharModel):
-        self.model, self._read = model, {}
+        self.model, self._read = model, Kept(self.read)
 
-    def token(self, raw: str) -> str:
+    def read(self, raw: str) -> str:
         """A lower-case token without edge signs, read through the lattice if it shows signs of disguise."""
+        if raw.isalpha() and not _THRICE.search(raw):  # of letters alone, no other sign can be found
+            return raw
         t = raw.strip(_EDGE)
         if t and not t.isalpha() or _SIGNS.search(raw):
             body = raw.strip(".,;:?\"'()[]{}%&#*") if _SIGNS.search(raw) else t
             if len(body) <= 40 and _MUST_LETTERS.search(body) and _SIGNS.search(body):
                 t = viterbi(body, self.model)
-        if len(self._read) >= _KEPT:
-            self._read.clear()
-        self._read[raw] = t
         return t
 
     def words(self, text: str | None) -> set[str]:
         """The distinct restored words of a text."""
-        text = (text or "").lower()
-        if _SINGLES.search(text):
-            text = _SINGLES.sub(lambda m: m[0].replace(" ", ""), text)
-        get = self._read.get
-        out = set()
-        for raw in set(text.split()):
-            t = get(raw)
-            out.add(self.token(raw) if t is None else t)
+        out = set(map(self._read.__getitem__, tokens(text)))
         out.discard("")
         return out
 
@@ -157,18 +172,11 @@ class Model:
 
     def scorer(self):
         """text -> score, with a restorer and per-word sums of its own."""
-        restore, known, w, bias = Restorer(self.chars), {}, self.weights, self.bias
+        read, w, bias = Restorer(self.chars).read, self.weights, self.bias
+        known = Kept(lambda raw: tuple(g for g in grams(read(raw)) if g in w))
 
         def score(text: str | None) -> float:
-            hit = set()
-            for word in restore.words(text):
-                f = known.get(word)
-                if f is None:
-                    if len(known) >= _KEPT:
-                        known.clear()
-                    f = known[word] = tuple(g for g in grams(word) if g in w)
-                if f:
-                    hit.update(f)
+            hit = set().union(*map(known.__getitem__, tokens(text)))
             z = bias + sum(w[g] for g in sorted(hit))
             return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
@@ -186,12 +194,20 @@ def fit(docs: DataFrame, labels: DataFrame, n_features: int = 3_000, min_docs: i
     def counted(batches):
         """Plain words and their number, for the character model."""
         n = Counter()
+
+        def plain():
+            words = Counter()
+            for raw, c in n.items():
+                if (t := raw.strip(_EDGE)).isalpha() and not _SIGNS.search(raw):
+                    words[t] += c
+            yield from emit(words.items(), pa.schema([("word", pa.string()), ("n", pa.int64())]), 8192)
+
         for (text,) in rows_of(batches, "text"):
-            n.update(t for raw in (text or "").lower().split() if (t := raw.strip(_EDGE)).isalpha() and not _SIGNS.search(raw))
+            n.update((text or "").lower().split())
             if len(n) >= _KEPT:
-                yield from emit(n.items(), pa.schema([("word", pa.string()), ("n", pa.int64())]), 8192)
+                yield from plain()
                 n.clear()
-        yield from emit(n.items(), pa.schema([("word", pa.string()), ("n", pa.int64())]), 8192)
+        yield from plain()
 
     words = texts.select("text").mapInArrow(counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -223,17 +239,13 @@ def fit(docs: DataFrame, labels: DataFrame, n_features: int = 3_000, min_docs: i
 
     def presence(batches):
         """Rows and toxic rows that hold a feature."""
-        have, bad, known = Counter(), Counter(), {}
+        have, bad, known = Counter(), Counter(), Kept(grams)
 
         def added():
             yield from emit(((g, bad[g], d) for g, d in have.items()), pa.schema([("g", pa.string()), ("a", pa.int64()), ("d", pa.int64())]), 8192)
 
         for y, some in rows_of(batches, "y", "words"):
-            some = some.split()
-            for w in some:
-                if w not in known:
-                    known[w] = grams(w)
-            hit = {g for w in some for g in known[w]}
+            hit = set().union(*map(known.__getitem__, some.split()))
             have.update(hit)
             if y:
                 bad.update(hit)
@@ -241,7 +253,6 @@ def fit(docs: DataFrame, labels: DataFrame, n_features: int = 3_000, min_docs: i
                 yield from added()
                 have.clear()
                 bad.clear()
-                known.clear()
         yield from added()
 
     df = (found.mapInArrow(presence, "g string, a bigint, d bigint").groupBy("g").agg(F.sum("a").alias("a"), F.sum("d").alias("d"))
@@ -254,17 +265,9 @@ def fit(docs: DataFrame, labels: DataFrame, n_features: int = 3_000, min_docs: i
     mine = spark.sparkContext.broadcast(frozenset(top))
 
     def chosen(batches):
-        keep, known = mine.value, {}
-
-        def of(word):
-            f = known.get(word)
-            if f is None:
-                if len(known) >= _KEPT:
-                    known.clear()
-                f = known[word] = tuple(g for g in grams(word) if g in keep)
-            return f
-
-        rows = ((float(y), sorted({g for w in t.split() for g in of(w)})) for y, t in rows_of(batches, "y", "words"))
+        keep = mine.value
+        known = Kept(lambda word: tuple(g for g in grams(word) if g in keep))
+        rows = ((float(y), sorted(set().union(*map(known.__getitem__, t.split())))) for y, t in rows_of(batches, "y", "words"))
         yield from emit(rows, pa.schema([("y", pa.float64()), ("g", pa.list_(pa.string()))]), 1024)
 
     vectors = CountVectorizerModel.from_vocabulary(top, inputCol="g", outputCol="features").setBinary(True).setMinTF(0)

@@ -111,3 +111,13 @@ def test_learns_from_every_labelled_row(spark):
     score = m.scorer()
     assert m.weights["w:wretch"] > 0 and m.weights["w:knave"] > 0
     assert score("the knave") > 0.5 and score("the wretch") > 0.5 and score("an idiot") > 0.5 and score("the other") < 0.5
+
+
+def test_scores_by_token_equal_scores_by_word(monkeypatch):
+    """Features kept by raw token, also when the table of kept ones overflows, give the sum over the restored words."""
+    monkeypatch.setattr(T, "_KEPT", 3)
+    model = T.Model(MODEL, {"w:idiot": 0.7, "p:idio": 0.4, "w:stone": -0.3, "p:ston": 0.2, "w:a": 0.1}, -0.2)
+    score = model.scorer()
+    for text in ("1d10t idiot stone, (stone) a", "i d i o t aaa stones iddiot", "", None, "... a-b *stone*"):
+        hit = {g for w in T.Restorer(MODEL).words(text) for g in T.grams(w) if g in model.weights}
+        assert abs(score(text) - 1 / (1 + 2.718281828459045 ** -(model.bias + sum(model.weights[g] for g in hit)))) < 1e-12
