@@ -80,5 +80,7 @@ def test_weight_bands_and_corpora(spark):
     assert {tuple(r) for r in got.select(*whole.columns).collect()} == {tuple(r) for r in whole.collect()}
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
     sweep = {r.corpus: r.pairwise_pairs for r in corpus_sweep(docs, S.query_terms(docs.limit(2), "doc_id")).collect()}
+    again = {r.corpus: r.pairwise_pairs for r in corpus_sweep(docs.unionByName(docs), S.query_terms(docs.limit(2), "doc_id"), policy="none").collect()}
     for k, lang in enumerate("ab"):
+        assert again[lang] == sum(1 for (_, x), (_, y) in combinations(rows[k::2], 2) if set(x.split()) & set(y.split()))
         assert sweep[lang] == sum(1 for (_, _, x), (_, _, y) in combinations(kept(rows[k::2]), 2) if x.keys() & y.keys())
